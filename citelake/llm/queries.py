@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import leaks, spans, unify
+from . import leaks, names, spans, unify
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of spellings of one person, and of one department of one institution."""
+    authors = read_table(spark, sf, "author").where("kind = 'author'")
+    out = []
+    for df, field in ((authors, "name"), (read_table(spark, sf, "author_affiliation"), "affiliation")):
+        found = names.pairs(names.variants(df, field, field))
+        out.append(found.select(F.lit(field).alias("field"), "spelling_a", "spelling_b"))
+    return out[0].unionByName(out[1])
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,5 +57,5 @@ def p10_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return spans.coverage(read_table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p9_found, p9_scrubbed, p10_found, p10_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p9_found, p9_scrubbed, p10_found, p10_coverage)}
 ORACLE: dict[str, str] = {}
