@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import leaks, names, spans, unify
+from . import leaks, names, packing, spans, unify
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -32,6 +32,11 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, out).distinct()
 
 
+def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document, or part of a long one, with its container of 2,048 tokens."""
+    return packing.containers(packing.count_tokens(read_table(spark, sf, "documents")))
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that hold 13 or more consecutive words of an evaluation item."""
     found = leaks.leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "eval_item"))
@@ -57,5 +62,5 @@ def p10_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return spans.coverage(read_table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p9_found, p9_scrubbed, p10_found, p10_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p3_found, p8_containers, p9_found, p9_scrubbed, p10_found, p10_coverage)}
 ORACLE: dict[str, str] = {}
