@@ -29,6 +29,8 @@ PER_PART = 500_000
 HOT_BLOCK = 1_000_000
 #: Characters hashed at once.
 CHUNK = 1_000_000
+#: Up to so many ids or places (about 40 bytes each) go to every executor; beyond it the texts are shuffled to them.
+BROADCAST_ROWS = 1_000_000
 #: Ids in one block of a group's pairs.
 SIDE = 1_000
 
@@ -309,7 +311,7 @@ def _verified(cands: DataFrame, docs: DataFrame, min_len: int) -> DataFrame:
     points = cands.select(F.col("a").alias("id"), F.col("pos_a").alias("pos")).unionByName(
         cands.select(F.col("b").alias("id"), F.col("pos_b").alias("pos"))
     ).distinct()
-    wanted = points.groupBy("id").agg(F.collect_set("pos").alias("at"))
+    wanted = small(points.groupBy("id").agg(F.collect_set("pos").alias("at")), 2 * cands.count())
     texts = docs.join(wanted, "id").select("id", F.explode("at").alias("pos"), "text")
     start = F.greatest(F.col("pos") - before, F.lit(0))
     seg = texts.select("id", "pos", F.expr(f"substring(text, int(greatest(pos - {before}, 0)) + 1, int(pos - greatest(pos - {before}, 0)) + {after})").alias("seg"), (F.col("pos") - start).alias("at"))
@@ -329,6 +331,11 @@ def _verified(cands: DataFrame, docs: DataFrame, min_len: int) -> DataFrame:
     return both.select(*cols).mapInArrow(check, "a bigint, b bigint, start_a bigint, start_b bigint, n bigint")
 
 
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """Marked for broadcast if its bound of rows is within ``BROADCAST_ROWS``."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def _classes(docs: DataFrame) -> DataFrame:
     """(id, rep): documents that have an exact copy, with the lowest id of the copies; by digest, texts aren't shuffled."""
     d = docs.select("id", F.md5("text").alias("digest"))
@@ -346,7 +353,8 @@ def shared(docs: DataFrame, min_len: int = 300, doc_id: str = "doc_id", text: st
     base = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     base = base.where(F.col("id").isNotNull() & (F.length("text") >= min_len))
     copies = cut(_classes(base))
-    searched = base.join(copies.where("id <> rep").select("id"), "id", "left_anti")
+    extra = copies.where("id <> rep").select("id")
+    searched = base.join(small(extra, copies.count()), "id", "left_anti")
     chars = base.agg(F.sum(F.length("text"))).first()[0] or 0
     period, residues, _ = cover_for(min_len)
     parts = max(docs.sparkSession.sparkContext.defaultParallelism, 1 + int(chars * len(residues) / period / PER_PART))
