@@ -1,0 +1,129 @@
+"""Sampled records against the same records as a live service has them."""
+
+from __future__ import annotations
+
+import difflib
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+from ..functions import dates
+from ..functions.text import collapse, folded_set
+from ..operators.documents import FIELDS
+from .report import EXAMPLES, FAIL, NA, PASS, SKIP, WARN, Report
+
+#: Compared strictly, and for information only.
+CORE = ("article_title", "volume", "issue", "pub_year", "pub_month", "pub_day")
+SOFT = ("journal_name", "journal_abbrev", "pub_date")
+MAX_RATE = 0.20
+KINDS = ("low_similarity", "exported_blank", "other_blank", "values_differ")
+SECTION = "field accuracy"
+_DOC = "pmid bigint, " + ", ".join(f"{f} {'array<string>' if f == 'identifiers' else 'string'}" for f in FIELDS)
+
+
+@F.pandas_udf(DoubleType())
+def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Ratio of matching blocks of two texts; for samples, it is slow on long texts."""
+    return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b, strict=True)])
+
+
+def comparable(field: str, value) -> F.Column:
+    """A value as it is compared: white space collapsed, a date's month and day in standard form."""
+    c = collapse(value)
+    return dates.comparable_date(c) if field == "pub_date" else c
+
+
+def kind(similar, exported, other):
+    """Why two values differ; the first that holds."""
+    return (
+        F.when(similar.isNotNull(), KINDS[0]).when(collapse(exported) == "", KINDS[1]).when(collapse(other) == "", KINDS[2]).otherwise(KINDS[3])
+    )
+
+
+def compare(exported: DataFrame, other: DataFrame, threshold: float) -> DataFrame:
+    """(pmid, field, tier, exported, other, similarity, differs, kind): a row per comparison; tier ``absent`` for records the other side lacks.
+
+    The abstract is compared where either side has one and differs below the threshold.
+    """
+    o = other.select("pmid", F.struct(*[F.col(f) for f in FIELDS]).alias("o"))
+    both = exported.select("pmid", F.struct(*[F.col(f) for f in FIELDS]).alias("e")).join(o, "pmid", "left")
+    here = both.where("o is not null")
+
+    def row(field: str, tier: str, e, x, differs, similar=None) -> F.Column:
+        s = F.lit(None).cast("double") if similar is None else similar
+        return F.struct(
+            F.lit(field).alias("field"), F.lit(tier).alias("tier"), e.alias("exported"), x.alias("other"), s.alias("similarity"), differs.alias("differs"), kind(s, e, x).alias("kind")
+        )
+
+    pairs = [row(f, "core" if f in CORE else "soft", F.col(f"e.{f}"), F.col(f"o.{f}"), comparable(f, F.col(f"e.{f}")) != comparable(f, F.col(f"o.{f}"))) for f in CORE + SOFT]
+    e_ids, o_ids = (F.coalesce(F.col(f"{s}.identifiers"), F.array().cast("array<string>")) for s in "eo")
+    pairs.append(row("identifiers", "identifiers", F.array_join(e_ids, "|"), F.array_join(o_ids, "|"), folded_set(e_ids) != folded_set(o_ids)))
+    plain = here.select("pmid", F.inline(F.array(*pairs)))
+    a, b = collapse(F.col("e.abstract")), collapse(F.col("o.abstract"))
+    texts = here.select("pmid", a.alias("a"), b.alias("b")).where("a <> '' or b <> ''").withColumn("s", similarity("a", "b"))
+    abstract = texts.select("pmid", F.inline(F.array(row("abstract", "core", F.col("a"), F.col("b"), F.col("s") < threshold, F.col("s")))))
+    none = F.lit(None).cast("string")
+    absent = both.where("o is null").select("pmid", F.lit("").alias("field"), F.lit("absent").alias("tier"), none.alias("exported"), none.alias("other"), F.lit(None).cast("double").alias("similarity"), F.lit(False).alias("differs"), none.alias("kind"))
+    return plain.unionByName(abstract).unionByName(absent)
+
+
+def grouped(rows: list[dict]) -> dict:
+    """Differences by field, most first, and by kind with the first example; all kinds are listed."""
+    by: dict[str, int] = {}
+    for r in rows:
+        by[r["field"]] = by.get(r["field"], 0) + 1
+    kinds = [{"kind": k, "count": sum(r["kind"] == k for r in rows), "example": next((r for r in rows if r["kind"] == k), None)} for k in KINDS]
+    return {"by_field": sorted(by.items(), key=lambda x: (-x[1], x[0])), "by_kind": kinds}
+
+
+def check_fields(spark: SparkSession, report: Report, sample: list[dict], fetch, threshold: float) -> None:
+    """Checks 14 to 18.  ``fetch(pmids)`` gives documents by pmid; None means offline."""
+    names = {
+        "sample-fetched": "the service has every sampled record", "core-fields": f"at most {MAX_RATE:.0%} of compared values differ",
+        "abstract": f"abstracts are at least {threshold:.0%} alike", "journal-soft": "journal names and dates agree (advisory)",
+        "identifiers-soft": "identifiers agree (advisory)",
+    }
+
+    def every(status: str, observed: str, **more) -> None:
+        for n, e in names.items():
+            report.record(n, SECTION, e, status, observed, **more)
+
+    report.checks["field_validation"] = None if fetch is None else {"sampled": len(sample), "checked": 0}
+    if fetch is None:
+        return every(SKIP, "offline")
+    if not sample:
+        return every(NA, "no records sampled")
+    pmids = sorted(r["pmid"] for r in sample)
+    try:
+        found = fetch(pmids)
+    except Exception as e:  # noqa: BLE001 - any failure of the service is a finding
+        return every(WARN, f"unreachable: {e}", code="field_check_unreachable", message=f"The sampled records couldn't be fetched: {e}", count=len(pmids), see="checks.field_validation")
+    row = lambda p, d: tuple([p, *[d.get(f) for f in FIELDS]])
+    exported = spark.createDataFrame([row(r["pmid"], r) for r in sample], _DOC)
+    other = spark.createDataFrame([row(p, d) for p, d in found.items()], _DOC)
+    rows = [r.asDict() for r in compare(exported, other, threshold).collect()]
+    rows.sort(key=lambda r: (r["pmid"], r["field"]))
+    tier = lambda t: [r for r in rows if r["tier"] == t]
+    core, absent = tier("core"), [r["pmid"] for r in tier("absent")]
+    wrong, soft, ids = ([r for r in x if r["differs"]] for x in (core, tier("soft"), tier("identifiers")))
+    alike = [r["similarity"] for r in core if r["similarity"] is not None]
+    rate, checked, groups = (len(wrong) / len(core) if core else 0.0), len(pmids) - len(absent), grouped(wrong)
+    low, mean = (min(alike), sum(alike) / len(alike)) if alike else (None, None)
+    report.checks["field_validation"] = {
+        "sampled": len(pmids), "checked": checked, "core_comparisons": len(core), "core_mismatches": len(wrong), "core_mismatch_rate": round(rate, 4),
+        "mismatches": wrong[:EXAMPLES], "mismatches_by_field": groups["by_field"], "mismatches_by_kind": groups["by_kind"], "soft_mismatches": soft[:EXAMPLES],
+        "identifier_mismatches": ids[:EXAMPLES], "missing_from_api": absent[:EXAMPLES],
+        "abstract_similarity": {"min": None if low is None else round(low, 3), "mean": None if mean is None else round(mean, 3)},
+    }
+    at = "checks.field_validation."
+    report.record("sample-fetched", SECTION, names["sample-fetched"], FAIL if absent else PASS, f"{checked:,} of {len(pmids):,} returned", code="sampled_pmid_absent", message="Exported records the service doesn't have.", count=len(absent), see=at + "missing_from_api")
+    status, code = (FAIL, "field_mismatch_rate") if rate > MAX_RATE else (WARN, "field_mismatches") if wrong else (PASS, None)
+    report.record("core-fields", SECTION, names["core-fields"], status, f"{len(wrong):,} of {len(core):,} differ ({rate:.2%})", code=code, message=f"{rate:.1%} of the compared values differ.", count=len(wrong), see=at + "mismatches", detail=groups)
+    if low is None:
+        report.record("abstract", SECTION, names["abstract"], NA, "no sampled record has an abstract on either side")
+    else:
+        report.record("abstract", SECTION, names["abstract"], PASS if round(low, 3) >= threshold else WARN, f"lowest {low:.3f}, mean {mean:.3f} of {len(alike):,}")
+    report.record("journal-soft", SECTION, names["journal-soft"], WARN if soft else PASS, f"{len(soft):,} differ", code="journal_mismatches", message="Journal names or dates differ from the service's.", count=len(soft), see=at + "soft_mismatches")
+    report.record("identifiers-soft", SECTION, names["identifiers-soft"], WARN if ids else PASS, f"{len(ids):,} differ", code="identifier_mismatches", message="Identifiers differ from the service's.", count=len(ids), see=at + "identifier_mismatches")
