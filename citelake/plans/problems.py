@@ -74,7 +74,33 @@ select 'documents', doc_id, source, try_cast(nullif(regexp_extract(source, '^[^0
 from documents where nlm_catalog_id is not null and nlm_catalog_id not in (select nlm_catalog_id from journal where nlm_catalog_id is not null)
 """
 
+
+
+def _list(x: str) -> str:
+    """A JSON list's members; one bare member as a list of one; nothing for null and empty text."""
+    return f"""case when json_type({x}) = 'ARRAY' then json_extract({x}, '$[*]') when {x} is null or json_type({x}) = 'NULL' or {x}::varchar = '""' then []::json[] else [{x}] end"""
+
+
+_P2 = f"""
+with recs as (select record_id, payload::json as j from (select distinct record_id, payload from raw_record) r where json_valid(payload) and json_type(payload) = 'OBJECT'),
+lists as (
+  select record_id, {_list("json_extract(j, '$.MedlineCitation.Article.AuthorList.Author')")} as au,
+    {_list("json_extract(j, '$.MedlineCitation.MeshHeadingList.MeshHeading')")} as me, {_list("json_extract(j, '$.MedlineCitation.Article.Abstract.AbstractText')")} as se from recs),
+au as (select record_id, unnest(au) as x, unnest(range(1, len(au) + 1)) as pos from lists),
+me as (select record_id, unnest(me) as x, unnest(range(1, len(me) + 1)) as pos from lists),
+se as (select record_id, unnest(se) as x, unnest(range(0, len(se))) as pos from lists),
+af as (select record_id, pos, list_concat({_list("json_extract(x, '$.AffiliationInfo')")}, {_list("json_extract(x, '$.Affiliation')")}) as l from au where json_type(x) = 'OBJECT'),
+qu as (select record_id, pos, {_list("json_extract(x, '$.Qualifier')")} as l from me where json_type(x) = 'OBJECT'),
+afx as (select record_id, pos, unnest(l) as x, unnest(range(1, len(l) + 1)) as place from af),
+qux as (select record_id, pos, unnest(l) as x, unnest(range(1, len(l) + 1)) as place from qu)
+select record_id, 'author' as child_table, cast(0 as integer) as parent_pos, cast(pos as integer) as child_pos, '' as qualifier_ui from au where json_type(x) <> 'NULL'
+union select record_id, 'author_affiliation', cast(pos as integer), cast(place as integer), '' from afx where json_type(x) <> 'NULL'
+union select record_id, 'mesh_qualifier', cast(pos as integer), cast(place as integer), coalesce(json_extract_string(x, '$.UI'), '') from qux where json_type(x) <> 'NULL'
+union select record_id, 'abstract_text', 0, cast(pos as integer), '' from se where json_type(x) <> 'NULL'
+"""
+
 ORACLE = {
+    "p2_found": _P2,
     "p4_found": r"""
 with ok as (
   select file_name, lower(regexp_replace(loaded_md5, '[\s:\-]', '', 'g')) as b,
