@@ -63,4 +63,41 @@ def p10_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p3_found, p8_containers, p9_found, p9_scrubbed, p10_found, p10_coverage)}
-ORACLE: dict[str, str] = {}
+
+_ALIKE = "".join(pair[1] for pair in (unify.GREEK + " " + unify.CYRILLIC).split())
+#: Spaces, invisible characters, hyphens, full-width and ligature forms, the micro sign; a look-alike next to a Latin letter or digit in its word.
+_ODD = (
+    r"[\x{{A0}}\x{{AD}}\x{{B5}}\x{{1680}}\x{{2000}}-\x{{200F}}\x{{2010}}\x{{2011}}\x{{2028}}-\x{{202F}}\x{{205F}}-\x{{2064}}\x{{2212}}\x{{3000}}\x{{FB00}}-\x{{FB06}}\x{{FE00}}-\x{{FE0F}}\x{{FEFF}}\x{{FF01}}-\x{{FF5E}}]"
+    r"|\p{{Latin}}[0-9]*[{a}]|[{a}][0-9]*\p{{Latin}}"
+).format(a=_ALIKE)
+
+
+def _not_plain(c: str) -> str:
+    return f"{c} is not null and (regexp_matches({c}, '{_ODD}') or nfc_normalize({c}) <> {c})"
+
+
+ORACLE: dict[str, str] = {
+    "p3_found": "\nunion\n".join(
+        f"select '{t}' as table_name, '{c}' as field, pmid, source_file, cast({seq} as integer) as seq from {t} where " + _not_plain(c)
+        for t, c, seq in (("article", "medline_date", "-1"), ("article", "article_title", "-1"), ("abstract_text", "text", "seq"))
+    ),
+    "p9_found": r"""
+with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents where text is not null),
+     i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from eval_item where text is not null),
+     dg as (select doc_id, array_to_string(w[k : k + 12], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 11)) as k from d)),
+     ig as (select item_id, array_to_string(w[k : k + 12], ' ') as g from (select item_id, w, unnest(range(1, len(w) - 11)) as k from i))
+select distinct doc_id, item_id from dg join ig using (g)""",
+    "p10_found": """
+with w as (select doc_id, text, unnest(range(1, length(text) - 298)) as k from documents where length(text) >= 300),
+     h as (select distinct doc_id, md5(substring(text, k, 300)) as g from w),
+     s as (select g from h group by g having count(*) > 1)
+select distinct a.doc_id as doc_a, b.doc_id as doc_b from h a join s using (g) join h b on a.g = b.g and a.doc_id < b.doc_id""",
+    "p10_coverage": """
+with w as (select doc_id, text, unnest(range(1, length(text) - 298)) as k from documents where length(text) >= 300),
+     h as (select doc_id, k, md5(substring(text, k, 300)) as g from w),
+     s as (select g from h group by g having count(distinct doc_id) > 1),
+     p as (select doc_id, k, lag(k) over (partition by doc_id order by k) as before from h join s using (g)),
+     c as (select doc_id, sum(case when before is null or k - before > 300 then 300 else k - before end) as n, count(*) filter (where before is null or k - before > 300) as spans from p group by doc_id)
+select d.doc_id, length(text) as n_chars, cast(coalesce(c.n, 0) as bigint) as shared_chars, coalesce(c.spans, 0) as n_spans
+from documents d left join c on d.doc_id = c.doc_id where length(text) >= 300""",
+}
