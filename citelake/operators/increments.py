@@ -13,7 +13,10 @@ Nothing is collected: the mark is one aggregated value, the ledger one shuffle w
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import time
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LEDGER = ("file_name", "finished_at", "attempt_id", "version")
@@ -87,3 +90,64 @@ def pending(registry: DataFrame, ledger: DataFrame) -> DataFrame:
         .when(~both & (F.col("downloaded_at") > F.col("processed_at")), "newer_download")
     )
     return left.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop("known", "known_name")
+
+
+@dataclass(frozen=True)
+class Taken:
+    """What a run has to process, and the state to commit after it did."""
+
+    due: DataFrame
+    ledger: DataFrame
+    mark: object
+
+
+def take(registry: DataFrame, log: DataFrame, ledger: DataFrame | None = None, mark=None) -> Taken:
+    """One run: reread the log from the last run's mark, bring the ledger up to it, and anti-join the registry.
+
+    Without a last run (``ledger`` and ``mark`` None) the whole log is read.  The result depends only on registry and log, so a run that
+    failed before its commit gives the same records again, and one after the commit none of them.
+    """
+    now = processed_ledger(log, ledger, mark)
+    return Taken(pending(registry, now), now, mark)
+
+
+class Runs:
+    """The committed state of runs in a folder that all executors share.
+
+    A version holds the ledger and the mark and counts once it is written whole; an unfinished one is never read.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _versions(self) -> list[str]:
+        if not self._fs.exists(self._path(self.folder)):
+            return []
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.folder))]
+        return sorted(n for n in names if n.startswith("v=") and self._fs.exists(self._path(f"{self.folder}/{n}/_SUCCESS")))
+
+    def begin(self, registry: DataFrame, log: DataFrame) -> Taken:
+        """The records due now, by the state of the last committed run."""
+        done = self._versions()
+        if not done:
+            return take(registry, log)
+        state = self.spark.read.parquet(f"{self.folder}/{done[-1]}")
+        mark = state.agg(F.max("mark").alias("m")).first()["m"]
+        return take(registry, log, state.where("file_name is not null").select(*LEDGER), mark)
+
+    def commit(self, log: DataFrame) -> None:
+        """Note the log's state as of now: its ledger, and the mark the next run rereads from."""
+        done = self._versions()
+        old = mark = None
+        if done:
+            state = self.spark.read.parquet(f"{self.folder}/{done[-1]}")
+            old, mark = state.where("file_name is not null").select(*LEDGER), state.agg(F.max("mark").alias("m")).first()["m"]
+        _, after = low_water_mark(log)
+        ledger = processed_ledger(log, old, mark)
+        kinds = dict(log.dtypes)["started_at"]
+        row = ledger.limit(0).unionByName(self.spark.range(1).select(*[F.lit(None).cast(t).alias(c) for c, t in ledger.dtypes]))
+        both = ledger.withColumn("mark", F.lit(None).cast(kinds)).unionByName(row.withColumn("mark", F.lit(after).cast(kinds)))
+        both.write.parquet(f"{self.folder}/v={time.time_ns():020d}")

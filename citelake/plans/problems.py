@@ -21,9 +21,9 @@ def p2_variants(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Files due now: the registry's (key, version) pairs against the ledger of the whole log."""
-    ledger = increments.processed_ledger(read_table(spark, sf, "load_log"))
-    return increments.pending(read_table(spark, sf, "source_file"), ledger).select("file_name").distinct()
+    """Files due now, as the first run: no ledger yet, so the whole log is read."""
+    due = increments.take(read_table(spark, sf, "source_file"), read_table(spark, sf, "load_log")).due
+    return due.select("file_name").distinct()
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:

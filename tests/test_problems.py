@@ -97,6 +97,25 @@ def test_rereading_from_the_oldest_open_attempt(spark):
     assert increments.low_water_mark(first.limit(0)) == (None, None)
 
 
+def test_runs_survive_failures(spark, tmp_path):
+    """A run that fails before its commit is given the same records again; after it, only what is new since."""
+    runs = increments.Runs(spark, str(tmp_path / "runs"))
+    r = reg(spark, ("a", "01", 1, None), ("b", "02", 1, None), ("slow", "03", 1, None))
+    none = spark.createDataFrame([], LOG)
+    assert rows(runs.begin(r, none).due, "file_name") == [("a",), ("b",), ("slow",)]
+    assert rows(runs.begin(r, none).due, "file_name") == [("a",), ("b",), ("slow",)]
+    log = attempts(spark, (1, "a", 2, 3, "ok", "01"), (2, "b", 2, 3, "failed", "02"), (3, "slow", 2, None, None, "03"))
+    runs.commit(log)
+    (tmp_path / "runs/v=99999999999999999999").mkdir()  # a commit that was cut short
+    r2 = reg(spark, ("a", "01", 1, 3), ("b", "02", 1, None), ("slow", "03", 1, None))
+    assert rows(runs.begin(r2, log).due, "file_name") == [("b",), ("slow",)]
+    log2 = log.union(attempts(spark, (3, "slow", 2, 8, "ok", "03"), (4, "b", 6, 7, "ok", "02")))
+    r3 = reg(spark, ("a", "0f", 9, 3), ("b", "02", 1, 7), ("slow", "03", 1, 8))
+    assert rows(runs.begin(r3, log2).due, "file_name", "reason") == [("a", "version_changed")]
+    runs.commit(log2)
+    assert rows(runs.begin(r3, log2).ledger) == rows(increments.processed_ledger(log2))
+
+
 # ---- change replay
 
 FEED = "pmid bigint, file_order_key bigint, source_file string"
