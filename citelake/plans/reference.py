@@ -433,3 +433,83 @@ def q33_newest_files(spark, sf):
     """Newest three files of each kind (the download limit)."""
     top = versions.newest(_t(spark, sf, "source_file"), ["kind"], [F.desc("file_order_key")], 3)
     return top.select("kind", "file_name", "file_order_key")
+
+
+# ---- samples and similarity (O6 O7 D14), rows only: other engines hash differently
+
+
+@query()
+def q34_shard_sample(spark, sf):
+    """Five documents of each source by a seeded hash: same size as a reservoir, the same members for any partitioning."""
+    d = _t(spark, sf, "documents").select("source", "doc_id").withColumn("h", F.xxhash64(F.lit(0), "doc_id"))
+    return versions.newest(d, ["source"], [F.asc("h"), F.asc("doc_id")], 5).select("source", "doc_id")
+
+
+@query()
+def q35_title_similarity(spark, sf):
+    """Matching-block ratio of titles that differ between the copies (the pandas function the field check uses)."""
+    from ..validate.fields import similarity
+
+    key = list(versions.VERSION)
+    a = _t(spark, sf, "article").select(*key, "article_title").distinct()
+    m = _t(spark, sf, "article_mirror").select(*key, F.col("article_title").alias("other")).distinct()
+    both = a.join(m, key).where(~F.col("article_title").eqNullSafe(F.col("other")))
+    return both.select(*key, F.round(similarity("article_title", "other"), 3).alias("ratio"))
+
+
+# ---- sources and sinks over generated files
+
+
+def _scratch(spark) -> str:
+    """A folder all executors share: below the checkpoint folder."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/q-{uuid.uuid4().hex}"
+
+
+@query("select source_file, count(*) as n_articles, count(distinct article_title) as n_titles from (select pmid, source_file, max_by(coalesce(nullif(trim(article_title), ''), 'x'), loaded_at) as article_title from article where nlm_catalog_id is not null group by 1, 2) where true group by source_file")
+def q36_xml_round_trip(spark, sf):
+    """Articles written as citation XML, files of about 5,000 records, and read back through the XML source."""
+    from ..sources import xml
+
+    a = versions.keep_last(_t(spark, sf, "article").where("nlm_catalog_id is not null"), ["pmid", "source_file"], "loaded_at")
+    escape = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    title = F.coalesce(F.nullif(F.trim("article_title"), F.lit("")), F.lit("x"))
+    one = F.format_string(
+        '<PubmedArticle><MedlineCitation><PMID Version="1">%d</PMID><Article><ArticleTitle>%s</ArticleTitle></Article><MedlineJournalInfo><NlmUniqueID>%s</NlmUniqueID></MedlineJournalInfo></MedlineCitation></PubmedArticle>',
+        "pmid", escape(title), escape(F.col("nlm_catalog_id")),
+    )
+    chunk = F.pmod(F.xxhash64("pmid"), F.lit(1 + a.count() // 5_000))
+    files = a.select("source_file", chunk.alias("chunk"), one.alias("x")).groupBy("source_file", "chunk").agg(
+        F.encode(F.concat(F.lit("<PubmedArticleSet>"), F.array_join(F.collect_list("x"), ""), F.lit("</PubmedArticleSet>")), "utf-8").alias("content")
+    )
+    back = xml.tables(xml.scan(files.select(F.concat_ws("/", "chunk", "source_file").alias("path"), "content")))["article"]
+    return back.groupBy("source_file").agg(F.count("*").alias("n_articles"), F.count_distinct("article_title").alias("n_titles"))
+
+
+@query(ORACLE["q30_documents"])
+def q37_ndjson_round_trip(spark, sf):
+    """Documents written as gzipped NDJSON and read back."""
+    at = _scratch(spark)
+    docs = q30_documents(spark, sf)
+    docs.write.option("compression", "gzip").option("ignoreNullFields", "false").json(at)
+    return spark.read.schema(docs.schema).json(at)
+
+
+@query(f"""with {_LATEST} select 'records' as name, count(*) as n from la union all select 'duplicate_pmids', 0 union all select 'null_values', 0 union all select 'missing_fields', 0
+union all select 'invalid_months', count(*) from la where not regexp_full_match({_MONTH}, '(({'|'.join(dates.MONTHS + dates.SEASONS)})(-({'|'.join(dates.MONTHS + dates.SEASONS)}))?)?')""")
+def q38_structure_checks(spark, sf):
+    """Line facts of exported NDJSON and the counts the structure checks are made of."""
+
+    from ..validate.structure import lines
+
+    at = _scratch(spark)
+    t = lambda n: _t(spark, sf, n)
+    documents.documents(t("article"), t("deleted_pmid"), t("journal"), t("abstract_text"), _ids(spark, sf)).write.option("ignoreNullFields", "false").json(at)
+    facts = lines(spark, [at])
+    dup = facts.groupBy("pmid").agg(F.count("*").alias("k")).agg(F.count_if(F.col("k") > 1).alias("n")).select(F.lit("duplicate_pmids").alias("name"), "n")
+    c = facts.agg(F.count_if("valid").alias("records"), F.count_if(F.size("nulls") > 0).alias("null_values"), F.count_if(F.size("missing") > 0).alias("missing_fields"), F.count_if("bad_month").alias("invalid_months"))
+    return c.unpivot([], ["records", "null_values", "missing_fields", "invalid_months"], "name", "n").unionByName(dup)
