@@ -59,14 +59,15 @@ def documents(
 ) -> DataFrame:
     """One document per current version, unordered.
 
-    ``snapshot`` may be a persisted result of ``latest``.  Child rows are reduced to the snapshot's versions before they are aggregated;
-    the journal dimension is joined as Spark finds best for its size.
+    ``snapshot`` may be a persisted result of ``latest``.  Child rows are reduced to the snapshot's versions before they are aggregated, so
+    a pmid has one row in each part and all shuffles are by pmid: one of the articles, one of each child table.  The journal dimension is
+    joined as Spark finds best for its size.
     """
     current = latest(article, deleted) if snapshot is None else snapshot
     j = journal.select("nlm_catalog_id", F.col("title").alias("journal_title"), "abbreviation_iso", "abbreviation_medline")
-    out = current.join(j, "nlm_catalog_id", "left").join(abstracts(of_versions(abstract_text, current)), list(VERSION), "left")
+    out = current.join(abstracts(of_versions(abstract_text, current)).drop("source_file"), "pmid", "left")
     if article_id is None:
         out = out.withColumn("curies", F.lit(None).cast("array<string>"))
     else:
-        out = out.join(identifiers(of_versions(article_id, current)), list(VERSION), "left")
-    return out.select(*[e.alias(n) for n, e in fields().items()])
+        out = out.join(identifiers(of_versions(article_id, current)).drop("source_file"), "pmid", "left")
+    return out.join(j, "nlm_catalog_id", "left").select(*[e.alias(n) for n, e in fields().items()])

@@ -35,8 +35,15 @@ VERSION = ("pmid", "source_file")
 
 
 def of_versions(child: DataFrame, versions: DataFrame) -> DataFrame:
-    """Child rows of the given versions only; to be used before any aggregation of the child."""
-    return child.join(versions.select(*VERSION), list(VERSION), "left_semi")
+    """Child rows of the given versions only; to be used before any aggregation of the child.
+
+    ``versions`` holds one version per pmid, so pmid alone is the join's hash key and the file is compared beside it (as a range, which Spark
+    doesn't take for a key).  A snapshot that comes partitioned by pmid from its window then isn't shuffled again, nor is the child for an
+    aggregate by version or a join by pmid that follows.
+    """
+    v = versions.select(F.col("pmid").alias("v_pmid"), F.col("source_file").alias("v_file"))
+    same = (F.col("pmid") == F.col("v_pmid")) & (F.col("source_file") >= F.col("v_file")) & (F.col("source_file") <= F.col("v_file"))
+    return child.join(v, same, "left_semi")
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
