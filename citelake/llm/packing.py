@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how the byte-level vocabulary splits text before merging.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -135,8 +137,8 @@ def containers(sized: DataFrame, capacity: int = 2048, doc_id: str = "doc_id", s
     if capacity < 1:
         raise ValueError(f"capacity must be positive: {capacity}")
     kind = dict(sized.dtypes)[doc_id]
-    items = sized.select(F.col(doc_id).alias("doc_id"), F.col(size).cast("bigint").alias("n_tokens")).where("doc_id is not null and n_tokens > 0")
-    shards = max(1, -(-sized.count() // shard))
+    items = cut(sized.select(F.col(doc_id).alias("doc_id"), F.col(size).cast("bigint").alias("n_tokens")).where("doc_id is not null and n_tokens > 0"))
+    shards = max(1, -(-items.count() // shard))  # of the written sizes, so tokens are counted once
     # full containers of long documents need no packing
     whole = F.floor(F.col("n_tokens") / capacity)
     cut_up = items.withColumns({"full": F.when(F.col("n_tokens") > capacity, whole).otherwise(F.lit(0)), "salt": F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(shards))})
