@@ -17,7 +17,7 @@ log = logging.getLogger(__name__)
 def load_files(store: Store, files: list[tuple[str, str]], force: bool = False, keep_staging: bool = False) -> tuple[int, list[str]]:
     """Load (path, kind) files that are due; (number loaded, names that failed).
 
-    One scan parses each file in a task of its own and stages nested records; a file that can't be read to its end is left out
+    One scan parses whole files in parallel and stages nested records; a file that can't be read to its end is left out
     and stays due.  All rows are written before the registry commits the files.
     """
     todo = []
@@ -33,7 +33,7 @@ def load_files(store: Store, files: list[tuple[str, str]], force: bool = False,
     spark, load_id = store.spark, uuid.uuid4().hex
     stage = f"{store.root}/_staging/{load_id}"
     content = spark.read.format("binaryFile").load([p for p, _ in todo])
-    xml.scan(content.repartition(max(1, len(todo)), "path")).write.parquet(stage)
+    xml.scan(content).write.parquet(stage)  # whole files, packed by size; their bytes aren't shuffled
     scanned = spark.read.parquet(stage)
     per = {r["source_file"]: r for r in xml.counts(scanned).collect()}
     names = {p.rsplit("/", 1)[-1]: k for p, k in todo}

@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import parse_file_name
-from ..operators.versions import keep_last
 from ..schemas import VERSIONED, conform
 
 _RECORD = """
@@ -33,7 +32,8 @@ headings array<struct<descriptor_ui: string, descriptor_name: string, major_topi
 types array<string>, grants array<struct<grant_id: string, acronym: string, agency: string, country: string>>,
 ids array<struct<id_type: string, id_value: string>>, events array<struct<pub_status: string, date: date>>
 """
-#: ``what`` is article, deleted, failed (a record that can't be used), book (counted only) or broken (the file can't be read to its end).
+#: ``what`` is article, deleted, failed (a record that can't be used), book (counted only), superseded (``rec_idx`` is of a record whose pmid
+#: comes again later in the file) or broken (the file can't be read to its end).
 SCANNED = f"source_file string, file_order_key bigint, rec_idx bigint, what string, message string, {_RECORD}"
 
 BATCH = 500
@@ -184,9 +184,15 @@ def scan(files: DataFrame) -> DataFrame:
                 except ValueError:
                     continue
                 rows: list[dict] = []
+                seen: dict[int, int] = {}
                 for i, (what, message, fields) in enumerate(read(content.as_py())):
-                    rows.append({"source_file": file, "file_order_key": key, "rec_idx": i, "what": what, "message": message} | fields)
-                    if len(rows) == BATCH:
+                    head = {"source_file": file, "file_order_key": key, "message": message}
+                    rows.append(head | {"rec_idx": i, "what": what} | fields)
+                    if what == "article":
+                        if fields["pmid"] in seen:
+                            rows.append(head | {"rec_idx": seen[fields["pmid"]], "what": "superseded"})
+                        seen[fields["pmid"]] = i
+                    if len(rows) >= BATCH:
                         yield pa.RecordBatch.from_pylist(rows, target)
                         rows = []
                 if rows:
@@ -202,7 +208,7 @@ def counts(scanned: DataFrame) -> DataFrame:
     the message of a broken file."""
     what = F.col("what")
     return scanned.groupBy("source_file").agg(
-        F.count_distinct(F.when(what == "article", F.col("pmid"))).cast("int").alias("n_articles"),
+        (F.count_if(what == "article") - F.count_if(what == "superseded")).cast("int").alias("n_articles"),
         F.count_if(what == "deleted").cast("int").alias("n_deletions"), F.count_if(what == "failed").cast("int").alias("n_failed"),
         F.count_if(what == "book").cast("int").alias("n_book_records"), F.max(F.when(what == "broken", F.col("message"))).alias("broken"),
     )
@@ -211,10 +217,12 @@ def counts(scanned: DataFrame) -> DataFrame:
 def tables(scanned: DataFrame, loaded_at: Column | None = None) -> dict[str, DataFrame]:
     """The versioned tables of scanned records.
 
-    Of several records of one pmid in a file the last counts, with its children only.
+    Of several records of one pmid in a file the last counts, with its children only: the task that read the file has noted the others, so
+    this takes no shuffle of records.
     """
     at = F.current_timestamp() if loaded_at is None else loaded_at
-    last = keep_last(scanned.where("what = 'article'"), ["source_file", "pmid"], "rec_idx").withColumn("loaded_at", at)
+    old = scanned.where("what = 'superseded'").select("source_file", "rec_idx")
+    last = scanned.where("what = 'article'").join(old, ["source_file", "rec_idx"], "left_anti").withColumn("loaded_at", at)
 
     def children(array: str, *cols: str) -> DataFrame:
         return last.select("pmid", "source_file", F.explode(array).alias("x")).select("pmid", "source_file", *cols)

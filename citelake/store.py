@@ -117,7 +117,7 @@ class Store:
             at = f"{self.root}/{name}"
             if not self.children(at):
                 return empty(self.spark, name)
-            live = F.broadcast(self.registry().where("load_id is not null").select(F.col("file_name").alias("source_file"), "load_id"))
+            live = self.registry().where("load_id is not null").select(F.col("file_name").alias("source_file"), "load_id")
             rows = self.spark.read.schema(schema(name).add("load_id", "string")).parquet(at)
             return conform(rows.join(live, ["source_file", "load_id"], "left_semi"), name)
         at = self._current(name)
