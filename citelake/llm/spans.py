@@ -173,7 +173,8 @@ _MET = "hot boolean, hash bigint, a bigint, pos_a bigint, b bigint, pos_b bigint
 
 
 def _meet(anchors: DataFrame, min_len: int, paired: int) -> DataFrame:
-    """Candidates (a, pos_a, b, pos_b), one per diagonal and window's length, and the hashes too many places share (hot)."""
+    """Candidates (a, pos_a, b, pos_b), one per diagonal and window's length; hot rows: the hashes too many places share, and the
+    documents (a) these stand in."""
     width = cover_for(min_len)[2]
 
     def meet(t: pa.Table) -> pa.Table:
@@ -183,7 +184,8 @@ def _meet(anchors: DataFrame, min_len: int, paired: int) -> DataFrame:
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         size = np.diff(np.append(first, len(h)))
         several = doc[first] != doc[first + size - 1]  # sorted by doc: the first and last differ
-        hot = h[first[several & (size > paired)]]
+        many = several & (size > paired)
+        hot, places = h[first[many]], np.unique(doc[np.repeat(many, size)])
         keep = np.repeat(several & (size <= paired), size)
         doc, pos, h = doc[keep], pos[keep], h[keep]
         found = []
@@ -201,13 +203,11 @@ def _meet(anchors: DataFrame, min_len: int, paired: int) -> DataFrame:
         key = key[:, order]
         new = np.concatenate([[True], (key[:4, 1:] != key[:4, :-1]).any(axis=0)])[: key.shape[1]]
         pick = order[new]
-        n, m = len(pick), len(hot)
-        none = pa.nulls(m, pa.int64())
-        cols = [pa.chunked_array([pa.array(x[pick]), none]) for x in (a, pa_, b, pb)]
-        return pa.table(
-            [pa.array(np.arange(n + m) >= n), pa.chunked_array([pa.nulls(n, pa.int64()), pa.array(hot.view(np.int64))]), *cols],
-            names=["hot", "hash", "a", "pos_a", "b", "pos_b"],
-        )
+        n, m, d = len(pick), len(hot), len(places)
+        none = lambda k: pa.nulls(k, pa.int64())
+        pair = [[pa.array(x[pick]), none(m), pa.array(places) if k == 0 else none(d)] for k, x in enumerate((a, pa_, b, pb))]
+        cols = [pa.chunked_array(c) for c in ([none(n), pa.array(hot.view(np.int64)), none(d)], *pair)]
+        return pa.table([pa.array(np.arange(n + m + d) >= n), *cols], names=["hot", "hash", "a", "pos_a", "b", "pos_b"])
 
     return anchors.groupBy("part").applyInArrow(meet, _MET)
 
@@ -363,9 +363,11 @@ def shared(docs: DataFrame, min_len: int = 300, doc_id: str = "doc_id", text: st
     diagonal, bucket = F.col("pos_a") - F.col("pos_b"), F.floor(F.col("pos_a") / width)
     cands = met.where("not hot").groupBy("a", "b", diagonal.alias("diagonal"), bucket.alias("bucket")).agg(F.min("pos_a").alias("pos_a"))
     cands = cands.select("a", "b", "pos_a", (F.col("pos_a") - F.col("diagonal")).alias("pos_b"))
+    places = met.where("hot and a is not null").select(F.col("a").alias("id")).distinct()
+    hot_docs = searched.join(small(places, places.count()), "id", "left_semi")
     full = [
-        _meet_full(_full_windows(searched, hot, min_len, parts))
-        for hot in _hot_blocks(met.where("hot").select("hash").distinct())
+        _meet_full(_full_windows(hot_docs, hot, min_len, parts))
+        for hot in _hot_blocks(met.where("hot and hash is not null").select("hash").distinct())
     ]
     spark = docs.sparkSession
     groups = cut(reduce(DataFrame.unionByName, full)) if full else spark.createDataFrame([], _GROUPS)
