@@ -23,8 +23,10 @@ from ..session import cut
 
 #: Places that may share an anchor and still be paired on it; larger groups take the second scan.
 PAIRED = 32
-#: Packed anchors that meet in one task's group, on average.
-PER_PART = 500_000
+#: Anchors that meet in one task's group, on average (about 200 bytes each while they are compared).
+PER_PART = 1_000_000
+#: Anchors a task gathers before it packs them, so that packed rows stay long however many groups there are.
+PACK = 1_000_000
 #: Hot anchors sent to the executors at once (8 bytes each); more are scanned in several blocks.
 HOT_BLOCK = 1_000_000
 #: Characters hashed at once.
@@ -127,23 +129,36 @@ def _windows(group: list[tuple], width: int, roller: Roller):
 _PACKED = "part int, ids binary, which binary, pos binary, hash binary, check binary"
 
 
-def _pack(parts: int, ids: np.ndarray, which: np.ndarray, pos: np.ndarray, h: np.ndarray, check: np.ndarray | None) -> pa.RecordBatch:
-    """One row per target partition with its anchors as packed arrays."""
-    part = (h % np.uint64(parts)).astype(np.int32)
+def _pack(parts: int, gathered: list[tuple]) -> pa.RecordBatch:
+    """One row per target partition with its anchors (document, position, hash, second hash or none) as packed arrays."""
+    doc, pos, h, check = (np.concatenate(x) for x in zip(*gathered, strict=True)) if gathered else (np.empty(0, np.int64),) * 4
+    part = (h % np.uint64(parts)).astype(np.int32) if len(h) else np.empty(0, np.int32)
     order = np.argsort(part, kind="stable")
     cuts = np.flatnonzero(np.diff(part[order])) + 1
     cols: dict[str, list] = {k: [] for k in ("part", "ids", "which", "pos", "hash", "check")}
     for at in np.split(order, cuts) if len(order) else []:
-        docs, local = np.unique(which[at], return_inverse=True)
+        docs, local = np.unique(doc[at], return_inverse=True)
         cols["part"].append(int(part[at[0]]))
-        cols["ids"].append(ids[docs].tobytes())
+        cols["ids"].append(docs.tobytes())
         cols["which"].append(local.astype(np.uint32).tobytes())
         cols["pos"].append(pos[at].astype(np.uint32).tobytes())
         cols["hash"].append(h[at].tobytes())
-        cols["check"].append(b"" if check is None else check[at].tobytes())
+        cols["check"].append(check[at].tobytes() if len(check) else b"")
     return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "part" else pa.binary()) for k, v in cols.items()})
 
 
+def _packed(parts: int, found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Packs of at least ``PACK`` anchors, and what is left."""
+    gathered, n = [], 0
+    for f in found:
+        gathered.append(f)
+        n += len(f[0])
+        if n >= PACK:
+            yield _pack(parts, gathered)
+            gathered, n = [], 0
+    yield _pack(parts, gathered)
+
+
 def _unpack(t: pa.Table):
     docs, pos, h, check = [], [], [], []
     for ids, which, p, x, c in zip(*(t[k].to_pylist() for k in ("ids", "which", "pos", "hash", "check")), strict=True):
@@ -156,17 +171,18 @@ def _unpack(t: pa.Table):
 
 def _anchors(docs: DataFrame, min_len: int, parts: int) -> DataFrame:
     period, residues, width = cover_for(min_len)
+    none = np.empty(0, np.uint64)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         roller, cover = Roller(_BASES[0]), np.zeros(period, bool)
         cover[residues] = True
         for batch in batches:
             for group in _pieces(batch.column(0).to_pylist(), batch.column(1).to_pylist(), width):
                 h, which, pos, fits, _ = _windows(group, width, roller)
                 at = np.flatnonzero(fits & cover[pos % period])
-                yield _pack(parts, np.array([i for i, _, _ in group], np.int64), which[at], pos[at], h[at], None)
+                yield np.array([i for i, _, _ in group], np.int64)[which[at]], pos[at], h[at], none
 
-    return docs.mapInArrow(scan, _PACKED)
+    return docs.mapInArrow(lambda batches: _packed(parts, found(batches)), _PACKED)
 
 
 _MET = "hot boolean, hash bigint, a bigint, pos_a bigint, b bigint, pos_b bigint"
@@ -217,7 +233,7 @@ def _full_windows(docs: DataFrame, hot: np.ndarray, min_len: int, parts: int) ->
     period, residues, width = cover_for(min_len)
     shared = docs.sparkSession.sparkContext.broadcast(np.sort(hot))
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         rollers, cover, wanted = [Roller(b) for b in _BASES], np.zeros(period, bool), shared.value
         cover[residues] = True
         for batch in batches:
@@ -232,12 +248,10 @@ def _full_windows(docs: DataFrame, hot: np.ndarray, min_len: int, parts: int) ->
                 edge = np.zeros(len(codes) + 1, np.int64)
                 np.add.at(edge, np.maximum(at - period + 1, 0), 1)
                 np.add.at(edge, at + 1, -1)
-                near = (np.cumsum(edge)[: len(full)] > 0) & fits
-                at = np.flatnonzero(near)
-                check = rollers[1](codes, min_len)[at]
-                yield _pack(parts, np.array([i for i, _, _ in group], np.int64), which[at], pos[at], full[at], check)
+                at = np.flatnonzero((np.cumsum(edge)[: len(full)] > 0) & fits)
+                yield np.array([i for i, _, _ in group], np.int64)[which[at]], pos[at], full[at], rollers[1](codes, min_len)[at]
 
-    return docs.mapInArrow(scan, _PACKED)
+    return docs.mapInArrow(lambda batches: _packed(parts, found(batches)), _PACKED)
 
 
 _GROUPS = "sig binary, i int, j int, left array<bigint>, right array<bigint>, doc bigint, pos bigint"
@@ -357,7 +371,7 @@ def shared(docs: DataFrame, min_len: int = 300, doc_id: str = "doc_id", text: st
     searched = base.join(small(extra, copies.count()), "id", "left_anti")
     chars = base.agg(F.sum(F.length("text"))).first()[0] or 0
     period, residues, _ = cover_for(min_len)
-    parts = max(docs.sparkSession.sparkContext.defaultParallelism, 1 + int(chars * len(residues) / period / PER_PART))
+    parts = max(2 * docs.sparkSession.sparkContext.defaultParallelism, 1 + int(chars * len(residues) / period / PER_PART))
     met = cut(_meet(_anchors(searched, min_len, parts), min_len, paired))
     width = cover_for(min_len)[2]
     diagonal, bucket = F.col("pos_a") - F.col("pos_b"), F.floor(F.col("pos_a") / width)
