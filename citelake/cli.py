@@ -15,6 +15,7 @@ from pathlib import Path
 from . import loading, session
 from .sinks import exports
 from .sources import download as dl
+from .sources import live
 from .status import readiness, summarize
 from .store import Store, local_files, merge_download
 from .validate import run_validation
@@ -56,6 +57,9 @@ def parser() -> argparse.ArgumentParser:
     for f, d in (("abstract-threshold", 0.90), ("entrez-low", 0.95), ("entrez-high", 1.05)):
         v.add_argument(f"--{f}", type=float, default=d)
     v.add_argument("--fail-on-warn", action="store_true")
+    v.add_argument("--online", action=argparse.BooleanOptionalAction, default=False, help="compare with the live service")
+    v.add_argument("--api-key", default=os.environ.get("NCBI_API_KEY"))
+    v.add_argument("--email")
     sub.add_parser("status")
     return p
 
@@ -128,8 +132,10 @@ def _export(store: Store, a: argparse.Namespace) -> int:
 def _validate(store: Store, a: argparse.Namespace) -> int:
     t = store.tables()
     t = None if t["article"].isEmpty() else t
+    get = live.Transport(a.api_key, a.email) if a.online else None
     report = run_validation(
-        store.spark, a.dir, t, previous_report=a.previous_report, previous_manifest=a.previous_manifest, manifest_out=a.manifest, sample_size=a.sample_size,
+        store.spark, a.dir, t, total=get and (lambda: live.total(get)), fetch=get and (lambda pmids: live.documents(store.spark, get, pmids)),
+        previous_report=a.previous_report, previous_manifest=a.previous_manifest, manifest_out=a.manifest, sample_size=a.sample_size,
         drop_sample=a.drop_sample, seed=a.seed, abstract_threshold=a.abstract_threshold, entrez_low=a.entrez_low, entrez_high=a.entrez_high,
     )
     if a.out:

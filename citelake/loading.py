@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import logging
+import time
 import uuid
 
 from pyspark.sql import functions as F
 
 from .functions.ids import parse_file_name
+from .progress import duration
 from .sources import journals, xml
 from .store import Store, merge_load, pending_files
 
@@ -30,7 +32,7 @@ def load_files(store: Store, files: list[tuple[str, str]], force: bool = False,
     todo = pending_files(store, todo, force)
     if not todo:
         return 0, []
-    spark, load_id = store.spark, uuid.uuid4().hex
+    spark, load_id, began = store.spark, uuid.uuid4().hex, time.monotonic()
     stage = f"{store.root}/_staging/{load_id}"
     content = spark.read.format("binaryFile").load([p for p, _ in todo])
     xml.scan(content).write.parquet(stage)  # whole files, packed by size; their bytes aren't shuffled
@@ -56,6 +58,7 @@ def load_files(store: Store, files: list[tuple[str, str]], force: bool = False,
             "published_md5": F.lit(None).cast("string"), "downloaded_at": F.current_timestamp(), "processed_at": F.current_timestamp(), "load_id": F.lit(load_id),
         })
         store.put_registry(merge_load(store.registry(), new))
+    log.info("loaded %d of %d file(s) in %s", len(rows), len(todo), duration(time.monotonic() - began))
     if not keep_staging:
         store._fs.delete(store._path(stage), True)
     return len(rows), failed

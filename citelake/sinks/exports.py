@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators.documents import documents
 from ..operators.versions import latest, of_versions
+from ..progress import Heartbeat
 from ..schemas import CHILDREN, TABLES
 
 _SHARD = re.compile(r"pubmed_metadata_\d+\.ndjson(\.gz)?")
@@ -46,7 +47,8 @@ def write_ndjson(docs: DataFrame, out_dir: str | Path, shards: int | None = None
     try:
         parts = docs.coalesce(shards) if shards else docs
         w = parts.write.mode("overwrite").option("ignoreNullFields", "false")
-        (w.option("compression", "gzip") if gzip_output else w).json(str(staging / "json"))
+        with Heartbeat(staging):
+            (w.option("compression", "gzip") if gzip_output else w).json(str(staging / "json"))
         for p in (staging / "json").iterdir():  # a task without rows leaves an empty file
             if p.name.startswith("part-") and _empty(p):
                 p.unlink()
