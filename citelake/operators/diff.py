@@ -22,11 +22,12 @@ KEYS_PER_BUCKET = 100_000
 def _profile(df: DataFrame, keys: Sequence[str], fields: Sequence[str], buckets: int) -> DataFrame:
     """One row per key: of each field its lowest value, its highest where that differs, and whether a null occurs."""
     aggs = []
-    for i, f in enumerate(fields):
-        c = F.col(f"`{f}`")
+    for i in range(len(fields)):
+        c = F.col(f"f{i}")
         aggs += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"), F.max(c.isNull()).alias(f"nul{i}")]
     ids = [F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)]
-    one = df.select(*ids, *[F.col(f"`{f}`") for f in dict.fromkeys(fields)]).groupBy(*[f"k{i}" for i in range(len(keys))]).agg(*aggs)
+    values = [F.col(f"`{f}`").alias(f"f{i}") for i, f in enumerate(fields)]
+    one = df.select(*ids, *values).groupBy(*[f"k{i}" for i in range(len(keys))]).agg(*aggs)
     slim = {f"hi{i}": F.when(F.col(f"hi{i}") != F.col(f"lo{i}"), F.col(f"hi{i}")) for i in range(len(fields))}
     bucket = F.pmod(F.xxhash64(*[f"k{i}" for i in range(len(keys))]), F.lit(buckets)).cast("int")
     return one.withColumns(slim).withColumn("bucket", bucket)

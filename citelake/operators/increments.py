@@ -62,7 +62,7 @@ def processed_ledger(log: DataFrame, ledger: DataFrame | None = None, mark=None)
 
 
 def pending(registry: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Registry rows to take now, with the reason: ``never_processed``, ``version_changed`` or ``newer_download``.
+    """Registry rows to take now with all their columns, and in ``reason``: ``never_processed``, ``version_changed`` or ``newer_download``.
 
     Rows without ``downloaded_at`` are never due.  A row whose (key, version) pair stands in the ledger is
     removed by the anti-join unless it was never processed.  Of the rest, a row whose two versions are both known is
@@ -71,25 +71,25 @@ def pending(registry: DataFrame, ledger: DataFrame) -> DataFrame:
     times to decide.
     """
     files = registry.where(F.col("downloaded_at").isNotNull() & F.col("file_name").isNotNull())
-    files = files.withColumn("version", version_number(F.col("published_md5")))
+    files = files.withColumn("__version", version_number(F.col("published_md5")))
     pairs = ledger.where(F.col("version").isNotNull()).select(
-        F.col("file_name").alias("done_name"), F.col("version").alias("done_version")
+        F.col("file_name").alias("__name"), F.col("version").alias("__done")
     )
     never = F.col("processed_at").isNull()
     left = files.join(
         pairs,
-        (F.col("file_name") == F.col("done_name")) & (F.col("version") == F.col("done_version")) & ~never,
+        (F.col("file_name") == F.col("__name")) & (F.col("__version") == F.col("__done")) & ~never,
         "left_anti",
     )
-    known = pairs.select(F.col("done_name").alias("known_name"), F.lit(True).alias("known"))
-    left = left.join(known, F.col("file_name") == F.col("known_name"), "left")
-    both = F.col("version").isNotNull() & F.coalesce(F.col("known"), F.lit(False))
+    known = pairs.select("__name", F.lit(True).alias("__known"))
+    left = left.join(known, F.col("file_name") == F.col("__name"), "left")
+    both = F.col("__version").isNotNull() & F.coalesce(F.col("__known"), F.lit(False))
     reason = (
         F.when(never, "never_processed")
         .when(both, "version_changed")
         .when(~both & (F.col("downloaded_at") > F.col("processed_at")), "newer_download")
     )
-    return left.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop("known", "known_name")
+    return left.withColumn("reason", reason).where(F.col("reason").isNotNull()).drop("__known", "__name", "__version")
 
 
 @dataclass(frozen=True)

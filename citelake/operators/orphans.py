@@ -33,18 +33,18 @@ def key_number(key: Column) -> Column:
 
 def _keyed(df: DataFrame, key: str) -> DataFrame:
     c = F.col(key)
-    return df.where(c.isNotNull()).withColumns({"k_class": key_class(c), "k_number": key_number(c)}).withColumn(
-        "k_block", F.floor(F.col("k_number") / BLOCK)
+    return df.where(c.isNotNull()).withColumns({"__class": key_class(c), "__number": key_number(c)}).withColumn(
+        "__block", F.floor(F.col("__number") / BLOCK)
     )
 
 
 def runs(parents: DataFrame, key: str) -> DataFrame:
-    """(k_class, k_block, run_start, run_end) of the distinct non-null parent keys."""
-    keys = _keyed(parents.select(key), key).select("k_class", "k_block", "k_number").distinct()
-    w = Window.partitionBy("k_class", "k_block").orderBy("k_number")
-    island = keys.withColumn("island", F.col("k_number") - F.row_number().over(w))
-    return island.groupBy("k_class", "k_block", "island").agg(
-        F.min("k_number").alias("run_start"), F.max("k_number").alias("run_end")
+    """(__class, __block, run_start, run_end) of the distinct non-null parent keys."""
+    keys = _keyed(parents.select(key), key).select("__class", "__block", "__number").distinct()
+    w = Window.partitionBy("__class", "__block").orderBy("__number")
+    island = keys.withColumn("island", F.col("__number") - F.row_number().over(w))
+    return island.groupBy("__class", "__block", "island").agg(
+        F.min("__number").alias("run_start"), F.max("__number").alias("run_end")
     ).drop("island")
 
 
@@ -57,17 +57,17 @@ def orphans(refs: DataFrame, parents: DataFrame, ref_key: str, parent_key: str,
     """
     run = runs(parents, parent_key)
     keyed = _keyed(refs, ref_key)
-    work = ("k_class", "k_number", "k_block")
-    beyond = [keyed.k_class == run.k_class, keyed.k_block == run.k_block, keyed.k_number >= run.run_start, keyed.k_number <= run.run_end]
+    work = ("__class", "__number", "__block")
+    beyond = [keyed["__class"] == run["__class"], keyed["__block"] == run["__block"], keyed["__number"] >= run["run_start"], keyed["__number"] <= run["run_end"]]
     if run.limit(broadcast_runs + 1).count() <= broadcast_runs:
         return keyed.join(F.broadcast(run), beyond, "left_anti").drop(*work)
     keys = keyed.select(*work).distinct()
-    marks = run.select("k_class", "k_block", F.col("run_start").alias("k_number"), "run_end", F.lit(0).alias("side"))
+    marks = run.select("__class", "__block", F.col("run_start").alias("__number"), "run_end", F.lit(0).alias("side"))
     both = marks.unionByName(keys.withColumns({"run_end": F.lit(None).cast("long"), "side": F.lit(1)}))
-    w = Window.partitionBy("k_class", "k_block").orderBy("k_number", "side")
+    w = Window.partitionBy("__class", "__block").orderBy("__number", "side")
     asof = both.withColumn("end_before", F.last("run_end", ignorenulls=True).over(w)).where("side = 1")
-    lost = asof.where(F.col("end_before").isNull() | (F.col("k_number") > F.col("end_before"))).select("k_class", "k_number")
-    return keyed.join(lost, ["k_class", "k_number"], "left_semi").drop(*work)
+    lost = asof.where(F.col("end_before").isNull() | (F.col("__number") > F.col("end_before"))).select("__class", "__number")
+    return keyed.join(lost, ["__class", "__number"], "left_semi").drop(*work)
 
 
 def release_year(file_name: Column) -> Column:

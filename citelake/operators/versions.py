@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def newest(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each key in the given order; Spark keeps only ``n`` a key before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
 
 
 def last_delete(deleted: DataFrame) -> DataFrame:
@@ -41,8 +41,8 @@ def of_versions(child: DataFrame, versions: DataFrame) -> DataFrame:
     doesn't take for a key).  A snapshot that comes partitioned by pmid from its window then isn't shuffled again, nor is the child for an
     aggregate by version or a join by pmid that follows.
     """
-    v = versions.select(F.col("pmid").alias("v_pmid"), F.col("source_file").alias("v_file"))
-    same = (F.col("pmid") == F.col("v_pmid")) & (F.col("source_file") >= F.col("v_file")) & (F.col("source_file") <= F.col("v_file"))
+    v = versions.select(F.col("pmid").alias("__pmid"), F.col("source_file").alias("__file"))
+    same = (F.col("pmid") == F.col("__pmid")) & (F.col("source_file") >= F.col("__file")) & (F.col("source_file") <= F.col("__file"))
     return child.join(v, same, "left_semi")
 
 

@@ -167,20 +167,33 @@ def test_orphans_against_brute_force(spark, bound):
     parents = [shape() for _ in range(150)] + [None, ""]
     refs = [(i, shape()) for i in range(400)] + [(900, None), (901, ""), (902, "é"), (903, "9" * 30), (903, "9" * 30)]
     p = spark.createDataFrame([(k, 1) for k in parents], "k string, run_start int")
-    r = spark.createDataFrame([(i, k, "c") for i, k in refs], "i int, k string, k_block string")
-    got = rows(orphans.orphans(r.drop("k_block"), p, "k", "k", bound))
+    r = spark.createDataFrame([(i, k) for i, k in refs], "i int, k string")
+    got = rows(orphans.orphans(r, p, "k", "k", bound))
     assert got == sorted(((i, k) for i, k in refs if k is not None and k not in parents), key=repr)
-    assert orphans.orphans(r.drop("k_block"), p.limit(0), "k", "k", bound).count() == len([1 for _, k in refs if k is not None])
-    assert orphans.orphans(r.drop("k_block").limit(0), p, "k", "k", bound).count() == 0
+    assert orphans.orphans(r, p.limit(0), "k", "k", bound).count() == len([1 for _, k in refs if k is not None])
+    assert orphans.orphans(r.limit(0), p, "k", "k", bound).count() == 0
 
 
 def test_runs_and_release_year(spark):
     p = spark.createDataFrame([("01",), ("02",), ("02",), ("04",), (None,), ("5",)], "k string")
-    assert rows(orphans.runs(p, "k"), "k_class", "run_start", "run_end") == [("1", 5, 5), ("2", 1, 2), ("2", 4, 4)]
+    assert rows(orphans.runs(p, "k"), "__class", "run_start", "run_end") == [("1", 5, 5), ("2", 1, 2), ("2", 4, 4)]
     df = spark.createDataFrame([("pubmed25n0001.xml.gz",), ("odd",), (None,)], "f string")
     assert [r[0] for r in df.select(orphans.release_year(F.col("f"))).collect()] == [25, None, None]
 
 
+def test_other_columns_with_working_names_are_kept(spark):
+    r = spark.createDataFrame([("1", 5, 6, 7)], "k string, run_start int, run_end int, side int")
+    p = spark.createDataFrame([("2", 5)], "k string, run_end int")
+    for bound in (10, 0):
+        assert rows(orphans.orphans(r, p, "k", "k", bound)) == [("1", 5, 6, 7)]
+    g = reg(spark, ("a", "01", 1, None)).selectExpr("*", "1 as version", "2 as known", "3 as done_name")
+    got = increments.pending(g, increments.processed_ledger(spark.createDataFrame([], LOG)))
+    assert rows(got, "file_name", "version", "known", "done_name", "reason") == [("a", 1, 2, 3, "never_processed")]
+    a = spark.createDataFrame([(1, "x", "p")], "k1 int, k0 string, bucket string")
+    b = spark.createDataFrame([(1, "y", "q")], "k1 int, k0 string, bucket string")
+    assert rows(diff.differences(a, b, ["k1"], ["k0", "bucket"])) == [(1, "bucket"), (1, "k0")]
+
+
 # ---- differences
 
 COPY = "pmid bigint, source_file string, title string, n int"
