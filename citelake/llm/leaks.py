@@ -124,10 +124,10 @@ def scrub(docs: DataFrame, spans: DataFrame, mode: str = "span", doc_id: str = "
     if mode not in ("span", "document"):
         raise ValueError(f"mode must be span or document: {mode}")
     if mode == "document":
-        gone = spans.select(F.col("doc_id").alias("_gone")).distinct()
-        return docs.join(gone, F.col(doc_id) == F.col("_gone"), "left_anti")
-    cuts = spans.groupBy(F.col("doc_id").alias("_doc")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_cuts"))
-    joined = docs.join(cuts, F.col(doc_id) == F.col("_doc"), "left")
+        gone = spans.select(F.col("doc_id").alias("__gone")).distinct()
+        return docs.join(gone, F.col(doc_id) == F.col("__gone"), "left_anti")
+    cuts = spans.groupBy(F.col("doc_id").alias("__doc")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__cuts"))
+    joined = docs.join(cuts, F.col(doc_id) == F.col("__doc"), "left")
 
     def keep(acc, cut):
         at = F.greatest(acc["at"], cut["start"])
@@ -136,6 +136,6 @@ def scrub(docs: DataFrame, spans: DataFrame, mode: str = "span", doc_id: str = "
         return F.struct(more.alias("out"), F.greatest(acc["at"], cut["end"]).alias("at"))
 
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    done = F.aggregate("_cuts", start, keep, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text))))
-    fixed = F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(done)
-    return joined.withColumn(text, fixed).drop("_doc", "_cuts")
+    done = F.aggregate("__cuts", start, keep, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text))))
+    fixed = F.when(F.col("__cuts").isNull(), F.col(text)).otherwise(done)
+    return joined.withColumn(text, fixed).drop("__doc", "__cuts")
