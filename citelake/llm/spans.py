@@ -4,15 +4,14 @@ Windows are hashed only where a position modulo a period lies in a difference co
 ``min_len`` characters share an aligned anchor within one period of their start.  Anchors travel as packed
 arrays to the partition of their hash, where equal ones meet; each candidate is extended and checked on the texts.
 
-An anchor that many places share (a standing phrase) isn't paired: in a second scan the windows of full length around
-such places are hashed, so that only places with a real match meet and a phrase shorter than ``min_len`` meets nothing.
+Places of an anchor that many places share (a standing phrase) aren't paired: the windows of full length around
+them are hashed, so that only places with a real match meet and a phrase shorter than ``min_len`` meets nothing.
 Exact copies are put together first and only one of each class is searched.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,14 +20,12 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 
-#: Places that may share an anchor and still be paired on it; larger groups take the second scan.
+#: Places that may share an anchor and still be paired on it; larger groups meet again by full windows.
 PAIRED = 32
 #: Anchors that meet in one task's group, on average (about 200 bytes each while they are compared).
 PER_PART = 1_000_000
 #: Anchors a task gathers before it packs them, so that packed rows stay long however many groups there are.
 PACK = 1_000_000
-#: Hot anchors sent to the executors at once (8 bytes each); more are scanned in several blocks.
-HOT_BLOCK = 1_000_000
 #: Characters hashed at once.
 CHUNK = 1_000_000
 #: Up to so many ids or places (about 40 bytes each) go to every executor; beyond it the texts are shuffled to them.
@@ -185,12 +182,12 @@ def _anchors(docs: DataFrame, min_len: int, parts: int) -> DataFrame:
     return docs.mapInArrow(lambda batches: _packed(parts, found(batches)), _PACKED)
 
 
-_MET = "hot boolean, hash bigint, a bigint, pos_a bigint, b bigint, pos_b bigint"
+_MET = "hot boolean, a bigint, pos_a bigint, b bigint, pos_b bigint"
 
 
 def _meet(anchors: DataFrame, min_len: int, paired: int) -> DataFrame:
-    """Candidates (a, pos_a, b, pos_b), one per diagonal and window's length; hot rows: the hashes too many places share, and the
-    documents (a) these stand in."""
+    """Candidates (a, pos_a, b, pos_b), one per diagonal and window's length; hot rows: the places (a, pos_a) of
+    anchors that too many share."""
     width = cover_for(min_len)[2]
 
     def meet(t: pa.Table) -> pa.Table:
@@ -201,7 +198,8 @@ def _meet(anchors: DataFrame, min_len: int, paired: int) -> DataFrame:
         size = np.diff(np.append(first, len(h)))
         several = doc[first] != doc[first + size - 1]  # sorted by doc: the first and last differ
         many = several & (size > paired)
-        hot, places = h[first[many]], np.unique(doc[np.repeat(many, size)])
+        crowd = np.repeat(many, size)
+        hot_doc, hot_pos = doc[crowd], pos[crowd]
         keep = np.repeat(several & (size <= paired), size)
         doc, pos, h = doc[keep], pos[keep], h[keep]
         found = []
@@ -219,39 +217,38 @@ def _meet(anchors: DataFrame, min_len: int, paired: int) -> DataFrame:
         key = key[:, order]
         new = np.concatenate([[True], (key[:4, 1:] != key[:4, :-1]).any(axis=0)])[: key.shape[1]]
         pick = order[new]
-        n, m, d = len(pick), len(hot), len(places)
-        none = lambda k: pa.nulls(k, pa.int64())
-        pair = [[pa.array(x[pick]), none(m), pa.array(places) if k == 0 else none(d)] for k, x in enumerate((a, pa_, b, pb))]
-        cols = [pa.chunked_array(c) for c in ([none(n), pa.array(hot.view(np.int64)), none(d)], *pair)]
-        return pa.table([pa.array(np.arange(n + m + d) >= n), *cols], names=["hot", "hash", "a", "pos_a", "b", "pos_b"])
+        n, m = len(pick), len(hot_doc)
+        more = [pa.array(hot_doc), pa.array(hot_pos), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())]
+        cols = [pa.chunked_array([pa.array(x[pick]), y]) for x, y in zip((a, pa_, b, pb), more, strict=True)]
+        return pa.table([pa.array(np.arange(n + m) >= n), *cols], names=["hot", "a", "pos_a", "b", "pos_b"])
 
     return anchors.groupBy("part").applyInArrow(meet, _MET)
 
 
-def _full_windows(docs: DataFrame, hot: np.ndarray, min_len: int, parts: int) -> DataFrame:
-    """Windows of full length that start within a period before an anchor whose hash is hot."""
-    period, residues, width = cover_for(min_len)
-    shared = docs.sparkSession.sparkContext.broadcast(np.sort(hot))
+def _full_windows(docs: DataFrame, min_len: int, parts: int) -> DataFrame:
+    """Windows of full length that start within a period before one of the places ``at`` of a text."""
+    period = cover_for(min_len)[0]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        rollers, cover, wanted = [Roller(b) for b in _BASES], np.zeros(period, bool), shared.value
-        cover[residues] = True
+        rollers = [Roller(b) for b in _BASES]
         for batch in batches:
-            for group in _pieces(batch.column(0).to_pylist(), batch.column(1).to_pylist(), min_len):
-                h, which, pos, fits, codes = _windows(group, width, rollers[0])
-                at = np.flatnonzero(fits & cover[pos % period])
-                near = np.minimum(np.searchsorted(wanted, h[at]), len(wanted) - 1)
-                at = at[wanted[near] == h[at]]
-                if not len(at):
-                    continue
-                full, which, pos, fits, _ = _windows(group, min_len, rollers[0])
-                edge = np.zeros(len(codes) + 1, np.int64)
-                np.add.at(edge, np.maximum(at - period + 1, 0), 1)
-                np.add.at(edge, at + 1, -1)
-                at = np.flatnonzero((np.cumsum(edge)[: len(full)] > 0) & fits)
-                yield np.array([i for i, _, _ in group], np.int64)[which[at]], pos[at], full[at], rollers[1](codes, min_len)[at]
-
-    return docs.mapInArrow(lambda batches: _packed(parts, found(batches)), _PACKED)
+            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            at = [np.array(x, np.int64) for x in batch.column(2).to_pylist()]
+            for group in _pieces(list(range(len(texts))), texts, min_len):
+                full, which, pos, fits, codes = _windows(group, min_len, rollers[0])
+                edge, base = np.zeros(len(codes) + 1, np.int64), 0
+                for k, offset, piece in group:
+                    lo = np.maximum(at[k] - offset - period + 1, 0)
+                    hi = np.minimum(at[k] - offset + 1, len(piece))
+                    here = hi > lo
+                    np.add.at(edge, base + lo[here], 1)
+                    np.add.at(edge, base + hi[here], -1)
+                    base += len(piece)
+                near = np.flatnonzero((np.cumsum(edge)[: len(full)] > 0) & fits)
+                own = ids[np.array([k for k, _, _ in group], np.int64)]
+                yield own[which[near]], pos[near], full[near], rollers[1](codes, min_len)[near]
+
+    return docs.select("id", "text", "at").mapInArrow(lambda batches: _packed(parts, found(batches)), _PACKED)
 
 
 _GROUPS = "sig binary, i int, j int, left array<bigint>, right array<bigint>, doc bigint, pos bigint"
@@ -377,14 +374,10 @@ def shared(docs: DataFrame, min_len: int = 300, doc_id: str = "doc_id", text: st
     diagonal, bucket = F.col("pos_a") - F.col("pos_b"), F.floor(F.col("pos_a") / width)
     cands = met.where("not hot").groupBy("a", "b", diagonal.alias("diagonal"), bucket.alias("bucket")).agg(F.min("pos_a").alias("pos_a"))
     cands = cands.select("a", "b", "pos_a", (F.col("pos_a") - F.col("diagonal")).alias("pos_b"))
-    places = met.where("hot and a is not null").select(F.col("a").alias("id")).distinct()
-    hot_docs = searched.join(small(places, places.count()), "id", "left_semi")
-    full = [
-        _meet_full(_full_windows(hot_docs, hot, min_len, parts))
-        for hot in _hot_blocks(met.where("hot and hash is not null").select("hash").distinct())
-    ]
-    spark = docs.sparkSession
-    groups = cut(reduce(DataFrame.unionByName, full)) if full else spark.createDataFrame([], _GROUPS)
+    hot = met.where("hot")
+    places = hot.groupBy(F.col("a").alias("id")).agg(F.collect_set("pos_a").alias("at"))
+    crowded = searched.join(small(places, hot.count()), "id")
+    groups = cut(_meet_full(_full_windows(crowded, min_len, parts)))
     blocks = groups.where("sig is not null").groupBy("sig", "i", "j").agg(F.first("left").alias("left"), F.first("right").alias("right"))
     pairs = blocks.select(F.explode("left").alias("a"), "right").select("a", F.explode("right").alias("b")).where("a < b").distinct()
     return {
@@ -393,18 +386,6 @@ def shared(docs: DataFrame, min_len: int = 300, doc_id: str = "doc_id", text: st
     }
 
 
-def _hot_blocks(hot: DataFrame) -> Iterator[np.ndarray]:
-    """Hot hashes in blocks of bounded size."""
-    block: list[int] = []
-    for row in hot.toLocalIterator():
-        block.append(row["hash"])
-        if len(block) == HOT_BLOCK:
-            yield np.array(block, np.int64).view(np.uint64)
-            block = []
-    if block:
-        yield np.array(block, np.int64).view(np.uint64)
-
-
 def pairs(docs: DataFrame, min_len: int = 300, **columns) -> DataFrame:
     """(doc_a, doc_b), doc_a < doc_b: every two documents with a common substring of ``min_len`` characters or more."""
     s = shared(docs, min_len, **columns)
