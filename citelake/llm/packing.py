@@ -139,16 +139,18 @@ def containers(sized: DataFrame, capacity: int = 2048, doc_id: str = "doc_id", s
     kind = dict(sized.dtypes)[doc_id]
     items = cut(sized.select(F.col(doc_id).alias("doc_id"), F.col(size).cast("bigint").alias("n_tokens")).where("doc_id is not null and n_tokens > 0"))
     shards = max(1, -(-items.count() // shard))  # of the written sizes, so tokens are counted once
+    # equal rows count first and then get numbers, so a row that repeats without end spreads over all shards
+    copies = items.groupBy("doc_id", "n_tokens").agg(F.count("*").alias("n"))
+    copies = copies.select("doc_id", "n_tokens", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("copy"))
     # full containers of long documents need no packing
-    whole = F.floor(F.col("n_tokens") / capacity)
-    cut_up = items.withColumns({"full": F.when(F.col("n_tokens") > capacity, whole).otherwise(F.lit(0)), "salt": F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(shards))})
-    full = cut_up.where("full > 0").select(
-        "doc_id", F.posexplode(F.sequence(F.lit(1).cast("bigint"), F.col("full"))).alias("n", "part")
-    )
-    full = full.select(F.concat_ws("-", F.lit("full"), "doc_id", "part").alias("container"), "doc_id", F.col("part").cast("bigint").alias("part"), F.lit(capacity).cast("bigint").alias("n_tokens"))
+    full_parts = F.when(F.col("n_tokens") > capacity, F.floor(F.col("n_tokens") / capacity)).otherwise(F.lit(0))
+    cut_up = copies.withColumns({"full": full_parts, "salt": F.pmod(F.xxhash64("doc_id", "n_tokens", "copy"), F.lit(shards))})
+    full = cut_up.where("full > 0").select("doc_id", "copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("full"))).alias("part"))
+    name = F.concat_ws("-", F.lit("full"), "doc_id", F.nullif("copy", F.lit(0)), "part").alias("container")
+    full = full.select(name, "doc_id", "part", F.lit(capacity).cast("bigint").alias("n_tokens"))
     rest = cut_up.select(
         F.col("salt").cast("bigint").alias("shard"), "doc_id", F.when(F.col("full") > 0, F.col("full") + 1).otherwise(F.lit(0)).cast("bigint").alias("part"),
-        F.when(F.col("full") > 0, F.col("n_tokens") - F.col("full") * capacity).otherwise(F.col("n_tokens")).alias("n_tokens"),
+        (F.col("n_tokens") - F.col("full") * capacity).alias("n_tokens"),
     ).where("n_tokens > 0")
 
     def fill(t: pa.Table) -> pa.Table:

@@ -130,7 +130,7 @@ def test_reduction_keeps_an_optimal_packing(case):
 
 def test_containers(spark):
     rng = random.Random(8)
-    sizes = [(i, rng.choice([rng.randrange(1, 30), rng.randrange(1, 260)])) for i in range(3000)] + [(9000, 0), (9001, None), (None, 5), (9002, -1), (9003, 100), (9003, 100), (9004, 300)]
+    sizes = [(i, rng.choice([rng.randrange(1, 30), rng.randrange(1, 260)])) for i in range(3000)] + [(9000, 0), (9001, None), (None, 5), (9002, -1), (9003, 100), (9003, 100), (9004, 300), (9005, 250), (9005, 250)]
     df = spark.createDataFrame([(i, n, "c") for i, n in sizes], "doc_id bigint, n_tokens bigint, container string")
     got = packing.containers(df, 100, shard=500).collect()
     per, by = {}, {}
@@ -139,10 +139,11 @@ def test_containers(spark):
         by.setdefault(r["doc_id"], []).append((r["part"], r["n_tokens"]))
     assert max(per.values()) <= 100
     want = {i: n for i, n in sizes if i is not None and n and n > 0}
-    assert {i: sum(n for _, n in v) for i, v in by.items()} == want | {9003: 200}
+    assert {i: sum(n for _, n in v) for i, v in by.items()} == want | {9003: 200, 9005: 500}
     assert all(len(by[i]) == 1 for i, n in want.items() if n <= 100 and i != 9003)
+    assert sorted(by[9005]) == [(1, 100), (1, 100), (2, 100), (2, 100), (3, 50), (3, 50)]
     assert sorted(by[9004]) == [(1, 100), (2, 100), (3, 100)]
-    assert len(per) <= 1.01 * sum(per.values()) / 100 + 6
+    assert all(n > 0 for n in per.values()) and len(per) <= 1.01 * sum(per.values()) / 100 + 6
     again = packing.containers(df.repartition(7), 100, shard=500).collect()
     assert sorted(map(repr, again)) == sorted(map(repr, got))
     assert packing.containers(df.limit(0), 100).count() == 0
