@@ -26,7 +26,9 @@ def month(raw: Column) -> Column:
     at = F.when(number.between(1, 12), number.cast("int") - 1)
     name = F.concat(F.upper(F.substring(s, 1, 1)), F.lower(F.substring(s, 2, 2)))
     return (
-        F.when(s == "", "")
+        F.when(raw.isNull(), "")
+        .when(raw.isin(*MONTHS), raw)  # as most are, without any pattern
+        .when(s == "", "")
         .when(s.rlike(r"\A[0-9]+\z"), F.coalesce(F.get(names, at), F.lit("")))
         .when(name.isin(*MONTHS) & s.rlike(r"\A\p{L}+\z"), name)
         .otherwise(s)
@@ -37,7 +39,7 @@ def day(raw: Column) -> Column:
     """A number without leading zeros; all else stripped; NULL gives ''."""
     s = strip(or_empty(raw))
     plain = F.regexp_replace(s, r"\A0+(?=[0-9])", "")
-    return F.when(s.rlike(r"\A[0-9]+\z"), plain).otherwise(s)
+    return F.when(raw.rlike(r"\A[1-9][0-9]?\z"), raw).when(s.rlike(r"\A[0-9]+\z"), plain).otherwise(s)
 
 
 def free_year(free: Column) -> Column:
@@ -62,10 +64,11 @@ def pub_month(raw: Column, free: Column) -> Column:
 
 def pub_date(year: Column, raw_month: Column, raw_day: Column, free: Column) -> Column:
     """The free-text date if there is one, else year, month and day; a day without a month is dropped."""
-    whole, m = strip(or_empty(free)), month(raw_month)
-    none = F.lit("")
-    parts = F.concat_ws(" ", F.nullif(strip(or_empty(year)), none), F.nullif(m, none), F.when(m != "", F.nullif(day(raw_day), none)))
-    return F.when(whole != "", whole).otherwise(strip(parts))
+    whole, m, none = strip(or_empty(free)), month(raw_month), F.lit("")
+    y = F.when(year.rlike(r"\A[0-9]{4}\z"), year).otherwise(F.nullif(strip(or_empty(year)), none))
+    d = F.when(raw_day.isNotNull() & (m != ""), F.nullif(day(raw_day), none))
+    parts = F.concat_ws(" ", y, F.nullif(m, none), d)  # each is stripped and none is empty
+    return F.when(free.isNotNull() & (whole != ""), whole).otherwise(parts)
 
 
 def comparable_date(c: Column) -> Column:
