@@ -1,7 +1,7 @@
 """Spellings of persons and of departments that name the same one.
 
-Distinct spellings are indexed by suffixes of their tokens (and by prefixes, the suffixes of the reversed token), a block
-that many spellings share is split by their other fields, and the pairs of a block are compared token by token by the
+Distinct spellings are indexed by their tokens and by these without any one letter, so that tokens one slip apart meet; a block
+that many spellings share is split by their other fields in the same way, and the pairs of a block are compared token by token by the
 ratio of their longest common subsequence.  Certain links make components; a spelling that says less - no middle initial, only an
 initial, an ambiguous short name - joins a component only if exactly one fits.
 """
@@ -11,6 +11,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import combinations, product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,6 +24,8 @@ from ..session import cut
 BLOCK = 64
 #: Shortest indexed suffix.
 SUFFIX = 3
+#: First letter of the keys of blocks in which only spellings of one word are compared with those of two.
+ACROSS = "I"
 
 # Given names and the short forms in use for them.
 SHORT_FORMS = """
@@ -55,6 +59,8 @@ for _line in SHORT_FORMS.replace("\n", " ").split(";"):
     _formal, *_short = _line.split()
     for _s in _short:
         _FORMS[_s] = _FORMS.get(_s, frozenset()) | {_formal}
+#: Given names that have a short form or are one.
+_NAMES = frozenset(_FORMS).union(*_FORMS.values())
 
 
 def plain(text: str) -> str:
@@ -170,24 +176,34 @@ def same_person(a, b) -> int:
     return NO
 
 
-def _affixes(base: str) -> Iterator[tuple[str, str]]:
-    """(key, longer key) of the suffix and of the reversed token's suffix."""
-    yield "S" + base[-SUFFIX:], base[-SUFFIX - 2 :]
-    yield "P" + base[:SUFFIX], base[: SUFFIX + 2]
+def slips(text: str) -> dict[str, None]:
+    """The text and the text without any one of its letters: two texts that are ``near`` have one of these in common."""
+    return dict.fromkeys([text, *(text[:i] + text[i + 1 :] for i in range(len(text)))])
 
 
-def person_keys(p) -> Iterator[tuple[str, list[str], list[str]]]:
-    """(block key, keys that split a large block, keys that split it again) of a parsed name, for each token as base."""
+def person_keys(p) -> Iterator[tuple[str, list[str]]]:
+    """(block key, keys that split a large block) of a parsed name.  Any two names that ``same_person`` accepts share a block key and, where that
+    has keys to split it, one of those; a key without any is compared in full.
+
+    E: a token; split by the other token's slips and formal names.  N: a token's slips with a formal name of the other.  W: a family name and its
+    initials.  I: a token's slips and an initial of the other.
+    """
     words, initials = p
-    for i, base in enumerate(words):
-        others = [formal_word for w in words[:i] + words[i + 1 :] for formal_word in formal(w)] or list(initials[:1])
-        for other in others or [""]:
-            sides = ["<" + other[:3], ">" + other[-3:]] if len(other) > 1 else []
-            yield "E" + base, ["E" + base + s for s in sides] or ["E" + base + "<" + other], ["E" + base + "|" + other]
-            if len(base) > SUFFIX:
-                for key, longer in _affixes(base):
-                    k = f"{key}|{other[:1]}"
-                    yield k, [k + s for s in sides] + [k + "+" + longer], [k + "+" + longer + s for s in sides or [""]]
+    if len(words) == 1:
+        if initials:
+            yield f"W{words[0]}|{''.join(initials)}", []
+            for d in slips(words[0]):
+                yield f"{ACROSS}{d}|{initials[0]}", []
+        return
+    for base, other in (words, words[::-1]):
+        forms = sorted(formal(other))
+        known = forms if other in _NAMES else []
+        yield "E" + base, [f"E{base}~{d}" for d in slips(other)] + [f"E{base}={f}" for f in known]
+        for d in slips(base):
+            for c in sorted({other[0], *(f[0] for f in forms)}):
+                yield f"{ACROSS}{d}|{c}", []
+            for f in known:
+                yield f"N{d}={f}", []
 
 
 # ---- departments of institutions: (topic, kind, places, country)
@@ -256,14 +272,21 @@ def same_department(a, b) -> int:
     return SURE if topic + place <= 1 else NO
 
 
-def department_keys(d) -> Iterator[tuple[str, list[str], list[str]]]:
+def _affixes(base: str) -> tuple[str, str]:
+    """Keys of the suffix and of the reversed token's suffix."""
+    return "S" + base[-SUFFIX:], "P" + base[:SUFFIX]
+
+
+def department_keys(d) -> Iterator[tuple[str, list[str]]]:
+    """(block key, keys that split a large block): by the first letters of the topic's words, which abbreviations keep, and by the topic's slips."""
     topic, kind, places, _ = d
     initial = "".join(k[0] for k in kind.split())
+    letters = "".join(w[0] for w in topic.split())
     for place in places:
         for side in ("<" + topic[:3], ">" + topic[-3:]):
-            for key, longer in _affixes(place):
+            for key in _affixes(place):
                 k = f"{key}|{initial}{side}"
-                yield k, [k + "+" + longer, k + "|" + topic], [k + "+" + longer + "|" + topic]
+                yield k, [f"{k}|{letters}", *(f"{k}~{t}" for t in slips(topic))]
 
 
 def says(p) -> int:
@@ -283,41 +306,32 @@ FIELDS: dict[str, tuple[Callable, Callable, Callable, Callable]] = {
 
 
 def _entries(values: DataFrame, field: str) -> DataFrame:
-    """(value, k0, k1, k2): a row per block key of each distinct value, with the keys that split its block."""
+    """(value, k0, k1): a row per block key of each distinct value, with the keys that split its block."""
     parse, keys, *_ = FIELDS[field]
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for v in batch.column(0).to_pylist():
-                p = parse(v)
-                if p is not None:
-                    rows += [(v, *k) for k in keys(p)]
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
-            kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["value", "k0", "k1", "k2"])
+            for at in range(0, len(batch), 1000):
+                rows = []
+                for v in batch.column(0).slice(at, 1000).to_pylist():
+                    p = parse(v)
+                    if p is not None:
+                        rows += [(v, *k) for k in dict(keys(p)).items()]
+                cols = list(zip(*rows, strict=True)) if rows else [[]] * 3
+                kinds = [pa.string(), pa.string(), pa.list_(pa.string())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["value", "k0", "k1"])
 
-    return values.mapInArrow(index, "value string, k0 string, k1 array<string>, k2 array<string>")
+    return values.mapInArrow(index, "value string, k0 string, k1 array<string>")
 
 
 def _blocks(entries: DataFrame, block: int) -> DataFrame:
-    """(block, value): blocks of at most ``block`` values where further fields can split them that far."""
-    left, out = entries, None
-    for level, refine in (("k0", "k1"), ("k1", "k2"), ("k2", None)):
-        rows = left if level == "k0" else left.withColumn(level, F.explode(level))
-        if refine is None:
-            part = rows
-        else:
-            large = rows.groupBy(level).agg(F.count("*").alias("n")).where(F.col("n") > block).select(F.col(level).alias("large"))
-            part = rows.join(large, F.col(level) == F.col("large"), "left_anti")
-            left = rows.join(large, F.col(level) == F.col("large"), "left_semi")
-            if level == "k0":
-                left = left.select("value", "k1", "k2")
-            else:
-                left = left.select("value", "k2")
-        part = part.select(F.col(level).alias("block"), "value").distinct()
-        out = part if out is None else out.unionByName(part)
-    return out
+    """(block, value): blocks of at most ``block`` values where further fields can split them that far without parting a pair that agrees."""
+    whole = entries.where(F.size("k1") == 0)
+    rows = entries.where(F.size("k1") > 0)
+    large = rows.groupBy("k0").agg(F.count("*").alias("n")).where(F.col("n") > block).select(F.col("k0").alias("large"))
+    small = rows.join(large, F.col("k0") == F.col("large"), "left_anti")
+    split = rows.join(large, F.col("k0") == F.col("large"), "left_semi").select(F.explode("k1").alias("block"), "value").distinct()
+    return whole.unionByName(small).select(F.col("k0").alias("block"), "value").unionByName(split)
 
 
 def _compare(blocks: DataFrame, field: str) -> DataFrame:
@@ -332,24 +346,28 @@ def _compare(blocks: DataFrame, field: str) -> DataFrame:
                 for b, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     if b != name:
                         if len(held) > 1:
-                            yield held
+                            yield name, held
                         name, held = b, []
                     held.append(v)
             if len(held) > 1:
-                yield held
+                yield name, held
 
         out: list[tuple] = []
-        for held in runs():
-            parsed = [(v, parse(v)) for v in held]
-            rank = [(weight(p), v) for v, p in parsed]
-            for i, (a, p) in enumerate(parsed):
-                for k, (b, q) in enumerate(parsed[i + 1 :], i + 1):
-                    how = same(p, q)
-                    if how:
-                        out.append((a, b, how) if rank[i] < rank[k] else (b, a, how))
-            if len(out) > 10_000:
-                yield _links(out)
-                out = []
+        parsed = lru_cache(100_000)(parse)
+        for name, held in runs():
+            spellings = [(v, p, (weight(p), v)) for v in held for p in (parsed(v),)]
+            if name[0] == ACROSS:
+                two = [x for x in spellings if len(x[1][0]) > 1]
+                met = product([x for x in spellings if len(x[1][0]) == 1], two) if len(two) < len(held) else ()
+            else:
+                met = combinations(spellings, 2)
+            for (a, p, low), (b, q, high) in met:
+                how = same(p, q)
+                if how:
+                    out.append((a, b, how) if low < high else (b, a, how))
+                    if len(out) > 10_000:
+                        yield _links(out)
+                        out = []
         yield _links(out)
 
     ordered = blocks.repartition(_tasks(blocks), "block").sortWithinPartitions("block")

@@ -82,6 +82,37 @@ def test_blocks_lose_nothing_against_all_pairs(spark, block):
     assert {(r["a"], r["b"]) for r in links.collect()} == sure
 
 
+def found(spark, values, field, block):
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    return {tuple(sorted(r[:2])): r["how"] for r in N._compare(N._blocks(N._entries(df, field), block), field).collect()}
+
+
+def all_pairs(values, field):
+    parse, _, same, _ = N.FIELDS[field]
+    parsed = sorted((v, parse(v)) for v in values)
+    return {(a, b): h for i, (a, p) in enumerate(parsed) for b, q in parsed[i + 1:] if (h := same(p, q))}
+
+
+@pytest.mark.parametrize("block", [3, N.BLOCK])
+def test_short_tokens_and_initials_in_large_blocks(spark, block):
+    """Links of every kind, whatever the size of their blocks."""
+    values = {"Anna Lee", "Ana Lee", "Lee, Anna", "A Lee", "John B Smith", "Smith JB", "J. Smith", "John B Smiht", "Smith J", "Ingrid Norman", "Ingrid Nomran", "Nomran I",
+              "Robert Norman", "Bob Nomran", "B. Norman", "Bob Norman", "R Nomran", "Ed Li", "Edward Li", "Ted Li", "Edward Lii", "Ana Ana", "Anna Ana", "Yara Abcdefgh", "Yara Bcdefgha", "Yaar Abcdefgh"}
+    values |= {f"{a}{b}{a} Lee" for a in "Bacodefi" for b in "klmrstvwx"} | {f"J{c}hn Smith" for c in "abcdefghijklmn"} | {f"{c}{d}vi Smith" for c in "BCDFG" for d in "aeiouy" for _ in "x"}
+    expected = all_pairs(values, "name")
+    assert {("Ana Lee", "Anna Lee"), ("John B Smith", "Smith JB"), ("Ingrid Nomran", "Ingrid Norman"), ("Bob Nomran", "Robert Norman")} <= set(expected)
+    assert found(spark, values, "name", block) == expected
+
+
+def test_topics_in_large_blocks(spark):
+    """Departments of one place: abbreviated topics and topics with a slip meet in split blocks."""
+    topics = ["Health Science", "Hea Sci", "Heatlh Science", "Heart Care", "Heat Research", "Hearing and Balance", "Hear and Bal", "Hearing and Balanec", "Heavy Metals", "Headache"]
+    values = {f"Department of {t}, Bavistown Institute of Technology, {c}" for t in topics for c in ("Norland", "Velland")}
+    expected = all_pairs(values, "affiliation")
+    got = found(spark, values, "affiliation", 3)
+    assert expected and got == found(spark, values, "affiliation", N.BLOCK) and got.items() <= expected.items()
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}") for i in range(60)] + [("x", "y"), ("y", "x"), ("z", "z")], "a string, b string")
     got = {r["value"]: r["root"] for r in N.components(links).collect()}
