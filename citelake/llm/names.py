@@ -22,8 +22,6 @@ from ..session import cut
 
 #: Spellings in a block that are compared pairwise; larger blocks are split by further fields first.
 BLOCK = 64
-#: Shortest indexed suffix.
-SUFFIX = 3
 #: First letter of the keys of blocks in which only spellings of one word are compared with those of two.
 ACROSS = "I"
 
@@ -272,21 +270,19 @@ def same_department(a, b) -> int:
     return SURE if topic + place <= 1 else NO
 
 
-def _affixes(base: str) -> tuple[str, str]:
-    """Keys of the suffix and of the reversed token's suffix."""
-    return "S" + base[-SUFFIX:], "P" + base[:SUFFIX]
-
-
 def department_keys(d) -> Iterator[tuple[str, list[str]]]:
-    """(block key, keys that split a large block): by the first letters of the topic's words, which abbreviations keep, and by the topic's slips."""
+    """(block key, keys that split a large block) of a parsed department, as ``person_keys``.
+
+    E: a place and the kind; split by the first letters of the topic's words, which abbreviations keep, and by the topic's slips.  A: a place's
+    slips, the kind and those first letters.
+    """
     topic, kind, places, _ = d
-    initial = "".join(k[0] for k in kind.split())
     letters = "".join(w[0] for w in topic.split())
     for place in places:
-        for side in ("<" + topic[:3], ">" + topic[-3:]):
-            for key in _affixes(place):
-                k = f"{key}|{initial}{side}"
-                yield k, [f"{k}|{letters}", *(f"{k}~{t}" for t in slips(topic))]
+        here = f"{place}|{kind}"
+        yield "E" + here, [f"E{here}|{letters}", *(f"E{here}~{t}" for t in slips(topic))]
+        for p in slips(place):
+            yield f"A{p}|{kind}|{letters}", []
 
 
 def says(p) -> int:

@@ -113,6 +113,17 @@ def test_topics_in_large_blocks(spark):
     assert expected and got == found(spark, values, "affiliation", N.BLOCK) and got.items() <= expected.items()
 
 
+@pytest.mark.parametrize("block", [3, N.BLOCK])
+def test_departments_of_short_places(spark, block):
+    """Slips in the middle of short places and topics abbreviated at both ends, whatever the size of the blocks."""
+    values = {f"Department of {t}, University of {p}, {p}" for p in ("Paris", "Pais", "Oxford", "Oxofrd", "Oxfords") for t in ("Health Science", "Hlth Sci", "Heatlh Science", "Surgery", "Sugrery", "Srg")}
+    values |= {f"Department of Surgery, {p} Medical School, Norland" for p in ("Paris", "Pairs", "Praise")}
+    expected = all_pairs(values, "affiliation")
+    paris, hlth = "Department of Surgery, University of Paris, Paris", "Department of Hlth Sci, University of Paris, Paris"
+    assert ("Department of Surgery, University of Pais, Pais", paris) in expected and (hlth.replace("Hlth Sci", "Health Science"), hlth) in expected
+    assert found(spark, values, "affiliation", block) == expected
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}") for i in range(60)] + [("x", "y"), ("y", "x"), ("z", "z")], "a string, b string")
     got = {r["value"]: r["root"] for r in N.components(links).collect()}
