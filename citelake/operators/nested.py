@@ -35,6 +35,7 @@ RULES = (
     Rule("affiliation", "affiliation_text", "text"),
     Rule("affiliation", "affiliation_info", "object", has=("Affiliation",)),
     Rule("heading", "heading_object", "object"),
+    Rule("heading", "heading_text", "text"),
     Rule("qualifier", "qualifier_object", "object"),
     Rule("qualifier", "qualifier_text", "text"),
     Rule("section", "section_text", "text"),
@@ -72,11 +73,13 @@ TABLES = {
     "affiliation_info": _KEYS + "affiliation",
     "affiliation_text": _KEYS + "affiliation",
     "heading_object": _KEYS + "descriptor_ui descriptor_name",
+    "heading_text": _KEYS + "descriptor_name",
     "qualifier_object": _KEYS + "qualifier_ui qualifier_name major_topic_yn",
     "qualifier_text": _KEYS + "qualifier_name",
     "section_labelled": _KEYS + "label nlm_category text",
     "section_plain": _KEYS + "nlm_category text",
     "section_text": _KEYS + "text",
+    "other": _KEYS + "sort content",
     "reject": "record_id",
 }
 
@@ -173,6 +176,8 @@ def nodes(records: DataFrame, columns: list[str]) -> DataFrame:
                     out["parent_pos"].append(parent)
                     out["child_pos"].append(place)
                     here = {c: _value(node, path) for c, path in wanted.get(sort, ())}
+                    if st == "other":
+                        here["content"] = json.dumps(node)
                     for c in columns:
                         out[c].append(here.get(c))
             kinds = {"record_id": pa.int64(), "parent_pos": pa.int32(), "child_pos": pa.int32()}
@@ -187,17 +192,17 @@ def tables(records: DataFrame) -> dict[str, DataFrame]:
 
     ``records`` needs record_id and payload; other columns are ignored.  A record that comes twice with one payload
     gives its rows once; with two payloads the rows of both.  ``reject`` holds the record_id of each payload that can't be read;
-    a node whose shape no rule knows is in no table.  Empty input gives empty tables.  Several tables are
+    ``other`` holds each node whose shape no rule knows, with its sort and its JSON text.  Empty input gives empty tables.  Several tables are
     best routed from one written or persisted copy of ``nodes``.
     """
-    every = nodes(records, list(dict.fromkeys(c for cols in COLUMNS.values() for c in cols)))
+    every = nodes(records, [*dict.fromkeys(c for cols in COLUMNS.values() for c in cols), "content"])
     return {name: every.where(F.col("state") == name).select(*cols.split()).distinct() for name, cols in TABLES.items()}
 
 
 def children(records: DataFrame) -> DataFrame:
-    """The supertype view over all subtype tables: record_id, child_table, parent_pos, child_pos, qualifier_ui ('' but for
+    """The supertype view over all subtype tables and ``other``: record_id, child_table, parent_pos, child_pos, qualifier_ui ('' but for
     qualifiers), each once."""
-    rows = nodes(records, ["qualifier_ui"]).where(F.col("sort").isin(*SUPERTYPE) & (F.col("state") != "other"))
+    rows = nodes(records, ["qualifier_ui"]).where(F.col("sort").isin(*SUPERTYPE))
     table_of = F.create_map(*[F.lit(x) for kv in SUPERTYPE.items() for x in kv])
     ui = F.coalesce("qualifier_ui", F.lit("")).alias("qualifier_ui")
     return rows.select("record_id", table_of[F.col("sort")].alias("child_table"), "parent_pos", "child_pos", ui).distinct()

@@ -44,6 +44,22 @@ def test_nested_shapes(spark):
     assert all(nested.tables(df.limit(0))[n].count() == 0 for n in ("reject", "author_person"))
 
 
+def test_nested_shapes_without_a_rule(spark):
+    authors = [{"LastName": "A", "AffiliationInfo": [{"Identifier": "i"}, ["x"]]}, [{"LastName": "B"}]]
+    one = payload(authors=authors, text=[{"Label": "METHODS", "value": None}, ["y"]], mesh=["plain", {"Qualifier": [["q"]]}, ["z"]])
+    df = spark.createDataFrame([(1, one)], "record_id bigint, payload string")
+    assert rows(nested.children(df)) == sorted([
+        (1, "author", 0, 1, ""), (1, "author", 0, 2, ""), (1, "author_affiliation", 1, 1, ""), (1, "author_affiliation", 1, 2, ""), (1, "mesh_qualifier", 2, 1, ""),
+        (1, "abstract_text", 0, 0, ""), (1, "abstract_text", 0, 1, ""),
+    ], key=repr)
+    t = nested.tables(df)
+    assert rows(t["heading_text"]) == [(1, 0, 1, "plain")]
+    assert rows(t["other"], "sort", "parent_pos", "child_pos", "content") == sorted([
+        ("author", 0, 2, '[{"LastName": "B"}]'), ("affiliation", 1, 1, '{"Identifier": "i"}'), ("affiliation", 1, 2, '["x"]'), ("heading", 0, 3, '["z"]'), ("qualifier", 2, 1, '["q"]'),
+        ("section", 0, 0, '{"Label": "METHODS", "value": null}'), ("section", 0, 1, '["y"]'),
+    ], key=repr)
+
+
 # ---- increments
 
 T0 = datetime(2025, 1, 1)
