@@ -27,7 +27,7 @@ INVISIBLE = "͏ᅟᅠ឴឵ㅤﾠ" + "".join(map(chr, range(0xFE00, 0xFE10)))
 def _rules() -> Iterator[tuple[str, str, str]]:
     """(kind, sequence, plain form), from the Unicode character database."""
     nfc, nfkc = (lambda s: unicodedata.normalize("NFC", s)), (lambda s: unicodedata.normalize("NFKC", s))
-    for cp in (*range(0x80, 0x11800), *range(0x1D100, 0x1D800), *range(0xE0000, 0xE0200)):
+    for cp in (*range(0x80, 0x11800), *range(0x1D100, 0x1D800), *range(0x2F800, 0x2FA20), *range(0xE0000, 0xE0200)):
         c = chr(cp)
         category = unicodedata.category(c)
         if category in ("Cn", "Co", "Cs"):
@@ -112,9 +112,18 @@ class Transducer:
         return text
 
     def run(self, text: str) -> str:
-        """The plain form; ASCII text and text without any rule's sequence come back as they are."""
+        """The plain form; ASCII text and composed text without any rule's sequence come back as they are.
+
+        The standard composition before the rules brings marks of one letter in any order to one form; where the rules bring letters and marks
+        together that compose further, the text is read again.
+        """
         if text.isascii():
             return text
+        plain = self._once(unicodedata.normalize("NFC", text))
+        composed = unicodedata.normalize("NFC", plain)
+        return plain if composed == plain else self.run(composed)
+
+    def _once(self, text: str) -> str:
         letters = {c for c in set(text) if not c.isascii()}
         alone = {s for s in "GC" if not any(self.script(c) == s and c not in self.to_latin[s] for c in letters)}
         return self._PART.sub(lambda m: self._part(m[0], alone), text)

@@ -46,6 +46,14 @@ def test_accents_agree_with_the_standard_form():
         assert T.run(d) == unicodedata.normalize("NFC", d) or not d[0].isalpha()
 
 
+@pytest.mark.parametrize("odd,plain", [
+    ("\u00f4\u0323", "\u1ed9"), ("o\u0302\u0323", "\u1ed9"), ("o\u0323\u0302", "\u1ed9"), ("\u1ecd\u0302", "\u1ed9"), ("\u1ed9", "\u1ed9"), ("Vi\u00ea\u0323t", "Vi\u1ec7t"),
+    ("\U0002f800", "\u4e3d"), ("\U0002fa1d", "\U0002a600"), ("e\u200d\u0301", "\u00e9"), ("\uff45\u0301", "\u00e9"),
+])
+def test_marks_in_any_order(odd, plain):
+    assert T.run(odd) == plain == T.run(plain)
+
+
 def test_not_plain_rows(spark):
     df = spark.createDataFrame([(1, "a b", "k"), (1, "a b", "k"), (2, "a b", None), (3, None, "k"), (4, "", "k"), (5, "α", "k"), (6, "x" * 100_000 + "​", "k")], "id int, t string, other string")
     got = sorted((r["id"], r["plain"][:5]) for r in unify.not_plain(df, "t").collect())
