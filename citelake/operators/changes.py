@@ -28,7 +28,7 @@ def transactions(feed: DataFrame, registry: DataFrame | None = None) -> DataFram
     """(stream, seq, order_key, complete) per transaction.
 
     With a registry (file_order_key, expected_rows) a transaction is complete once the feed holds at least that many
-    different changes of it; an unknown count (NULL) asks only that the transaction was seen.  ``seq`` is
+    different changes of it, one of no rows at once; an unknown count (NULL) asks only that the transaction was seen.  ``seq`` is
     the file number and a hole in the numbers a gap.  Without a registry each transaction seen is complete and no number
     is known to be missing, so the order seen is the sequence.
     """
@@ -47,7 +47,7 @@ def transactions(feed: DataFrame, registry: DataFrame | None = None) -> DataFram
         F.floor(F.col("file_order_key") / YEAR).alias("stream"),
         (F.col("file_order_key") % YEAR).alias("seq"),
         F.col("file_order_key").alias("order_key"),
-        F.coalesce(F.col("got") >= F.coalesce(F.col("expected_rows"), F.lit(1)), F.lit(False)).alias("complete"),
+        (F.coalesce("got", F.lit(0)) >= F.coalesce("expected_rows", F.lit(1))).alias("complete"),
     )
 
 

@@ -160,6 +160,13 @@ def test_gaps_and_incomplete_transactions_hold_state_back(spark):
     assert rows(changes.replay(seen, de, registry(*short)), "pmid", "source_file") == [(1, "a")]
 
 
+def test_empty_transactions_hold_nothing_back(spark):
+    up = feed(spark, (1, 25000001, "a"), (1, 25000003, "c"))
+    registry = lambda n: spark.createDataFrame([(25000001, 1), (25000002, n), (25000003, 1)], "file_order_key bigint, expected_rows int")
+    assert rows(changes.replay(up, up.limit(0), registry(0)), "pmid", "source_file") == [(1, "c")]
+    assert rows(changes.replay(up, up.limit(0), registry(None)), "pmid", "source_file") == [(1, "a")]
+
+
 def test_replay_against_brute_force(spark):
     rng = random.Random(3)
     up = [(rng.randrange(40), rng.randrange(30), None) for _ in range(300)]
