@@ -1,9 +1,10 @@
 """Spellings of persons and of departments that name the same one.
 
-Distinct spellings are indexed by their tokens and by these without any one letter, so that tokens one slip apart meet; a block
-that many spellings share is split by their other fields in the same way, and the pairs of a block are compared token by token by the
-ratio of their longest common subsequence.  Certain links make components; a spelling that says less - no middle initial, only an
-initial, an ambiguous short name - joins a component only if exactly one fits.
+Spellings are first put together by what they say - words and initials, or topic, kind, places and country - and only these forms are
+compared.  Forms are indexed by the suffixes of their tokens; a suffix that many share is refined by the other field, then by
+the whole token, and what many still share is compared in parts of bounded size, so no pair is dropped.  Pairs are compared token by token by the
+ratio of their longest common subsequence.  Certain links make components; a form that says less - no middle initial, only an initial, an
+ambiguous short name - joins a component only if exactly one fits.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations, product
 
@@ -20,10 +22,12 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 
-#: Spellings in a block that are compared pairwise; larger blocks are split by further fields first.
-BLOCK = 64
-#: First letter of the keys of blocks in which only spellings of one word are compared with those of two.
-ACROSS = "I"
+#: Letters of a token's suffix by which forms meet at first; a shorter token counts whole.
+SUFFIX = 5
+#: Forms that share a suffix and are compared pairwise; a more common suffix is refined first.
+BLOCK = 16
+#: Forms on one side of a comparison in one task, on average, where refined blocks are still large.
+PART = 512
 
 # Given names and the short forms in use for them.
 SHORT_FORMS = """
@@ -126,7 +130,7 @@ def person(name: str):
         return None
     if len(words) > 2:
         words = [words[0], "".join(words[1:])]
-    return tuple(words), tuple(initials)
+    return tuple(sorted(words)), tuple(initials)
 
 
 def _letters(raw: str) -> list[str]:
@@ -179,56 +183,84 @@ def slips(text: str) -> dict[str, None]:
     return dict.fromkeys([text, *(text[:i] + text[i + 1 :] for i in range(len(text)))])
 
 
-def person_keys(p) -> Iterator[tuple[str, list[str]]]:
-    """(block key, keys that split a large block) of a parsed name.  Any two names that ``same_person`` accepts share a block key and, where that
-    has keys to split it, one of those; a key without any is compared in full.
+@lru_cache(100_000)
+def suffixes(token: str) -> tuple[str, ...]:
+    """The suffixes of a token and of the token without any one of its letters: two tokens that are ``near`` have one in common."""
+    return tuple(dict.fromkeys(d[-SUFFIX:] for d in slips(token)))
+
+
+def _whole(token: str, suffix: str) -> list[str]:
+    """The slips of a token that end in a suffix."""
+    return [d for d in slips(token) if d[-SUFFIX:] == suffix]
+
+
+# Keys are level, sort, index value and refinement, parted by tabs.  Level 0 is the suffix alone, 1 the suffix refined by the other field, 2 the
+# whole token so refined.
+
 
-    E: a token; split by the other token's slips and formal names.  N: a token's slips with a formal name of the other.  W: a family name and its
-    initials.  I: a token's slips and an initial of the other.
+def _beside(p, other: str | None) -> list[tuple[str, str]]:
+    """(sort, refinement) by the other token of a name: = the token, ~ a formal name of it, < an initial it may have."""
+    if other is None:
+        return [("<", p[1][0])]
+    forms = sorted(formal(other))
+    known = forms if other in _NAMES else []
+    return [("=", other), *(("~", f) for f in known), *(("<", c) for c in sorted({other[0], *(f[0] for f in forms)}))]
+
+
+def _tokens(p) -> list[tuple[str, str | None]]:
+    words = p[0]
+    return [(words[0], None)] if len(words) == 1 else [words, words[::-1]]
+
+
+def person_keys(p, key: str = "") -> Iterator[str]:
+    """Keys of a parsed name below a key: with none those of level 0, with one of level 0 those of level 1, and so on.
+
+    Any two names that ``same_person`` accepts have a key of each level in common: one token is near, and the other equal, of
+    one formal name, or met by its initial.
     """
-    words, initials = p
-    if len(words) == 1:
-        if initials:
-            yield f"W{words[0]}|{''.join(initials)}", []
-            for d in slips(words[0]):
-                yield f"{ACROSS}{d}|{initials[0]}", []
-        return
-    for base, other in (words, words[::-1]):
-        forms = sorted(formal(other))
-        known = forms if other in _NAMES else []
-        yield "E" + base, [f"E{base}~{d}" for d in slips(other)] + [f"E{base}={f}" for f in known]
-        for d in slips(base):
-            for c in sorted({other[0], *(f[0] for f in forms)}):
-                yield f"{ACROSS}{d}|{c}", []
-            for f in known:
-                yield f"N{d}={f}", []
+    level, sort, value, by = (key or "\t\t\t").split("\t")
+    for token, other in _tokens(p):
+        if level == "":
+            yield from (f"0\t\t{s}\t" for s in suffixes(token))
+        elif level == "0" and value in suffixes(token):
+            yield from (f"1\t{k}\t{value}\t{b}" for k, b in _beside(p, other))
+        elif level == "1" and value in suffixes(token) and (sort, by) in _beside(p, other):
+            yield from (f"2\t{sort}\t{d}\t{by}" for d in _whole(token, value))
 
 
 # ---- departments of institutions: (topic, kind, places, country)
 
 
+@lru_cache(200_000)
+def _kind_word(t: str) -> str:
+    """The kind a word stands for, with a slip at most; '' for any other word."""
+    if t in KIND_WORDS:
+        return KIND_WORDS[t]
+    return next((v for k, v in KIND_WORDS.items() if len(k) > 5 and len(t) > 5 and near(t, k)), "")
+
+
+@lru_cache(200_000)
+def _is_unit(t: str) -> bool:
+    return len(t) > 7 and near(t, "department")
+
+
 def department(text: str):
     """Topic, kind of institution, place names and country of an affiliation; None if it has no topic or no place."""
     segments = [re.findall(r"[^\W_]+", s.replace("&", " and ")) for s in re.split(r"[,;]", plain(text))]
     segments = [[t for t in s if not t.isdigit()] for s in segments]
     segments = [s for s in segments if s]
 
-    def word(t: str) -> str:
-        if t in KIND_WORDS:
-            return KIND_WORDS[t]
-        return next((v for k, v in KIND_WORDS.items() if len(k) > 5 and len(t) > 5 and near(t, k)), "")
-
     topic = kind = None
     places: list[str] = []
     rest = []
     for s in segments:
-        unit = any(t in UNIT_WORDS or (len(t) > 7 and near(t, "department")) for t in s)
-        kinds = {word(t) for t in s} - {""}
+        unit = any(t in UNIT_WORDS or _is_unit(t) for t in s)
+        kinds = {_kind_word(t) for t in s} - {""}
         if unit and topic is None:
-            topic = " ".join(t for t in s if t not in UNIT_WORDS and (t == "and" or t not in SMALL) and not (len(t) > 7 and near(t, "department")))
+            topic = " ".join(t for t in s if t not in UNIT_WORDS and (t == "and" or t not in SMALL) and not _is_unit(t))
         elif kinds & HEADS and kind is None:
             kind = " ".join(sorted(kinds))
-            places += ["".join(t for t in s if not word(t) and t not in SMALL)]
+            places += ["".join(t for t in s if not _kind_word(t) and t not in SMALL)]
         else:
             rest.append(" ".join(s))
     if topic is None and rest:
@@ -270,19 +302,24 @@ def same_department(a, b) -> int:
     return SURE if topic + place <= 1 else NO
 
 
-def department_keys(d) -> Iterator[tuple[str, list[str]]]:
-    """(block key, keys that split a large block) of a parsed department, as ``person_keys``.
+def department_keys(d, key: str = "") -> Iterator[str]:
+    """Keys of a parsed department below a key, as ``person_keys``: by a place, refined by the kind and the topic.
 
-    E: a place and the kind; split by the first letters of the topic's words, which abbreviations keep, and by the topic's slips.  A: a place's
-    slips, the kind and those first letters.
+    = the first letters of the topic's words, which abbreviations keep; ~ a suffix of the topic, then the place with the whole topic.
     """
     topic, kind, places, _ = d
     letters = "".join(w[0] for w in topic.split())
+    level, sort, value, by = (key or "\t\t\t").split("\t")
     for place in places:
-        here = f"{place}|{kind}"
-        yield "E" + here, [f"E{here}|{letters}", *(f"E{here}~{t}" for t in slips(topic))]
-        for p in slips(place):
-            yield f"A{p}|{kind}|{letters}", []
+        if level == "":
+            yield from (f"0\t\t{s}\t" for s in suffixes(place))
+        elif level == "0" and value in suffixes(place):
+            yield f"1\t=\t{value}\t{kind}|{letters}"
+            yield from (f"1\t~\t{value}\t{kind}|{s}" for s in suffixes(topic)) if value == place[-SUFFIX:] else ()
+        elif level == "1" and sort == "=" and value in suffixes(place) and by == f"{kind}|{letters}":
+            yield from (f"2\t=\t{x}\t{by}" for x in _whole(place, value))
+        elif level == "1" and sort == "~" and value == place[-SUFFIX:]:
+            yield from (f"2\t~\t{place}\t{kind}|{x}" for x in _whole(topic, by.removeprefix(kind + "|")))
 
 
 def says(p) -> int:
@@ -291,96 +328,161 @@ def says(p) -> int:
     return 10 * len(words) + len(initials) - 5 * any(len(formal(w)) > 1 for w in words)
 
 
-#: Field -> (parse, keys, comparison, how much a value says).
-FIELDS: dict[str, tuple[Callable, Callable, Callable, Callable]] = {
-    "name": (person, person_keys, same_person, says),
-    "affiliation": (department, department_keys, same_department, lambda d: 0),
+def _write_person(p) -> str:
+    return "\t".join(["".join(p[1]), *p[0]])
+
+
+def _read_person(form: str):
+    initials, *words = form.split("\t")
+    return tuple(words), tuple(initials)
+
+
+def _write_department(d) -> str:
+    topic, kind, places, country = d
+    return "\t".join([topic, kind, country, *sorted(places)])
+
+
+def _read_department(form: str):
+    topic, kind, country, *places = form.split("\t")
+    return topic, kind, tuple(places), country
+
+
+@dataclass(frozen=True)
+class Field:
+    """How values of a field are read, written as a form, indexed, compared and weighed."""
+
+    parse: Callable
+    write: Callable
+    read: Callable
+    keys: Callable
+    same: Callable
+    says: Callable
+
+
+FIELDS = {
+    "name": Field(lambda v: (p := person(v)) and (p if len(p[0]) > 1 or p[1] else None), _write_person, _read_person, person_keys, same_person, says),
+    "affiliation": Field(department, _write_department, _read_department, department_keys, same_department, lambda d: 0),
 }
+#: A form in a table starts with its field's first letter.
+_BY_LETTER = {k[0]: f for k, f in FIELDS.items()}
+
+
+@lru_cache(200_000)
+def _read(form: str):
+    return _BY_LETTER[form[0]].read(form[1:])
+
+
+# ---- forms, blocks and links
+
+
+def _table(rows: list[tuple], *columns: tuple[str, pa.DataType]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * len(columns)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(cols, columns, strict=True)], [n for n, _ in columns])
+
 
+def forms(values: DataFrame) -> DataFrame:
+    """(field, value, form) of the distinct values (field, value) that say enough to be compared."""
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for f, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                p = FIELDS[f].parse(v)
+                if p is not None:
+                    rows.append((f, v, f[0] + FIELDS[f].write(p)))
+            yield _table(rows, ("field", pa.string()), ("value", pa.string()), ("form", pa.string()))
+
+    return values.select("field", "value").mapInArrow(parse, "field string, value string, form string")
 
-# ---- blocks and links
 
+_ROWS = (("block", pa.string()), ("form", pa.string()))
 
-def _entries(values: DataFrame, field: str) -> DataFrame:
-    """(value, k0, k1): a row per block key of each distinct value, with the keys that split its block."""
-    parse, keys, *_ = FIELDS[field]
+
+def _finer(rows: DataFrame) -> DataFrame:
+    """(block, form) of the next level: each form's keys below its block (NULL: none yet)."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 1000):
-                rows = []
-                for v in batch.column(0).slice(at, 1000).to_pylist():
-                    p = parse(v)
-                    if p is not None:
-                        rows += [(v, *k) for k in dict(keys(p)).items()]
-                cols = list(zip(*rows, strict=True)) if rows else [[]] * 3
-                kinds = [pa.string(), pa.string(), pa.list_(pa.string())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["value", "k0", "k1"])
-
-    return values.mapInArrow(index, "value string, k0 string, k1 array<string>")
-
-
-def _blocks(entries: DataFrame, block: int) -> DataFrame:
-    """(block, value): blocks of at most ``block`` values where further fields can split them that far without parting a pair that agrees."""
-    whole = entries.where(F.size("k1") == 0)
-    rows = entries.where(F.size("k1") > 0)
-    large = rows.groupBy("k0").agg(F.count("*").alias("n")).where(F.col("n") > block).select(F.col("k0").alias("large"))
-    small = rows.join(large, F.col("k0") == F.col("large"), "left_anti")
-    split = rows.join(large, F.col("k0") == F.col("large"), "left_semi").select(F.explode("k1").alias("block"), "value").distinct()
-    return whole.unionByName(small).select(F.col("k0").alias("block"), "value").unionByName(split)
-
-
-def _compare(blocks: DataFrame, field: str) -> DataFrame:
+            out = []
+            for block, form in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                below = _BY_LETTER[form[0]].keys(_read(form), block[1:] if block else "")
+                out += [(form[0] + k, form) for k in dict.fromkeys(below)]
+                if len(out) > 20_000:
+                    yield _table(out, *_ROWS)
+                    out = []
+            yield _table(out, *_ROWS)
+
+    return rows.select("block", "form").mapInArrow(index, "block string, form string")
+
+
+def _blocks(spelt: DataFrame, block: int, part: int) -> DataFrame:
+    """(block, side, form): what is to be compared.  A key that up to ``block`` forms share is a block; a more common one is refined, and where
+    that is at its end, its forms are dealt to parts and every two parts make a block with two sides."""
+    rows = cut(_finer(spelt.select(F.lit(None).cast("string").alias("block"), "form").distinct()))
+    done = []
+    for _ in range(2):
+        large = rows.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > block).select("block")
+        done.append(rows.join(large, "block", "left_anti").select("block", F.lit(0).alias("side"), "form"))
+        rows = cut(_finer(rows.join(large, "block", "left_semi")))
+    parts = rows.groupBy("block").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    dealt = rows.join(parts, "block").withColumn("side", F.pmod(F.xxhash64("form"), F.col("parts")).cast("int"))
+    pair = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    named = F.concat_ws("\t", "block", F.least("side", "with"), F.greatest("side", "with")).alias("block")
+    return done[0].unionByName(done[1]).unionByName(pair.select(named, "side", "form"))
+
+
+def _compare(blocks: DataFrame) -> DataFrame:
     """(a, b, how) of the pairs that agree, ``a`` the one that says less; blocks are read as sorted runs, so a task holds one
     block at a time."""
-    parse, _, same, weight = FIELDS[field]
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def runs():
             name, held = None, []
             for batch in batches:
-                for b, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for b, s, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if b != name:
                         if len(held) > 1:
                             yield name, held
                         name, held = b, []
-                    held.append(v)
+                    held.append((s, v))
             if len(held) > 1:
                 yield name, held
 
         out: list[tuple] = []
-        parsed = lru_cache(100_000)(parse)
         for name, held in runs():
-            spellings = [(v, p, (weight(p), v)) for v in held for p in (parsed(v),)]
-            if name[0] == ACROSS:
-                two = [x for x in spellings if len(x[1][0]) > 1]
-                met = product([x for x in spellings if len(x[1][0]) == 1], two) if len(two) < len(held) else ()
+            field = _BY_LETTER[name[0]]
+            read = [(s, f, _read(f)) for s, f in held]
+            _, sort, _, _, *sides = name.split("\t")
+            i, j = map(int, sides or (0, 0))
+            if sort == "<":  # one word and initials against two words
+                met = product([x for x in read if len(x[2][0]) == 1], [x for x in read if len(x[2][0]) > 1])
+                met = ((x, y) for x, y in met if i == j or x[0] != y[0])
+            elif i != j:
+                met = product([x for x in read if x[0] == i], [x for x in read if x[0] == j])
             else:
-                met = combinations(spellings, 2)
-            for (a, p, low), (b, q, high) in met:
-                how = same(p, q)
+                met = combinations(read, 2)
+            for (_, a, p), (_, b, q) in met:
+                how = field.same(p, q)
                 if how:
-                    out.append((a, b, how) if low < high else (b, a, how))
+                    out.append((a, b, how) if (field.says(p), a) < (field.says(q), b) else (b, a, how))
                     if len(out) > 10_000:
-                        yield _links(out)
+                        yield _table(out, *_LINKS)
                         out = []
-        yield _links(out)
+        yield _table(out, *_LINKS)
 
     ordered = blocks.repartition(_tasks(blocks), "block").sortWithinPartitions("block")
     return ordered.mapInArrow(links, "a string, b string, how int").distinct()
 
 
+_LINKS = (("a", pa.string()), ("b", pa.string()), ("how", pa.int32()))
+
+
 def _tasks(df: DataFrame) -> int:
     """Partitions for steps that take more time than their size tells: by cores, or the session's shuffle partitions if these are more."""
     spark = df.sparkSession
     return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _links(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) if rows else [[]] * 3
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.int32()), strict=True)], ["a", "b", "how"])
-
-
 def _signature(edges: DataFrame) -> tuple:
     """Number of edges and two order-free digests of them: equal exactly when a round changed nothing, but for a chance of 2**-128."""
     h = [F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64(F.lit(7), "v", "u").cast("decimal(38,0)"))]
@@ -408,45 +510,55 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _attach(roots: DataFrame, weak: DataFrame) -> DataFrame:
-    """Roots after each component that says less has joined the only one that fits it; with several it stays alone.
+    """(root, to): components that say less and the only one each fits; with several it stays alone.
 
-    ``weak`` (x, y, slip): value x, that says less, fits value y.  Fits with a slip count where there is none without.
+    ``weak`` (x, y, slip): form x, that says less, fits form y.  Fits with a slip count where there is none without.
     """
     rx = roots.select(F.col("value").alias("x"), F.col("root").alias("root_x"))
     ry = roots.select(F.col("value").alias("y"), F.col("root").alias("root_y"))
-    w = weak.join(rx, "x", "left").join(ry, "y", "left")
-    w = w.select(F.coalesce("root_x", "x").alias("root_x"), F.coalesce("root_y", "y").alias("root_y"), "slip").where("root_x <> root_y")
+    w = weak.join(rx, "x").join(ry, "y").where("root_x <> root_y")
     clean = F.when(~F.col("slip"), F.col("root_y"))
     least, most = (F.coalesce(f(clean), f("root_y")) for f in (F.min, F.max))
     one = w.groupBy("root_x").agg(least.alias("to"), most.alias("other")).where("to = other")
-    return one.select(F.col("root_x").alias("a"), F.col("to").alias("b"))
+    one = cut(one.select(F.col("root_x").alias("root"), "to"))
+    chained = one.join(one.select(F.col("root").alias("next")), F.col("to") == F.col("next"), "left_semi")
+    if chained.isEmpty():
+        return one
+    linked = components(one.select(F.col("root").alias("a"), F.col("to").alias("b")))
+    return linked.where("value <> root").select(F.col("value").alias("root"), F.col("root").alias("to"))
+
+
+def entities(values: DataFrame, block: int = BLOCK, part: int = PART) -> DataFrame:
+    """(field, value, root, n): values (field, value) that have another spelling, with the lowest spelling of their entity and the number of
+    its spellings.  ``field`` is 'name' (persons) or 'affiliation'."""
+    distinct = values.where("value is not null and trim(value) <> ''").distinct()
+    spelt = cut(forms(distinct.repartition(_tasks(distinct))))
+    links = cut(_compare(_blocks(spelt, block, part)))
+    nodes = links.select(F.col("a").alias("form")).unionByName(links.select(F.col("b").alias("form"))).distinct()
+    sure = components(links.where(F.col("how") == SURE).select("a", "b")).withColumnRenamed("value", "form")
+    roots = cut(nodes.join(sure, "form", "left").select(F.col("form").alias("value"), F.coalesce("root", "form").alias("root")))
+    for step in STEPS:
+        weak = links.where(F.col("how").isin(*step)).select(F.col("a").alias("x"), F.col("b").alias("y"), (F.col("how") != step[0]).alias("slip"))
+        roots = cut(roots.join(_attach(roots, weak), "root", "left").select("value", F.coalesce("to", "root").alias("root")))
+    of = roots.select(F.col("value").alias("form"), F.col("root").alias("of"))
+    placed = spelt.join(of, "form", "left").select("field", "value", F.coalesce("of", "form").alias("of"))
+    several = placed.groupBy("of").agg(F.min("value").alias("root"), F.count("*").alias("n")).where("n > 1")
+    return placed.join(several, "of").select("field", "value", "root", "n")
 
 
-def variants(df: DataFrame, column: str, field: str, block: int = BLOCK) -> DataFrame:
+def variants(df: DataFrame, column: str, field: str, block: int = BLOCK, part: int = PART) -> DataFrame:
     """(value, root): the distinct spellings of ``column`` that have at least one other spelling, with their entity's lowest one.
 
-    ``field`` is 'name' (persons) or 'affiliation'.  Null, blank and unparsable values (no word; no topic or place) have no variants;
-    repeated rows count once; other columns are ignored.  Members of one family, different middle initials, and different countries
+    ``field`` is 'name' (persons) or 'affiliation'.  Null, blank and unparsable values (no word, or one without initials; no topic or place) have no
+    variants; repeated rows count once; other columns are ignored.  Members of one family, different middle initials, and different countries
     or kinds of institution aren't linked.
     """
-    values = df.select(F.col(column).alias("value")).where("value is not null and trim(value) <> ''").distinct()
-    values = cut(values.repartition(_tasks(values)))
-    links = cut(_compare(_blocks(_entries(values, field), block), field))
-    sure = links.where(F.col("how") == SURE).select("a", "b")
-    roots = components(sure)
-    if field != "name":
-        return roots
-    for step in STEPS:
-        weak = links.where(F.col("how").isin(*step)).select(F.col("a").alias("x"), F.col("b").alias("y"), (F.col("how") != step[0]).alias("slip"))
-        moved = components(_attach(roots, weak))  # of roots only
-        to = moved.select(F.col("value").alias("root"), F.col("root").alias("to"))
-        kept = roots.join(to, "root", "left").select("value", F.coalesce("to", "root").alias("root"))
-        roots = cut(kept.unionByName(moved.join(roots, "value", "left_anti").select("value", "root")))
-    return roots
+    return entities(df.select(F.lit(field).alias("field"), F.col(column).alias("value")), block, part).select("value", "root")
 
 
 def pairs(roots: DataFrame) -> DataFrame:
-    """(spelling_a, spelling_b), spelling_a < spelling_b by code point, of each component of ``variants``."""
-    a = roots.select("root", F.col("value").alias("spelling_a"))
-    b = roots.select(F.col("root").alias("root_b"), F.col("value").alias("spelling_b"))
-    return a.join(b, (F.col("root") == F.col("root_b")) & (F.col("spelling_a") < F.col("spelling_b"))).select("spelling_a", "spelling_b")
+    """(spelling_a, spelling_b), spelling_a < spelling_b by code point, of each component of ``variants`` or ``entities`` (then with the field)."""
+    field = [c for c in ("field",) if c in roots.columns]
+    a = roots.select(*field, "root", F.col("value").alias("spelling_a"))
+    b = roots.select(*field, "root", F.col("value").alias("spelling_b"))
+    return a.join(b, [*field, "root"]).where("spelling_a < spelling_b").select(*field, "spelling_a", "spelling_b")

@@ -11,14 +11,20 @@ from ..session import read_table
 from . import leaks, names, packing, spans, unify
 
 
+def _spellings(spark: SparkSession, sf: str) -> DataFrame:
+    authors = read_table(spark, sf, "author").where("kind = 'author'").select(F.lit("name").alias("field"), F.col("name").alias("value"))
+    places = read_table(spark, sf, "author_affiliation").select(F.lit("affiliation").alias("field"), F.col("affiliation").alias("value"))
+    return authors.unionByName(places)
+
+
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of spellings of one person, and of one department of one institution."""
-    authors = read_table(spark, sf, "author").where("kind = 'author'")
-    out = []
-    for df, field in ((authors, "name"), (read_table(spark, sf, "author_affiliation"), "affiliation")):
-        found = names.pairs(names.variants(df, field, field))
-        out.append(found.select(F.lit(field).alias("field"), "spelling_a", "spelling_b"))
-    return out[0].unionByName(out[1])
+    return names.pairs(names.entities(_spellings(spark, sf)))
+
+
+def p1_entities(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as classes: each spelling that has another with its entity's lowest spelling and their number."""
+    return names.entities(_spellings(spark, sf))
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -62,7 +68,7 @@ def p10_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return spans.coverage(read_table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p3_found, p8_containers, p9_found, p9_scrubbed, p10_found, p10_coverage)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p8_containers, p9_found, p9_scrubbed, p10_found, p10_coverage)}
 
 _ALIKE = "".join(pair[1] for pair in (unify.GREEK + " " + unify.CYRILLIC).split())
 #: Spaces, invisible characters, hyphens, full-width and ligature forms, the micro sign; a look-alike next to a Latin letter or digit in its word.
