@@ -534,13 +534,18 @@ def entities(values: DataFrame, block: int = BLOCK, part: int = PART) -> DataFra
     distinct = values.where("value is not null and trim(value) <> ''").distinct()
     spelt = cut(forms(distinct.repartition(_tasks(distinct))))
     links = cut(_compare(_blocks(spelt, block, part)))
+    # numbers for the linked forms: what follows then hashes and moves no strings
     nodes = links.select(F.col("a").alias("form")).unionByName(links.select(F.col("b").alias("form"))).distinct()
-    sure = components(links.where(F.col("how") == SURE).select("a", "b")).withColumnRenamed("value", "form")
-    roots = cut(nodes.join(sure, "form", "left").select(F.col("form").alias("value"), F.coalesce("root", "form").alias("root")))
+    nodes = cut(nodes.withColumn("id", F.monotonically_increasing_id()))
+    for side in "ab":
+        links = links.withColumnRenamed(side, "form").join(nodes, "form").drop("form").withColumnRenamed("id", side)
+    links = cut(links)
+    sure = components(links.where(F.col("how") == SURE).select("a", "b")).withColumnRenamed("value", "id")
+    roots = cut(nodes.join(sure, "id", "left").select(F.col("id").alias("value"), F.coalesce("root", "id").alias("root")))
     for step in STEPS:
         weak = links.where(F.col("how").isin(*step)).select(F.col("a").alias("x"), F.col("b").alias("y"), (F.col("how") != step[0]).alias("slip"))
         roots = cut(roots.join(_attach(roots, weak), "root", "left").select("value", F.coalesce("to", "root").alias("root")))
-    of = roots.select(F.col("value").alias("form"), F.col("root").alias("of"))
+    of = roots.join(nodes, F.col("value") == F.col("id")).select("form", F.col("root").cast("string").alias("of"))
     placed = spelt.join(of, "form", "left").select("field", "value", F.coalesce("of", "form").alias("of"))
     several = placed.groupBy("of").agg(F.min("value").alias("root"), F.count("*").alias("n")).where("n > 1")
     return placed.join(several, "of").select("field", "value", "root", "n")
