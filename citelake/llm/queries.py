@@ -70,12 +70,17 @@ def p10_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p8_containers, p9_found, p9_scrubbed, p10_found, p10_coverage)}
 
-_ALIKE = "".join(pair[1] for pair in (unify.GREEK + " " + unify.CYRILLIC).split())
+# Code points of Greek and Cyrillic letters drawn as Latin ones, by themselves and not from the operator's table.
+_ALIKE = (
+    r"\x{391}\x{392}\x{395}-\x{397}\x{399}\x{39A}\x{39C}\x{39D}\x{39F}\x{3A1}\x{3A4}\x{3A5}\x{3A7}\x{3BD}\x{3BF}\x{3F2}\x{3F3}"
+    r"\x{405}\x{406}\x{408}\x{410}\x{412}\x{415}\x{41A}\x{41C}-\x{41E}\x{420}-\x{423}\x{425}\x{430}\x{435}\x{43E}\x{440}\x{441}\x{443}\x{445}"
+    r"\x{455}\x{456}\x{458}\x{4BB}\x{501}\x{51B}\x{51D}"
+)
 #: Spaces, invisible characters, hyphens, full-width and ligature forms, the micro sign; a look-alike next to a Latin letter or digit in its word.
 _ODD = (
-    r"[\x{{A0}}\x{{AD}}\x{{B5}}\x{{1680}}\x{{2000}}-\x{{200F}}\x{{2010}}\x{{2011}}\x{{2028}}-\x{{202F}}\x{{205F}}-\x{{2064}}\x{{2212}}\x{{3000}}\x{{FB00}}-\x{{FB06}}\x{{FE00}}-\x{{FE0F}}\x{{FEFF}}\x{{FF01}}-\x{{FF5E}}]"
-    r"|\p{{Latin}}[0-9]*[{a}]|[{a}][0-9]*\p{{Latin}}"
-).format(a=_ALIKE)
+    r"[\x{A0}\x{AD}\x{B5}\x{1680}\x{2000}-\x{200F}\x{2010}\x{2011}\x{2028}-\x{202F}\x{205F}-\x{2064}\x{2212}\x{3000}\x{FB00}-\x{FB06}\x{FE00}-\x{FE0F}\x{FEFF}\x{FF01}-\x{FF5E}]"
+    r"|\p{Latin}[0-9]*[" + _ALIKE + r"]|[" + _ALIKE + r"][0-9]*\p{Latin}"
+)
 
 
 def _not_plain(c: str) -> str:

@@ -26,11 +26,37 @@ def test_plain_text_is_left_alone(text):
     assert T.run(text) == text
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(max_size=40))
+#: Full-width letters, look-alikes, composed letters, marks of several classes, invisible characters, spaces, conjoining and half-width syllables.
+HARD = "aoAE \uff21\uff45\u0430\u043e\u0435\u0456\u03bf\u03bd\u03b1\u0439\u0451\u00e9\u1ed9\u0301\u0302\u0323\u0327\u0345\u200b\u200d\u00ad\ufe0f\u00a0\u3000\u1100\u1161\u11a8\uffa1\uffc2\uff8a\uff9e\u212b\u2163\ufb00\U0002f800"
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(max_size=40) | st.text(HARD, max_size=12))
 def test_one_pass_is_enough(text):
     once = T.run(text)
-    assert T.run(once) == once
+    assert T.run(once) == once and unicodedata.normalize("NFC", once) == once
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(HARD, max_size=10))
+def test_equal_texts_come_to_one_form(text):
+    """However its accents are written and ordered, and whatever invisible characters stand between."""
+    want = T.run(text)
+    assert T.run(unicodedata.normalize("NFD", text)) == want == T.run(unicodedata.normalize("NFC", text))
+    assert T.run("".join(c + "\u200b" for c in text)) == want
+
+
+def test_every_rule_holds_in_a_text():
+    for seq, plain in T.table.items():
+        assert T.run(T.run(seq)) == T.run(seq) and (len(seq) > 1 or T.run(seq) != seq or not plain)
+
+
+def test_look_alikes_of_other_scripts():
+    assert T.run("\u13aaTP") == "ATP" and T.run("\u0585ne") == "one" and T.run("\ua4d0one") == "Bone" and T.run("do\u0261") == "dog" and T.run("Type \u2163") == "Type IV"
+
+
+def test_long_words_take_linear_time():
+    assert T.run("x" * 200_000 + " \u00e9 " + "y" * 200_000 + "\u200b") == "x" * 200_000 + " \u00e9 " + "y" * 200_000
 
 
 def test_rule_conflicts_are_found():
