@@ -1,46 +1,60 @@
 """Nested citation payloads to typed flat tables.
 
-A bottom-up tree automaton gives each JSON node of interest a state from its own kind and its members' kinds.  Its rules
-are data (``RULES``).  The state of a list's member chooses its subtype table; every row keeps the supertype's keys
-(record_id, parent_pos, child_pos).  Payloads are parsed once, in Arrow batches; the same composition over Spark's
-VARIANT functions took three times as long on one core (2.5 s against 0.8 s for 2,014 payloads, warm), as its lambdas run without generated code.
+A bottom-up tree automaton gives each JSON node of interest a state: a leaf by its kind, a list by the states of its members, an object
+by the states of its own members, innermost first.  Its rules are data (``RULES``).  The state of a list's member, with the sort of
+the list, chooses the subtype table (``ROUTES``); every row keeps the supertype's keys (record_id, parent_pos, child_pos), and a node no
+route takes goes to ``other``.  Payloads are parsed once, in Arrow batches; the same composition over Spark's VARIANT functions took
+three times as long on one core (2.5 s against 0.8 s for 2,014 payloads, warm), as its lambdas run without generated code.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch
+
 
 @dataclass(frozen=True)
 class Rule:
-    """A node of sort ``sort`` gets ``state`` if it is of ``kind`` and holds a value in each member of ``has``."""
+    """An object whose members have one of the given states each gets ``state``."""
 
-    sort: str
     state: str
-    kind: str  # text, object
-    has: tuple[str, ...] = ()
+    members: dict[str, frozenset] = field(default_factory=dict)
+
+
+def _in(*states: str) -> frozenset:
+    return frozenset(states)
 
 
-#: The first rule that fits decides; a node without a fitting rule is in the state ``other``.
+#: The first rule that fits an object decides.  Other states: absent, text (any scalar), and of a list empty, many:<state> where all members that
+#: aren't null have one state, or mixed.
 RULES = (
-    Rule("author", "author_collective", "object", has=("CollectiveName",)),
-    Rule("author", "author_person", "object"),
-    Rule("author", "author_text", "text"),
-    Rule("affiliation", "affiliation_text", "text"),
-    Rule("affiliation", "affiliation_info", "object", has=("Affiliation",)),
-    Rule("heading", "heading_object", "object"),
-    Rule("heading", "heading_text", "text"),
-    Rule("qualifier", "qualifier_object", "object"),
-    Rule("qualifier", "qualifier_text", "text"),
-    Rule("section", "section_text", "text"),
-    Rule("section", "section_labelled", "object", has=("value", "Label")),
-    Rule("section", "section_plain", "object", has=("value",)),
+    Rule("collective", {"CollectiveName": _in("text")}),
+    Rule("person_info", {"AffiliationInfo": _in("info", "many:info")}),
+    Rule("person_bare", {"Affiliation": _in("text", "many:text"), "LastName": _in("text")}),
+    Rule("person", {"LastName": _in("text")}),
+    Rule("info", {"Affiliation": _in("text")}),
+    Rule("labelled", {"value": _in("text"), "Label": _in("text")}),
+    Rule("valued", {"value": _in("text")}),
+    Rule("object"),
+)
+#: The members whose states count.
+ALPHABET = tuple(dict.fromkeys(m for r in RULES for m in r.members))
+
+_OBJECTS = tuple(r.state for r in RULES)
+#: (sort of the list, state of its member) -> subtype table.
+ROUTES = (
+    {("author", s): "author_person" for s in _OBJECTS} | {("author", "collective"): "author_collective", ("author", "text"): "author_text"}
+    | {("affiliation", "text"): "affiliation_text"} | {("affiliation", s): "affiliation_info" for s in ("info", "person_bare")}
+    | {("heading", s): "heading_object" for s in _OBJECTS} | {("heading", "text"): "heading_text"}
+    | {("qualifier", s): "qualifier_object" for s in _OBJECTS} | {("qualifier", "text"): "qualifier_text"}
+    | {("section", "text"): "section_text", ("section", "labelled"): "section_labelled", ("section", "valued"): "section_plain"}
 )
 
 #: Where the lists stand: sort -> (path from the root or the parent node, parent's sort, place of the first member).
@@ -87,26 +101,23 @@ TABLES = {
 SUPERTYPE = {"author": "author", "affiliation": "author_affiliation", "qualifier": "mesh_qualifier", "section": "abstract_text"}
 
 
-def kind(node) -> str:
-    """absent (JSON null too), list, object or text (any scalar): the leaf states of the automaton."""
-    if node is None:
-        return "absent"
-    return "object" if isinstance(node, dict) else "list" if isinstance(node, list) else "text"
-
-
 def _at(node, path: str):
     for name in path.split(".") if path else ():
         node = node.get(name) if isinstance(node, dict) else None
     return node
 
 
-def state(sort: str, node) -> str:
-    """The automaton's step: the state of a node of this sort."""
-    own = kind(node)
-    for r in RULES:
-        if r.sort == sort and r.kind == own and all(node.get(m) is not None for m in r.has):
-            return r.state
-    return "other"
+def state(node, depth: int = 3) -> str:
+    """The automaton's run over a node, members first; ``depth`` is that of the deepest rule, below it nothing changes a state."""
+    if node is None:
+        return "absent"
+    if isinstance(node, dict):
+        below = {m: state(node[m], depth - 1) for m in ALPHABET if m in node} if depth else {}
+        return next(r.state for r in RULES if all(below.get(m) in allowed for m, allowed in r.members.items()))
+    if isinstance(node, list):
+        found = {state(x, depth - 1) for x in node if x is not None} if depth else {"mixed"}
+        return "empty" if not found else f"many:{found.pop()}" if len(found) == 1 else "mixed"
+    return "text"
 
 
 def members(node) -> list:
@@ -133,7 +144,7 @@ def read(payload: str | None) -> dict | None:
 
 
 def classify(doc: dict) -> Iterator[tuple[str, str, int, int, object]]:
-    """(sort, state, parent_pos, child_pos, node) of the citation's own lists, parents before children.
+    """(sort, subtype, parent_pos, child_pos, node) of the citation's own lists, parents before children.
 
     Authors of cited works stand under PubmedData and aren't reached.  An author's affiliations are the members of
     AffiliationInfo followed by those of Affiliation.  A null member keeps its place and gives no row.
@@ -144,7 +155,7 @@ def classify(doc: dict) -> Iterator[tuple[str, str, int, int, object]]:
         for place, x in enumerate((x for p in paths for x in members(_at(node, p))), first):
             if x is None:
                 continue
-            yield sort, state(sort, x), parent_pos, place, x
+            yield sort, ROUTES.get((sort, state(x)), "other"), parent_pos, place, x
             if isinstance(x, dict):
                 for below, (_, parent, _) in LISTS.items():
                     if parent == sort:
@@ -155,13 +166,17 @@ def classify(doc: dict) -> Iterator[tuple[str, str, int, int, object]]:
             yield from walk(sort, doc, 0)
 
 
-def nodes(records: DataFrame, columns: list[str]) -> DataFrame:
-    """One pass over the payloads: record_id, sort, state, parent_pos, child_pos and the wanted typed columns.
+_COLUMNS = [*dict.fromkeys(c for cols in COLUMNS.values() for c in cols), "content"]
+
+
+def nodes(records: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """One pass over the payloads: record_id, parent_pos, child_pos, sort, subtype and the wanted typed columns (all by default).
 
     An unreadable payload is one row of the sort ``reject``.
     """
+    columns = _COLUMNS if columns is None else columns
     wanted = {s: [(c, COLUMNS[s][c]) for c in columns if c in COLUMNS[s]] for s in COLUMNS}
-    strings = ["sort", "state", *columns]
+    strings = ["sort", "subtype", *columns]
 
     def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,14 +184,14 @@ def nodes(records: DataFrame, columns: list[str]) -> DataFrame:
             for rid, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 doc = read(payload)
                 rows = [("reject", "reject", 0, 0, None)] if doc is None else classify(doc)
-                for sort, st, parent, place, node in rows:
+                for sort, subtype, parent, place, node in rows:
                     out["record_id"].append(rid)
                     out["sort"].append(sort)
-                    out["state"].append(st)
+                    out["subtype"].append(subtype)
                     out["parent_pos"].append(parent)
                     out["child_pos"].append(place)
                     here = {c: _value(node, path) for c, path in wanted.get(sort, ())}
-                    if st == "other":
+                    if subtype == "other":
                         here["content"] = json.dumps(node)
                     for c in columns:
                         out[c].append(here.get(c))
@@ -187,22 +202,40 @@ def nodes(records: DataFrame, columns: list[str]) -> DataFrame:
     return records.select(F.col("record_id").cast("bigint"), F.col("payload").cast("string")).mapInArrow(flatten, schema)
 
 
-def tables(records: DataFrame) -> dict[str, DataFrame]:
-    """The subtype tables of ``TABLES``, each row once.
+class Routed:
+    """The subtype tables of some records, written once below a folder that all executors share."""
 
-    ``records`` needs record_id and payload; other columns are ignored.  A record that comes twice with one payload
-    gives its rows once; with two payloads the rows of both.  ``reject`` holds the record_id of each payload that can't be read;
-    ``other`` holds each node whose shape no rule knows, with its sort and its JSON text.  Empty input gives empty tables.  Several tables are
-    best routed from one written or persisted copy of ``nodes``.
-    """
-    every = nodes(records, [*dict.fromkeys(c for cols in COLUMNS.values() for c in cols), "content"])
-    return {name: every.where(F.col("state") == name).select(*cols.split()).distinct() for name, cols in TABLES.items()}
+    def __init__(self, records: DataFrame, folder: str | None = None) -> None:
+        """``records`` needs record_id and payload; other columns are ignored."""
+        spark, self.folder = records.sparkSession, folder or scratch(records.sparkSession)
+        rows = nodes(records)
+        rows.write.mode("overwrite").partitionBy("subtype").parquet(self.folder)
+        schema = rows.drop("subtype").schema.add("subtype", "string")
+        self.every = spark.read.schema(schema).option("basePath", self.folder).parquet(self.folder)
+
+    def tables(self) -> dict[str, DataFrame]:
+        """The subtype tables of ``TABLES``, each row once; a table's scan reads its own files only.
+
+        A record that comes twice with one payload gives its rows once; with two payloads the rows of both.  ``reject`` holds the record_id of
+        each payload that can't be read; ``other`` holds each node no route takes, with its sort and its JSON text.  Empty input gives
+        empty tables.
+        """
+        return {name: self.every.where(F.col("subtype") == name).select(*cols.split()).distinct() for name, cols in TABLES.items()}
+
+    def children(self) -> DataFrame:
+        """The supertype view over all subtype tables and ``other``: record_id, child_table, parent_pos, child_pos, qualifier_ui ('' but for
+        qualifiers), each once."""
+        rows = self.every.where(F.col("sort").isin(*SUPERTYPE))
+        table_of = F.create_map(*[F.lit(x) for kv in SUPERTYPE.items() for x in kv])
+        ui = F.coalesce("qualifier_ui", F.lit("")).alias("qualifier_ui")
+        return rows.select("record_id", table_of[F.col("sort")].alias("child_table"), "parent_pos", "child_pos", ui).distinct()
+
+
+def tables(records: DataFrame) -> dict[str, DataFrame]:
+    """The subtype tables of records, from one pass over their payloads."""
+    return Routed(records).tables()
 
 
 def children(records: DataFrame) -> DataFrame:
-    """The supertype view over all subtype tables and ``other``: record_id, child_table, parent_pos, child_pos, qualifier_ui ('' but for
-    qualifiers), each once."""
-    rows = nodes(records, ["qualifier_ui"]).where(F.col("sort").isin(*SUPERTYPE))
-    table_of = F.create_map(*[F.lit(x) for kv in SUPERTYPE.items() for x in kv])
-    ui = F.coalesce("qualifier_ui", F.lit("")).alias("qualifier_ui")
-    return rows.select("record_id", table_of[F.col("sort")].alias("child_table"), "parent_pos", "child_pos", ui).distinct()
+    """The supertype view of records, through their subtype tables."""
+    return Routed(records).children()

@@ -10,14 +10,14 @@ from ..session import read_table
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Children of every readable payload, from the automaton's supertype view."""
+    """Children of every readable payload: the supertype view over the subtype tables the automaton routes them to."""
     return nested.children(read_table(spark, sf, "raw_record"))
 
 
 def p2_variants(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows per subtype table the payload nodes are routed to."""
+    """Nodes per subtype table the payloads are routed to, repeated payloads counted as they come."""
     rows = nested.nodes(read_table(spark, sf, "raw_record"), [])
-    return rows.groupBy("state").agg(F.count("*").alias("n"), F.countDistinct("record_id").alias("n_records"))
+    return rows.groupBy("subtype").agg(F.count("*").alias("n"), F.countDistinct("record_id").alias("n_records"))
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,8 +81,10 @@ def _list(x: str) -> str:
     return f"""case when json_type({x}) = 'ARRAY' then json_extract({x}, '$[*]') when {x} is null or json_type({x}) = 'NULL' or {x}::varchar = '""' then []::json[] else [{x}] end"""
 
 
-_P2 = f"""
-with recs as (select record_id, payload::json as j from (select distinct record_id, payload from raw_record) r where json_valid(payload) and json_type(payload) = 'OBJECT'),
+def _p2_lists(source: str) -> str:
+    """Members of each list of the citation, as a chain of common tables."""
+    return f"""
+recs as (select record_id, payload::json as j from {source} r where json_valid(payload) and json_type(payload) = 'OBJECT'),
 lists as (
   select record_id, {_list("json_extract(j, '$.MedlineCitation.Article.AuthorList.Author')")} as au,
     {_list("json_extract(j, '$.MedlineCitation.MeshHeadingList.MeshHeading')")} as me, {_list("json_extract(j, '$.MedlineCitation.Article.Abstract.AbstractText')")} as se from recs),
@@ -92,15 +94,43 @@ se as (select record_id, unnest(se) as x, unnest(range(0, len(se))) as pos from
 af as (select record_id, pos, list_concat({_list("json_extract(x, '$.AffiliationInfo')")}, {_list("json_extract(x, '$.Affiliation')")}) as l from au where json_type(x) = 'OBJECT'),
 qu as (select record_id, pos, {_list("json_extract(x, '$.Qualifier')")} as l from me where json_type(x) = 'OBJECT'),
 afx as (select record_id, pos, unnest(l) as x, unnest(range(1, len(l) + 1)) as place from af),
-qux as (select record_id, pos, unnest(l) as x, unnest(range(1, len(l) + 1)) as place from qu)
+qux as (select record_id, pos, unnest(l) as x, unnest(range(1, len(l) + 1)) as place from qu)"""
+
+
+_P2 = f"""
+with {_p2_lists("(select distinct record_id, payload from raw_record)")}
 select record_id, 'author' as child_table, cast(0 as integer) as parent_pos, cast(pos as integer) as child_pos, '' as qualifier_ui from au where json_type(x) <> 'NULL'
 union select record_id, 'author_affiliation', cast(pos as integer), cast(place as integer), '' from afx where json_type(x) <> 'NULL'
 union select record_id, 'mesh_qualifier', cast(pos as integer), cast(place as integer), coalesce(json_extract_string(x, '$.UI'), '') from qux where json_type(x) <> 'NULL'
 union select record_id, 'abstract_text', 0, cast(pos as integer), '' from se where json_type(x) <> 'NULL'
 """
 
+
+def _scalar(x: str) -> str:
+    return f"coalesce(json_type({x}) not in ('OBJECT', 'ARRAY', 'NULL'), false)"
+
+
+def _member(name: str) -> str:
+    return _scalar(f"json_extract(x, '$.{name}')")
+
+
+_P2_VARIANTS = f"""
+with {_p2_lists("raw_record")},
+s as (
+  select record_id, case when {_scalar("x")} then 'author_text' when json_type(x) = 'ARRAY' then 'other' when {_member("CollectiveName")} then 'author_collective' else 'author_person' end as subtype
+  from au where json_type(x) <> 'NULL'
+  union all select record_id, case when {_scalar("x")} then 'affiliation_text' when {_member("Affiliation")} then 'affiliation_info' else 'other' end from afx where json_type(x) <> 'NULL'
+  union all select record_id, case when {_scalar("x")} then 'heading_text' when json_type(x) = 'ARRAY' then 'other' else 'heading_object' end from me where json_type(x) <> 'NULL'
+  union all select record_id, case when {_scalar("x")} then 'qualifier_text' when json_type(x) = 'ARRAY' then 'other' else 'qualifier_object' end from qux where json_type(x) <> 'NULL'
+  union all select record_id, case when {_scalar("x")} then 'section_text' when {_member("value")} and {_member("Label")} then 'section_labelled' when {_member("value")} then 'section_plain' else 'other' end
+  from se where json_type(x) <> 'NULL'
+  union all select record_id, 'reject' from raw_record where not coalesce(json_valid(payload) and json_type(payload) = 'OBJECT', false))
+select subtype, count(*) as n, count(distinct record_id) as n_records from s group by subtype
+"""
+
 ORACLE = {
     "p2_found": _P2,
+    "p2_variants": _P2_VARIANTS,
     "p4_found": r"""
 with ok as (
   select file_name, lower(regexp_replace(loaded_md5, '[\s:\-]', '', 'g')) as b,

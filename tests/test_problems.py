@@ -60,6 +60,16 @@ def test_nested_shapes_without_a_rule(spark):
     ], key=repr)
 
 
+def test_states_come_from_below():
+    info = {"Affiliation": "x"}
+    cases = [
+        (None, "absent"), ("x", "text"), (3, "text"), ([], "empty"), ([None], "empty"), (["a", None, "b"], "many:text"), (["a", info], "mixed"), ([info, info], "many:info"), (info, "info"),
+        ({"LastName": "A", "AffiliationInfo": [info, None]}, "person_info"), ({"LastName": "A", "AffiliationInfo": [info, "x"]}, "person"), ({"LastName": "A", "Affiliation": ["x"]}, "person_bare"),
+        ({"LastName": {}, "CollectiveName": "G"}, "collective"), ({"value": {"i": "x"}, "Label": "L"}, "object"), ({"value": "x", "Label": None}, "valued"), ({"value": "x", "Label": "L"}, "labelled"), ({}, "object"),
+    ]
+    assert [(x, nested.state(x)) for x, _ in cases] == cases
+
+
 # ---- increments
 
 T0 = datetime(2025, 1, 1)
