@@ -28,8 +28,8 @@ def transactions(feed: DataFrame, registry: DataFrame | None = None) -> DataFram
     """(stream, seq, order_key, complete) per transaction.
 
     With a registry (file_order_key, expected_rows) a transaction is complete once the feed holds at least that many
-    different changes of it, one of no rows at once; an unknown count (NULL) asks only that the transaction was seen.  ``seq`` is
-    the file number and a hole in the numbers a gap.  Without a registry each transaction seen is complete and no number
+    different changes of it, one of no rows at once; an unknown count (NULL) asks only that the transaction was seen, and one the
+    registry doesn't know isn't complete.  ``seq`` is the file number and a hole in the numbers a gap.  Without a registry each transaction seen is complete and no number
     is known to be missing, so the order seen is the sequence.
     """
     if registry is None:
@@ -41,13 +41,13 @@ def transactions(feed: DataFrame, registry: DataFrame | None = None) -> DataFram
             F.lit(True).alias("complete"),
         )
     got = feed.distinct().groupBy("file_order_key").agg(F.count("*").alias("got"))
-    known = registry.select("file_order_key", "expected_rows").dropDuplicates(["file_order_key"])
-    t = known.join(got, "file_order_key", "left")
+    known = registry.where("file_order_key is not null").groupBy("file_order_key").agg(F.max("expected_rows").alias("expected_rows"), F.lit(True).alias("known"))
+    t = known.join(got, "file_order_key", "full")
     return t.select(
         F.floor(F.col("file_order_key") / YEAR).alias("stream"),
         (F.col("file_order_key") % YEAR).alias("seq"),
         F.col("file_order_key").alias("order_key"),
-        (F.coalesce("got", F.lit(0)) >= F.coalesce("expected_rows", F.lit(1))).alias("complete"),
+        (F.col("known").isNotNull() & (F.coalesce("got", F.lit(0)) >= F.coalesce("expected_rows", F.lit(1)))).alias("complete"),
     )
 
 

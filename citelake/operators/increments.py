@@ -31,6 +31,13 @@ def version_number(raw: Column) -> Column:
     return F.regexp_replace(digits, r"\A0+(?=.)", "")
 
 
+def as_of(log: DataFrame, moment) -> DataFrame:
+    """The log as it stood at a moment: attempts that had started, those not finished by then still open."""
+    later = F.col("finished_at") > F.lit(moment)
+    seen = log.where(F.col("started_at").isNull() | (F.col("started_at") <= F.lit(moment)))
+    return seen.withColumns({c: F.when(~F.coalesce(later, F.lit(False)), F.col(c)) for c in ("status", "loaded_md5", "finished_at")})
+
+
 def low_water_mark(log: DataFrame):
     """(last_run, mark): ``last_run`` is the latest finish of an ok attempt, ``mark`` the earliest start among
     the attempts open at that moment (not finished, or finished at it or later), else ``last_run``.  Both None for a log

@@ -3,8 +3,8 @@
 A parent key of digits with an optional capital letter at its end is a class (number of digits, letter) and an
 integer, one to one with the stored string.  The sorted integers of a class compress into contiguous runs
 [start, end]; a reference is an orphan if it lies beyond the end of the run that starts at or before it.  Runs are
-cut at fixed blocks of integers, so no window or join key ever holds a whole class.
-Keys of any other shape (blanks, lower case, empty) go through the same join as runs of one key.
+cut at fixed blocks of integers, so no window ever holds more than a block's keys twice.
+Keys of any other shape (blanks, lower case, empty) go the same way as runs of one key.
 """
 
 from __future__ import annotations
@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 1 << 10
-#: Up to so many runs (about 40 bytes each) are sent to every executor; beyond it both sides are shuffled.
-BROADCAST_RUNS = 500_000
 
 _SHAPE = r"\A(\d{1,18})([A-Z]?)\z"
 
@@ -48,19 +46,15 @@ def runs(parents: DataFrame, key: str) -> DataFrame:
     ).drop("island")
 
 
-def orphans(refs: DataFrame, parents: DataFrame, ref_key: str, parent_key: str, broadcast_runs: int = BROADCAST_RUNS) -> DataFrame:
+def orphans(refs: DataFrame, parents: DataFrame, ref_key: str, parent_key: str) -> DataFrame:
     """Rows of ``refs`` whose non-null ``ref_key`` isn't among the parents' keys, exactly as stored; all columns kept.
 
-    Null references aren't orphans; repeated rows stay repeated; without parents each reference is an orphan.
-    Few runs go to every executor and the references aren't shuffled.  Otherwise each distinct reference key - a
-    hot key counts once - is matched as of the preceding run start, and the rows are reduced to the orphan keys.
+    Null references aren't orphans; repeated rows stay repeated; without parents each reference is an orphan.  Each distinct reference key -
+    a hot key counts once - is matched as of the preceding run start, and the rows are reduced to the orphan keys, which Spark sends
+    to every executor if they are few.
     """
-    run = runs(parents, parent_key)
-    keyed = _keyed(refs, ref_key)
+    run, keyed = runs(parents, parent_key), _keyed(refs, ref_key)
     work = ("__class", "__number", "__block")
-    beyond = [keyed["__class"] == run["__class"], keyed["__block"] == run["__block"], keyed["__number"] >= run["run_start"], keyed["__number"] <= run["run_end"]]
-    if run.limit(broadcast_runs + 1).count() <= broadcast_runs:
-        return keyed.join(F.broadcast(run), beyond, "left_anti").drop(*work)
     keys = keyed.select(*work).distinct()
     marks = run.select("__class", "__block", F.col("run_start").alias("__number"), "run_end", F.lit(0).alias("side"))
     both = marks.unionByName(keys.withColumns({"run_end": F.lit(None).cast("long"), "side": F.lit(1)}))

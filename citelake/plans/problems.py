@@ -21,8 +21,14 @@ def p2_variants(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Files due now, as the first run: no ledger yet, so the whole log is read."""
-    due = increments.take(read_table(spark, sf, "source_file"), read_table(spark, sf, "load_log")).due
+    """Files due now, as the second of two runs: the first stands at the middle of the log's time and leaves its ledger and its mark, the second rereads
+    the log from the oldest attempt that was open then."""
+    registry, log = read_table(spark, sf, "source_file"), read_table(spark, sf, "load_log")
+    middle = log.agg(F.timestamp_micros(((F.unix_micros(F.min("finished_at").cast("timestamp")) + F.unix_micros(F.max("finished_at").cast("timestamp"))) / 2).cast("bigint")).alias("t"))
+    middle = middle.select(F.col("t").cast(dict(log.dtypes)["finished_at"])).first()[0]
+    then = increments.as_of(log, middle)
+    _, mark = increments.low_water_mark(then)
+    due = increments.take(registry, log, increments.processed_ledger(then), mark).due
     return due.select("file_name").distinct()
 
 
@@ -32,6 +38,22 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return state.select("pmid", "source_file")
 
 
+def p5_committed(spark: SparkSession, sf: str) -> DataFrame:
+    """State up to the contiguous watermark: a file the registry counts more articles in than came, or that never came, holds back what follows it."""
+    registry = read_table(spark, sf, "source_file").select("file_order_key", F.col("n_articles").alias("expected_rows"))
+    state = changes.replay(read_table(spark, sf, "article"), read_table(spark, sf, "deleted_pmid"), registry)
+    return state.select("pmid", "source_file", "file_order_key")
+
+
+def p5_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """Transactions and watermark of each stream."""
+    feed = changes.changes(read_table(spark, sf, "article"), read_table(spark, sf, "deleted_pmid"))
+    registry = read_table(spark, sf, "source_file").select("file_order_key", F.col("n_articles").alias("expected_rows"))
+    txns = changes.transactions(feed, registry)
+    per = txns.groupBy("stream").agg(F.count("*").alias("n"), F.count_if("complete").alias("n_complete"))
+    return per.join(changes.watermarks(txns), "stream")
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """References to journals that don't exist, of both referring tables, with the release year."""
     refs = (
@@ -56,15 +78,20 @@ def p6_report(spark: SparkSession, sf: str) -> DataFrame:
 FIELDS = ("article_title", "volume", "issue", "pub_year")
 
 
-def p7_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows on one side only and differing fields between article and its mirror."""
+def p7_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows on one side only and differing cells of article and its mirror, with both values."""
     return diff.differences(
         read_table(spark, sf, "article"), read_table(spark, sf, "article_mirror"), ("pmid", "source_file"), FIELDS,
         "only_in_article", "only_in_mirror",
     )
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_variants, p4_found, p5_found, p6_found, p6_report, p7_found)}
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows on one side only and differing fields between article and its mirror."""
+    return p7_cells(spark, sf).select("pmid", "source_file", "difference")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_variants, p4_found, p5_found, p5_committed, p5_transactions, p6_found, p6_report, p7_found, p7_cells)}
 
 _P6 = """
 select 'article' as table_name, pmid as row_id, source_file, try_cast(nullif(regexp_extract(source_file, '^[^0-9]*([0-9]{2})n', 1), '') as integer) as period
@@ -128,6 +155,33 @@ s as (
 select subtype, count(*) as n, count(distinct record_id) as n_records from s group by subtype
 """
 
+_SAME = "x.pmid is not distinct from y.pmid and x.source_file is not distinct from y.source_file"
+_P7 = "\nunion all\n".join(
+    [
+        f"select x.pmid, x.source_file, '{f}' as difference, min(x.{f}) as left_value, min(y.{f}) as right_value from article x join article_mirror y on {_SAME} "
+        f"group by all having bool_or(x.{f} is distinct from y.{f})"
+        for f in FIELDS
+    ]
+    + [
+        f"select distinct x.pmid, x.source_file, '{what}', null::varchar, null::varchar from {left} x where not exists (select 1 from {right} y where {_SAME})"
+        for what, left, right in (("only_in_article", "article", "article_mirror"), ("only_in_mirror", "article_mirror", "article"))
+    ]
+)
+
+_P5 = """
+with feed as (
+  select pmid, file_order_key as k, source_file, false as gone from article where pmid is not null and file_order_key is not null
+  union select pmid, file_order_key, source_file, true from deleted_pmid where pmid is not null and file_order_key is not null),
+got as (select k, count(*) as n from feed group by k),
+t as (
+  select k, k // 1000000 as stream, coalesce(n, 0) >= coalesce(e, 1) as done
+  from (select file_order_key as k, max(n_articles) as e from source_file group by 1) s left join got using (k)
+  union all select k, k // 1000000, false from got where k not in (select file_order_key from source_file)),
+ordered as (select stream, k, lag(k) over (partition by stream order by k) as before from t),
+held as (
+  select stream, min(k) as k from (select stream, k from t where not done union all select stream, before + 1 from ordered where k - before > 1) group by stream)
+"""
+
 ORACLE = {
     "p2_found": _P2,
     "p2_variants": _P2_VARIANTS,
@@ -154,18 +208,14 @@ gone as (select pmid, max(file_order_key) as k from deleted_pmid group by pmid)
 select n.pmid, n.source_file from newest n left join gone g on n.pmid = g.pmid
 where rn = 1 and (g.k is null or g.k < n.file_order_key)
 """,
+    "p5_committed": f"""{_P5},
+shown as (select * from feed where k < coalesce((select k from held order by stream limit 1), 999999999999))
+select pmid, arg_max(source_file, (k, gone, source_file)) as source_file, max(k) as file_order_key from shown group by pmid having not arg_max(gone, (k, gone, source_file))""",
+    "p5_transactions": f"""{_P5}
+select stream, count(*) as n, count(*) filter (where done) as n_complete, least(max(t.k), coalesce(min(held.k) - 1, max(t.k))) as watermark
+from t left join held using (stream) group by stream""",
     "p6_found": _P6,
     "p6_report": f"select table_name, period, count(*) as n_orphans from ({_P6}) group by table_name, period",
-    "p7_found": "\nunion\n".join(
-        [
-            f"select a.pmid, a.source_file, '{f}' as difference from article a join article_mirror m "
-            f"on a.pmid is not distinct from m.pmid and a.source_file is not distinct from m.source_file where a.{f} is distinct from m.{f}"
-            for f in FIELDS
-        ]
-        + [
-            f"select x.pmid, x.source_file, '{what}' from {x} x where not exists (select 1 from {y} y "
-            "where x.pmid is not distinct from y.pmid and x.source_file is not distinct from y.source_file)"
-            for what, x, y in (("only_in_article", "article", "article_mirror"), ("only_in_mirror", "article_mirror", "article"))
-        ]
-    ),
+    "p7_found": "select distinct pmid, source_file, difference from (" + _P7 + ")",
+    "p7_cells": _P7,
 }
