@@ -68,7 +68,12 @@ def p10_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return spans.coverage(read_table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p8_containers, p9_found, p9_scrubbed, p10_found, p10_coverage)}
+def p10_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document with its class of exact copies and the number of other texts it shares a span with."""
+    return spans.links(read_table(spark, sf, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p8_containers, p9_found, p9_scrubbed, p10_found, p10_coverage, p10_links)}
 
 # Code points of Greek and Cyrillic letters drawn as Latin ones, by themselves and not from the operator's table.
 _ALIKE = (
@@ -103,6 +108,13 @@ with w as (select doc_id, text, unnest(range(1, length(text) - 298)) as k from d
      h as (select distinct doc_id, md5(substring(text, k, 300)) as g from w),
      s as (select g from h group by g having count(*) > 1)
 select distinct a.doc_id as doc_a, b.doc_id as doc_b from h a join s using (g) join h b on a.g = b.g and a.doc_id < b.doc_id""",
+    "p10_links": """
+with t as (select min(doc_id) as class_id, any_value(text) as text, md5(text) as digest from documents where length(text) >= 300 group by md5(text)),
+     w as (select class_id, text, unnest(range(1, length(text) - 298)) as k from t),
+     h as (select distinct class_id, md5(substring(text, k, 300)) as g from w),
+     s as (select g from h group by g having count(*) > 1),
+     l as (select class_id, count(distinct o) as n from (select a.class_id, b.class_id as o from h a join s using (g) join h b on a.g = b.g and a.class_id <> b.class_id) group by class_id)
+select d.doc_id, t.class_id, coalesce(l.n, 0) as n_links from documents d join t on md5(d.text) = t.digest left join l on l.class_id = t.class_id where length(d.text) >= 300""",
     "p10_coverage": """
 with w as (select doc_id, text, unnest(range(1, length(text) - 298)) as k from documents where length(text) >= 300),
      h as (select doc_id, k, md5(substring(text, k, 300)) as g from w),

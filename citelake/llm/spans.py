@@ -5,8 +5,10 @@ Windows are hashed only where a position modulo a period lies in a difference co
 arrays to the partition of their hash, where equal ones meet; each candidate is extended and checked on the texts.
 
 Places of an anchor that many places share (a standing phrase) aren't paired: the windows of full length around
-them are hashed, so that only places with a real match meet and a phrase shorter than ``min_len`` meets nothing.
-Exact copies are put together first and only one of each class is searched.
+them are hashed, so that only places with a real match meet and a phrase shorter than ``min_len`` meets nothing.  A task that
+finds such an anchor sends a few of its places to meet and the others on their own way, so none gathers in one task.
+Exact copies are put together first and only one of each class is searched.  Texts are scanned three times: for digests, for anchors, and for
+those that hold a candidate.
 """
 
 from __future__ import annotations
@@ -15,15 +17,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, scratch
 
 #: Places that may share an anchor and still be paired on it; larger groups meet again by full windows.
 PAIRED = 32
 #: Anchors that meet in one task's group, on average (about 200 bytes each while they are compared).
-PER_PART = 1_000_000
+PER_PART = 250_000
 #: Anchors a task gathers before it packs them, so that packed rows stay long however many groups there are.
 PACK = 1_000_000
 #: Characters hashed at once.
@@ -95,13 +98,13 @@ class Roller:
             return h ^ (h >> np.uint64(32))
 
 
-def _pieces(ids: list, texts: list, overlap: int) -> Iterator[list[tuple]]:
-    """Groups of (id, offset, text piece) of about CHUNK characters; a longer text comes in overlapping pieces."""
+def _pieces(ids: list, texts: list, overlap: int, chunk: int) -> Iterator[list[tuple]]:
+    """Groups of (id, offset, text piece) of about ``chunk`` characters; a longer text comes in overlapping pieces."""
     group, size = [], 0
     for i, t in zip(ids, texts, strict=True):
-        for at in range(0, max(1, len(t) - overlap + 1), CHUNK):
-            piece = t[at : at + CHUNK + overlap - 1]
-            if group and size + len(piece) > CHUNK:
+        for at in range(0, max(1, len(t) - overlap + 1), chunk):
+            piece = t[at : at + chunk + overlap - 1]
+            if group and size + len(piece) > chunk:
                 yield group
                 group, size = [], 0
             group.append((i, at, piece))
@@ -123,41 +126,54 @@ def _windows(group: list[tuple], width: int, roller: Roller):
     return h, which, inside + offsets[which], fits, codes
 
 
-_PACKED = "part int, ids binary, which binary, pos binary, hash binary, check binary"
+_PACKED = "part int, crowd boolean, ids binary, which binary, pos binary, hash binary, check binary"
 
 
-def _pack(parts: int, gathered: list[tuple]) -> pa.RecordBatch:
+def _rows(part: np.ndarray, crowd: bool, doc, pos, h, check) -> Iterator[tuple]:
     """One row per target partition with its anchors (document, position, hash, second hash or none) as packed arrays."""
-    doc, pos, h, check = (np.concatenate(x) for x in zip(*gathered, strict=True)) if gathered else (np.empty(0, np.int64),) * 4
-    part = (h % np.uint64(parts)).astype(np.int32) if len(h) else np.empty(0, np.int32)
     order = np.argsort(part, kind="stable")
     cuts = np.flatnonzero(np.diff(part[order])) + 1
-    cols: dict[str, list] = {k: [] for k in ("part", "ids", "which", "pos", "hash", "check")}
     for at in np.split(order, cuts) if len(order) else []:
         docs, local = np.unique(doc[at], return_inverse=True)
-        cols["part"].append(int(part[at[0]]))
-        cols["ids"].append(docs.tobytes())
-        cols["which"].append(local.astype(np.uint32).tobytes())
-        cols["pos"].append(pos[at].astype(np.uint32).tobytes())
-        cols["hash"].append(h[at].tobytes())
-        cols["check"].append(check[at].tobytes() if len(check) else b"")
-    return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int32() if k == "part" else pa.binary()) for k, v in cols.items()})
+        arrays = (docs, local.astype(np.uint32), pos[at].astype(np.uint32), h[at], check[at] if len(check) else check)
+        yield (int(part[at[0]]), crowd, *(x.tobytes() for x in arrays))
 
 
-def _packed(parts: int, found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-    """Packs of at least ``PACK`` anchors, and what is left."""
+def _pack(parts: int, gathered: list[tuple], most: int) -> pa.RecordBatch:
+    """The anchors packed by partition.  Of a hash with more than ``most`` places here only so many and the last go to meet, of two documents
+    if it stands in several, so that they are a crowd there too; the others go where the number of their document says."""
+    doc, pos, h, check = (np.concatenate(x) for x in zip(*gathered, strict=True)) if gathered else (np.empty(0, np.int64),) * 4
+    rows: list[tuple] = []
+    if len(h):
+        order = np.lexsort((doc, h))
+        new = h[order][1:] != h[order][:-1]
+        first = np.flatnonzero(np.concatenate([[True], new]))
+        rank = np.arange(len(h)) - np.repeat(first, np.diff(np.append(first, len(h))))
+        over = np.zeros(len(h), bool)
+        over[order[(rank >= most) & np.concatenate([~new, [False]])]] = True
+        keep, second = ~over, check if len(check) else None
+        rows += _rows((h[keep] % np.uint64(parts)).astype(np.int32), False, doc[keep], pos[keep], h[keep], check[keep] if second is not None else check)
+        rows += _rows((doc[over] % parts).astype(np.int32), True, doc[over], pos[over], h[over], check[over] if second is not None else check)
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
+    names = ("part", "crowd", "ids", "which", "pos", "hash", "check")
+    kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * 5]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], list(names))
+
+
+def _packed(parts: int, found: Iterator[tuple], most: int, pack: int) -> Iterator[pa.RecordBatch]:
+    """Packs of at least ``pack`` anchors, and what is left."""
     gathered, n = [], 0
     for f in found:
         gathered.append(f)
         n += len(f[0])
-        if n >= PACK:
-            yield _pack(parts, gathered)
+        if n >= pack:
+            yield _pack(parts, gathered, most)
             gathered, n = [], 0
-    yield _pack(parts, gathered)
+    yield _pack(parts, gathered, most)
 
 
 def _unpack(t: pa.Table):
-    docs, pos, h, check = [], [], [], []
+    docs, pos, h, check = ([np.empty(0, k)] for k in (np.int64, np.int64, np.uint64, np.uint64))
     for ids, which, p, x, c in zip(*(t[k].to_pylist() for k in ("ids", "which", "pos", "hash", "check")), strict=True):
         docs.append(np.frombuffer(ids, np.int64)[np.frombuffer(which, np.uint32)])
         pos.append(np.frombuffer(p, np.uint32).astype(np.int64))
@@ -166,7 +182,7 @@ def _unpack(t: pa.Table):
     return np.concatenate(docs), np.concatenate(pos), np.concatenate(h), np.concatenate(check)
 
 
-def _anchors(docs: DataFrame, min_len: int, parts: int) -> DataFrame:
+def _anchors(docs: DataFrame, min_len: int, parts: int, paired: int, pack: int, chunk: int) -> DataFrame:
     period, residues, width = cover_for(min_len)
     none = np.empty(0, np.uint64)
 
@@ -174,32 +190,33 @@ def _anchors(docs: DataFrame, min_len: int, parts: int) -> DataFrame:
         roller, cover = Roller(_BASES[0]), np.zeros(period, bool)
         cover[residues] = True
         for batch in batches:
-            for group in _pieces(batch.column(0).to_pylist(), batch.column(1).to_pylist(), width):
+            for group in _pieces(batch.column(0).to_pylist(), batch.column(1).to_pylist(), width, chunk):
                 h, which, pos, fits, _ = _windows(group, width, roller)
                 at = np.flatnonzero(fits & cover[pos % period])
                 yield np.array([i for i, _, _ in group], np.int64)[which[at]], pos[at], h[at], none
 
-    return docs.mapInArrow(lambda batches: _packed(parts, found(batches)), _PACKED)
+    return docs.select("id", "text").mapInArrow(lambda batches: _packed(parts, found(batches), paired, pack), _PACKED)
 
 
 _MET = "hot boolean, a bigint, pos_a bigint, b bigint, pos_b bigint"
 
 
-def _meet(anchors: DataFrame, min_len: int, paired: int) -> DataFrame:
+def _meet(anchors: DataFrame, min_len: int, parts: int, paired: int) -> DataFrame:
     """Candidates (a, pos_a, b, pos_b), one per diagonal and window's length; hot rows: the places (a, pos_a) of
     anchors that too many share."""
     width = cover_for(min_len)[2]
 
     def meet(t: pa.Table) -> pa.Table:
-        doc, pos, h, _ = _unpack(t)
+        known, apart, _, _ = _unpack(t.filter(t["crowd"]))
+        doc, pos, h, _ = _unpack(t.filter(pc.invert(t["crowd"])))
         order = np.lexsort((pos, doc, h))
         doc, pos, h = doc[order], pos[order], h[order]
-        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])[: len(h)])
         size = np.diff(np.append(first, len(h)))
         several = doc[first] != doc[first + size - 1]  # sorted by doc: the first and last differ
         many = several & (size > paired)
         crowd = np.repeat(many, size)
-        hot_doc, hot_pos = doc[crowd], pos[crowd]
+        hot_doc, hot_pos = np.append(doc[crowd], known), np.append(pos[crowd], apart)
         keep = np.repeat(several & (size <= paired), size)
         doc, pos, h = doc[keep], pos[keep], h[keep]
         found = []
@@ -222,10 +239,10 @@ def _meet(anchors: DataFrame, min_len: int, paired: int) -> DataFrame:
         cols = [pa.chunked_array([pa.array(x[pick]), y]) for x, y in zip((a, pa_, b, pb), more, strict=True)]
         return pa.table([pa.array(np.arange(n + m) >= n), *cols], names=["hot", "a", "pos_a", "b", "pos_b"])
 
-    return anchors.groupBy("part").applyInArrow(meet, _MET)
+    return anchors.repartition(parts, "part").groupBy("part").applyInArrow(meet, _MET)
 
 
-def _full_windows(docs: DataFrame, min_len: int, parts: int) -> DataFrame:
+def _full_windows(docs: DataFrame, min_len: int, parts: int, chunk: int) -> DataFrame:
     """Windows of full length that start within a period before one of the places ``at`` of a text."""
     period = cover_for(min_len)[0]
 
@@ -234,7 +251,7 @@ def _full_windows(docs: DataFrame, min_len: int, parts: int) -> DataFrame:
         for batch in batches:
             ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
             at = [np.array(x, np.int64) for x in batch.column(2).to_pylist()]
-            for group in _pieces(list(range(len(texts))), texts, min_len):
+            for group in _pieces(list(range(len(texts))), texts, min_len, chunk):
                 full, which, pos, fits, codes = _windows(group, min_len, rollers[0])
                 edge, base = np.zeros(len(codes) + 1, np.int64), 0
                 for k, offset, piece in group:
@@ -248,14 +265,14 @@ def _full_windows(docs: DataFrame, min_len: int, parts: int) -> DataFrame:
                 own = ids[np.array([k for k, _, _ in group], np.int64)]
                 yield own[which[near]], pos[near], full[near], rollers[1](codes, min_len)[near]
 
-    return docs.select("id", "text", "at").mapInArrow(lambda batches: _packed(parts, found(batches)), _PACKED)
+    return docs.select("id", "text", "at").mapInArrow(lambda batches: _packed(parts, found(batches), 1 << 62, PACK), _PACKED)
 
 
-_GROUPS = "sig binary, i int, j int, left array<bigint>, right array<bigint>, doc bigint, pos bigint"
+_GROUPS = "sig binary, side int, members array<bigint>, doc bigint, pos bigint"
 
 
-def _meet_full(windows: DataFrame) -> DataFrame:
-    """Groups of documents that share a full window, as blocks of ids (left, right), and the places (doc, pos) of such windows."""
+def _meet_full(windows: DataFrame, parts: int) -> DataFrame:
+    """Groups of documents that share a full window, as sides of up to ``SIDE`` members, and the places (doc, pos) of such windows."""
 
     def meet(t: pa.Table) -> pa.Table:
         import hashlib
@@ -263,7 +280,7 @@ def _meet_full(windows: DataFrame) -> DataFrame:
         doc, pos, h, check = _unpack(t)
         order = np.lexsort((doc, check, h))
         doc, pos, h, check = doc[order], pos[order], h[order], check[order]
-        first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (check[1:] != check[:-1])]))
+        first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (check[1:] != check[:-1])])[: len(h)])
         ends = np.append(first[1:], len(h))
         several = doc[first] != doc[ends - 1]
         seen, rows, places = set(), [], []
@@ -273,17 +290,16 @@ def _meet_full(windows: DataFrame) -> DataFrame:
             sig = hashlib.md5(ids.tobytes()).digest()
             if sig not in seen:
                 seen.add(sig)
-                sides = [ids[k : k + SIDE].tolist() for k in range(0, len(ids), SIDE)]
-                rows += [(sig, i, j, sides[i], sides[j]) for i in range(len(sides)) for j in range(i, len(sides))]
+                rows += [(sig, k // SIDE, ids[k : k + SIDE].tolist()) for k in range(0, len(ids), SIDE)]
         at = np.concatenate(places) if places else np.empty(0, np.int64)
         n, m = len(rows), len(at)
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-        kinds = [pa.binary(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * 3
+        kinds = [pa.binary(), pa.int32(), pa.list_(pa.int64())]
         out = [pa.chunked_array([pa.array(c, k), pa.nulls(m, k)]) for c, k in zip(cols, kinds, strict=True)]
         out += [pa.chunked_array([pa.nulls(n, pa.int64()), pa.array(x[at])]) for x in (doc, pos)]
-        return pa.table(out, names=["sig", "i", "j", "left", "right", "doc", "pos"])
+        return pa.table(out, names=["sig", "side", "members", "doc", "pos"])
 
-    return windows.groupBy("part").applyInArrow(meet, _GROUPS)
+    return windows.repartition(parts, "part").groupBy("part").applyInArrow(meet, _GROUPS)
 
 
 def _extend(a: pa.Array, b: pa.Array, at_a: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -322,7 +338,7 @@ def _verified(cands: DataFrame, docs: DataFrame, min_len: int) -> DataFrame:
     points = cands.select(F.col("a").alias("id"), F.col("pos_a").alias("pos")).unionByName(
         cands.select(F.col("b").alias("id"), F.col("pos_b").alias("pos"))
     ).distinct()
-    wanted = small(points.groupBy("id").agg(F.collect_set("pos").alias("at")), 2 * cands.count())
+    wanted = points.groupBy("id").agg(F.collect_set("pos").alias("at"))
     texts = docs.join(wanted, "id").select("id", F.explode("at").alias("pos"), "text")
     start = F.greatest(F.col("pos") - before, F.lit(0))
     seg = texts.select("id", "pos", F.expr(f"substring(text, int(greatest(pos - {before}, 0)) + 1, int(pos - greatest(pos - {before}, 0)) + {after})").alias("seg"), (F.col("pos") - start).alias("at"))
@@ -347,42 +363,58 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _classes(docs: DataFrame) -> DataFrame:
-    """(id, rep): documents that have an exact copy, with the lowest id of the copies; by digest, texts aren't shuffled."""
-    d = docs.select("id", F.md5("text").alias("digest"))
+def _digests(docs: DataFrame) -> DataFrame:
+    """(id, digest, n_chars, single): of each id a text's digest, its longest text's length and whether it has but one text."""
+    d = docs.select("id", F.unhex(F.md5("text")).alias("digest"), F.length("text").cast("bigint").alias("n"))
+    one = d.groupBy("id").agg(F.min("digest").alias("digest"), F.max("digest").alias("other"), F.max("n").alias("n_chars"))
+    return one.select("id", "digest", "n_chars", (F.col("digest") == F.col("other")).alias("single"))
+
+
+def _classes(digests: DataFrame) -> DataFrame:
+    """(id, rep): ids of one text that have an exact copy, with the lowest id of the copies.  An id with several texts is never of a class: it
+    is searched with all of them and meets the class like any other."""
+    d = digests.where("single").select("id", "digest")
     reps = d.groupBy("digest").agg(F.min("id").alias("rep"), F.max("id").alias("top")).where("top > rep")
-    return d.join(reps.select("digest", "rep"), "digest").select("id", "rep").distinct()
+    return d.join(reps.select("digest", "rep"), "digest").select("id", "rep")
 
 
-def shared(docs: DataFrame, min_len: int = 300, doc_id: str = "doc_id", text: str = "text", paired: int = PAIRED) -> dict[str, DataFrame]:
+def shared(
+    docs: DataFrame, min_len: int = 300, doc_id: str = "doc_id", text: str = "text", paired: int = PAIRED, pack: int = PACK, chunk: int = CHUNK
+) -> dict[str, DataFrame]:
     """``matches`` (a, b, start_a, start_b, n) between class representatives, ``groups`` (a, b) and ``places`` (doc, pos) from hot anchors,
-    ``copies`` (id, rep), and ``docs``.
+    ``copies`` (id, rep), and ``sizes`` (id, n_chars).
 
     Null ids and texts shorter than ``min_len`` have no matches.  Repeated rows count once; different texts under one id count as
     parts of one record.  Texts are compared as stored, by code point.
     """
+    spark = docs.sparkSession
     base = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
     base = base.where(F.col("id").isNotNull() & (F.length("text") >= min_len))
-    copies = cut(_classes(base))
+    digests = cut(_digests(base))
+    copies = cut(_classes(digests))
     extra = copies.where("id <> rep").select("id")
     searched = base.join(small(extra, copies.count()), "id", "left_anti")
-    chars = base.agg(F.sum(F.length("text"))).first()[0] or 0
+    chars = digests.agg(F.sum("n_chars")).first()[0] or 0
     period, residues, _ = cover_for(min_len)
-    parts = max(2 * docs.sparkSession.sparkContext.defaultParallelism, 1 + int(chars * len(residues) / period / PER_PART))
-    met = cut(_meet(_anchors(searched, min_len, parts), min_len, paired))
+    parts = max(2 * spark.sparkContext.defaultParallelism, 1 + int(chars * len(residues) / period / PER_PART))
+    met = cut(_meet(_anchors(searched, min_len, parts, paired, pack, chunk), min_len, parts, paired))
     width = cover_for(min_len)[2]
     diagonal, bucket = F.col("pos_a") - F.col("pos_b"), F.floor(F.col("pos_a") / width)
     cands = met.where("not hot").groupBy("a", "b", diagonal.alias("diagonal"), bucket.alias("bucket")).agg(F.min("pos_a").alias("pos_a"))
-    cands = cands.select("a", "b", "pos_a", (F.col("pos_a") - F.col("diagonal")).alias("pos_b"))
-    hot = met.where("hot")
-    places = hot.groupBy(F.col("a").alias("id")).agg(F.collect_set("pos_a").alias("at"))
-    crowded = searched.join(small(places, hot.count()), "id")
-    groups = cut(_meet_full(_full_windows(crowded, min_len, parts)))
-    blocks = groups.where("sig is not null").groupBy("sig", "i", "j").agg(F.first("left").alias("left"), F.first("right").alias("right"))
-    pairs = blocks.select(F.explode("left").alias("a"), "right").select("a", F.explode("right").alias("b")).where("a < b").distinct()
+    cands = cut(cands.select("a", "b", "pos_a", (F.col("pos_a") - F.col("diagonal")).alias("pos_b")))
+    places = cut(met.where("hot").groupBy(F.col("a").alias("id")).agg(F.collect_set("pos_a").alias("at")))
+    # the texts that are looked at again, read from the corpus once
+    ids = places.select("id").unionByName(cands.select(F.col("a").alias("id"))).unionByName(cands.select(F.col("b").alias("id"))).distinct()
+    folder = scratch(spark)
+    searched.join(small(ids, places.count() + 2 * cands.count()), "id", "left_semi").write.mode("overwrite").parquet(folder)
+    texts = spark.read.schema(searched.schema).parquet(folder)
+    groups = cut(_meet_full(_full_windows(texts.join(places, "id"), min_len, parts, chunk), parts))
+    sides = groups.where("sig is not null").groupBy("sig", "side").agg(F.first("members").alias("members"))
+    left = sides.select("sig", F.col("side").alias("i"), F.explode("members").alias("a"))
+    pairs = left.join(sides, "sig").where("side >= i").select("a", F.explode("members").alias("b")).where("a < b").distinct()
     return {
-        "matches": _verified(cands, searched, min_len), "groups": pairs, "places": groups.where("doc is not null").select("doc", "pos").distinct(),
-        "copies": copies, "docs": base,
+        "matches": _verified(cands, texts, min_len), "groups": pairs, "places": groups.where("doc is not null").select("doc", "pos").distinct(),
+        "copies": copies, "sizes": digests.select("id", "n_chars"),
     }
 
 
@@ -414,7 +446,7 @@ def coverage(docs: DataFrame, min_len: int = 300, **columns) -> DataFrame:
     step = spans.withColumn("reach", F.coalesce(reach, F.lit(-1)))
     step = step.withColumns({"gain": F.greatest(F.col("e") - F.greatest("s", "reach"), F.lit(0)), "new": (F.col("s") > F.col("reach")).cast("int")})
     per = step.groupBy("doc").agg(F.sum("gain").alias("shared_chars"), F.sum("new").alias("n_spans"))
-    sizes = s["docs"].groupBy("id").agg(F.max(F.length("text")).cast("bigint").alias("n_chars"))
+    sizes = s["sizes"]
     copies = s["copies"].select(F.col("id").alias("copy_id"), "rep")
     out = sizes.join(copies, F.col("id") == F.col("copy_id"), "left").join(per, F.col("doc") == F.col("id"), "left")
     whole = F.col("rep").isNotNull()
@@ -423,3 +455,14 @@ def coverage(docs: DataFrame, min_len: int = 300, **columns) -> DataFrame:
         F.when(whole, F.col("n_chars")).otherwise(F.coalesce("shared_chars", F.lit(0))).alias("shared_chars"),
         F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("bigint").alias("n_spans"),
     )
+
+
+def links(docs: DataFrame, min_len: int = 300, **columns) -> DataFrame:
+    """(doc_id, class_id, n_links): every document of ``min_len`` characters or more with the lowest id of its exact copies and the number of
+    other texts it shares a span with, a class of copies counting once."""
+    s = shared(docs, min_len, **columns)
+    reps = s["matches"].select("a", "b").unionByName(s["groups"]).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    both = reps.unionByName(reps.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    n = both.groupBy(F.col("a").alias("class_id")).agg(F.count("*").alias("n_links"))
+    out = s["sizes"].select("id").join(s["copies"], "id", "left").select(F.col("id").alias("doc_id"), F.coalesce("rep", "id").alias("class_id"))
+    return out.join(n, "class_id", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))

@@ -244,15 +244,47 @@ def brute_spans(docs, n):
     return pairs, cover
 
 
-@pytest.mark.parametrize("paired,seed", [(spans.PAIRED, 1), (2, 1), (4, 2)])
-def test_shared_spans_against_brute_force(spark, paired, seed, monkeypatch):
-    monkeypatch.setattr(spans, "CHUNK", 150)  # texts come in overlapping pieces
+@pytest.mark.parametrize("paired,pack,seed", [(spans.PAIRED, spans.PACK, 1), (2, 50, 1), (4, 300, 2), (2, spans.PACK, 3)])
+def test_shared_spans_against_brute_force(spark, paired, pack, seed, monkeypatch):
     monkeypatch.setattr(spans, "SIDE", 3)
+    size = {"paired": paired, "pack": pack, "chunk": 150}  # texts come in overlapping pieces, anchors in small packs
     docs = corpus(random.Random(seed))
     pairs, cover = brute_spans(docs, 40)
     df = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id bigint, text string, a int")
-    assert {tuple(r) for r in spans.pairs(df, 40, paired=paired).collect()} == pairs
-    assert {r["doc_id"]: r["shared_chars"] for r in spans.coverage(df, 40, paired=paired).collect()} == cover
+    assert {tuple(r) for r in spans.pairs(df, 40, **size).collect()} == pairs
+    assert {r["doc_id"]: r["shared_chars"] for r in spans.coverage(df, 40, **size).collect()} == cover
+
+
+def brute_links(docs, pairs, n):
+    """Lowest id of equal texts, and other texts (ids of one text and none before) that share a span."""
+    by = {}
+    for i, t in docs:
+        if i is not None and t and len(t) >= n:
+            by.setdefault(i, set()).add(t)
+    first = {}
+    for i in sorted(by):
+        if len(by[i]) == 1:
+            first.setdefault(next(iter(by[i])), i)
+    rep = {i: first.get(next(iter(t)), i) if len(t) == 1 else i for i, t in by.items()}
+    both = {(rep[a], rep[b]) for a, b in pairs if rep[a] != rep[b]}
+    both |= {(b, a) for a, b in both}
+    return {(i, r, sum(a == r for a, _ in both)) for i, r in rep.items()}
+
+
+@pytest.mark.parametrize("pack", [40, spans.PACK])
+def test_one_phrase_in_every_document(spark, pack):
+    """A short phrase links nothing, a long one links all; ids with several texts, one of them a copy, lose no link."""
+    rng = random.Random(7)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    short, long = text(25), text(60)
+    docs = [(i, text(30) + short + text(30)) for i in range(90)]
+    docs += [(100 + i, text(20) + short + text(20) + long) for i in range(45)]
+    own = text(70)
+    docs += [(300, docs[0][1]), (300, own), (301, docs[0][1]), (302, "x" + own[5:60] + "y"), (303, own), (304, docs[0][1]), (304, docs[1][1])]
+    pairs, _ = brute_spans(docs, 40)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    assert {tuple(r) for r in spans.pairs(df, 40, paired=4, pack=pack).collect()} == pairs
+    assert {tuple(r) for r in spans.links(df, 40, paired=4, pack=pack).collect()} == brute_links(docs, pairs, 40)
 
 
 def test_shared_spans_of_nothing(spark):
