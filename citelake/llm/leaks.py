@@ -1,7 +1,7 @@
 """Held-out test passages inside corpus texts.
 
-The test items' word n-grams go to every executor as one hash table - in blocks of items of bounded size, one scan of the
-corpus per block - and each document's word windows are looked up in it.  A window is first looked up by its first
+The test items' word n-grams go to every executor as one hash table - in blocks of items of bounded size, one after the other, with a scan of the
+corpus each - and every document's word windows are looked up in it.  A window is first looked up by its first
 and last word, then the hit is verified against the whole n-gram.  The corpus is never shuffled.
 """
 
@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch
+
 #: Words of items in one block; with their n-grams about 200 bytes each, so a block stays below 100 MB.
 BLOCK_WORDS = 500_000
 
@@ -29,7 +30,7 @@ def words(text: str) -> list[str]:
 
 
 def blocks(items: DataFrame, item_id: str, text: str, block_words: int) -> Iterator[list[tuple]]:
-    """The items in blocks of at most ``block_words`` words (or one item), as (id, words); never all of them at once."""
+    """The items in blocks of at most ``block_words`` words (or one item), as (id, words), one at a time."""
     block, size = [], 0
     for row in items.select(F.col(item_id).alias("i"), F.col(text).alias("t")).where("i is not null and t is not null").toLocalIterator():
         w = words(row["t"])
@@ -78,34 +79,41 @@ def leaks(
 
     Overlapping and touching runs are merged per item.  Null texts and ids, and texts or items of fewer than ``n`` words, give no row;
     repeated documents or items give their rows again, an item id that comes twice counts once per text.  Without items the
-    result is empty.
+    result is empty.  Items of more than one block are scanned for at once, and a block's table is gone before the next is sent.
     """
     schema = f"doc_id {dict(docs.dtypes)[doc_id]}, item_id {dict(items.dtypes)[item_id]}, start int, end int"
-    sc = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("text")).where("doc_id is not null and text is not null")
-    out = []
-    for block in blocks(items, item_id, item_text, block_words):
-        table = sc.broadcast(_table(block, n))
+    target = _arrow_schema(spark, schema)
 
-        def scan(batches: Iterator[pa.RecordBatch], table=table) -> Iterator[pa.RecordBatch]:
+    def found(table) -> DataFrame:
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             grams = table.value
             for batch in batches:
                 rows: list[tuple] = []
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     if len(text) < 2 * n - 1:
                         continue
-                    found = _spans(text, grams, n)
-                    if found:
+                    spans = _spans(text, grams, n)
+                    if spans:
                         at = [m.span() for m in _WORD.finditer(text)]
-                        rows += [(doc, item, at[a][0], at[b - 1][1]) for item, runs in found.items() for a, b in runs]
+                        rows += [(doc, item, at[a][0], at[b - 1][1]) for item, runs in spans.items() for a, b in runs]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["doc_id", "item_id", "start", "end"]).cast(target)
 
-        target = _arrow_schema(docs.sparkSession, schema)
-        out.append(source.mapInArrow(scan, schema))
-    if not out:
-        return docs.sparkSession.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, out)
+        return source.mapInArrow(scan, schema)
+
+    folder, left = None, blocks(items, item_id, item_text, block_words)
+    block = next(left, None)
+    while block is not None:
+        table = spark.sparkContext.broadcast(_table(block, n))
+        block = next(left, None)
+        if block is None and folder is None:
+            return found(table)
+        folder = folder or scratch(spark)
+        found(table).write.mode("append").parquet(folder)
+        table.destroy()
+    return spark.createDataFrame([], schema) if folder is None else spark.read.schema(schema).parquet(folder)
 
 
 def _arrow_schema(spark, ddl: str) -> pa.Schema:

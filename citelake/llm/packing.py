@@ -2,7 +2,7 @@
 
 Sizes are counted with a public tokenizer.  Documents are dealt by hash into shards of bounded size - no key, source or size
 decides the shard - and each shard is packed by itself: Martello and Toth's dominance criterion first fixes small sets that are
-provably as good as any other choice for their largest document, then what remains is packed best fit, largest first.
+provably as good as any other choice for one of their documents, then what remains is packed best fit, largest first.
 A document above the capacity is cut into full containers and a rest, which is packed like any other.
 """
 
@@ -50,8 +50,8 @@ def reduce_instance(sizes: list[int], capacity: int) -> tuple[list[list[int]], l
     """(fixed, rest): containers, as lists of places in ``sizes``, that some optimal packing has, and the places left over.
 
     A set of items dominates another if the other's items can be dealt to its items so that none gets more than its own size; then
-    an optimal packing may use the first.  For each item j above half the capacity, largest first, with room r beside it and k the
-    largest item that fits there:
+    an optimal packing may use the first.  For each item j, largest first, with room r beside it and k the largest other item that
+    fits there:
 
     * nothing fits: {j} dominates every set with j;
     * k = r, or no two items fit together: {j, k} does;
@@ -64,45 +64,55 @@ def reduce_instance(sizes: list[int], capacity: int) -> tuple[list[list[int]], l
     vals = [sizes[i] for i in ids]
     fixed: list[list[int]] = []
     p = len(vals) - 1
-    while p >= 0 and 2 * vals[p] > capacity:
-        room = capacity - vals[p]
-        fits = bisect_right(vals, room)  # items [0, fits) fit beside j, all below p
-        chosen = _dominating(vals, fits, room)
+    while p >= 0:
+        chosen = _dominating(vals, p, capacity - vals[p])
         if chosen is None:
             p -= 1
             continue
-        at = [p, *chosen]  # descending places
+        at = sorted([p, *chosen], reverse=True)
         fixed.append([ids[x] for x in at])
         for x in at:
             del vals[x], ids[x]
-        p -= len(at)
+        p -= 1 + sum(x < p for x in chosen)
     return fixed, ids
 
 
-def _dominating(vals: list[int], fits: int, room: int) -> list[int] | None:
-    """Places of the items beside j in a set that dominates all others, descending; None if there is no proof."""
+def _dominating(vals: list[int], p: int, room: int) -> list[int] | None:
+    """Places of the items beside that at ``p`` in a set that dominates all others with it; None if there is no proof."""
+
+    def at(i: int) -> int:  # the place of the i-th smallest other item
+        return i if i < p else i + 1
+
+    def size(i: int) -> int:
+        return vals[at(i)]
+
+    def fitting(most: int) -> int:
+        n = bisect_right(vals, most)
+        return n - (p < n)
+
+    fits = fitting(room)
     if fits == 0:
         return []
     k = fits - 1
-    if vals[k] == room or fits == 1 or vals[0] + vals[1] > room:
-        return [k]
-    if fits >= 3 and vals[0] + vals[1] + vals[2] <= room:
+    if size(k) == room or fits == 1 or size(0) + size(1) > room:
+        return [at(k)]
+    if fits >= 3 and size(0) + size(1) + size(2) <= room:
         return None
     lo, up, best = 0, k, 0
-    while lo < up and best <= vals[k]:
-        s = vals[lo] + vals[up]
+    while lo < up and best <= size(k):
+        s = size(lo) + size(up)
         if s <= room:
             best, lo = max(best, s), lo + 1
         else:
             up -= 1
-    if best <= vals[k]:
-        return [k]
-    b = min(bisect_right(vals, room - vals[k]), k) - 1
+    if best <= size(k):
+        return [at(k)]
+    b = min(fitting(room - size(k)), k) - 1
     lo, up = 0, fits - 2  # the last place whose item fits together with the next one
     while lo < up:
         mid = (lo + up + 1) // 2
-        lo, up = (mid, up) if vals[mid] + vals[mid + 1] <= room else (lo, mid - 1)
-    return [k, b] if b >= 0 and vals[b] >= vals[lo] else None
+        lo, up = (mid, up) if size(mid) + size(mid + 1) <= room else (lo, mid - 1)
+    return [at(k), at(b)] if b >= 0 and size(b) >= size(lo) else None
 
 
 def best_fit(sizes: list[int], places: list[int], capacity: int) -> list[list[int]]:

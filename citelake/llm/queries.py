@@ -43,6 +43,15 @@ def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
     return packing.containers(packing.count_tokens(read_table(spark, sf, "documents")))
 
 
+def p8_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts and size of each document packed into containers of 4,000 characters, and how many of its containers hold more than that."""
+    sizes = read_table(spark, sf, "documents").select("doc_id", F.length("text").cast("bigint").alias("n_tokens"))
+    pieces = packing.containers(sizes, 4000)
+    filled = pieces.groupBy("container").agg(F.sum("n_tokens").alias("filled")).where("filled > 4000").select("container", F.lit(1).alias("over"))
+    per = pieces.join(filled, "container", "left").groupBy("doc_id")
+    return per.agg(F.count("*").alias("n_parts"), F.sum("n_tokens").alias("size"), F.count("over").alias("n_overfull"))
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     """Documents that hold 13 or more consecutive words of an evaluation item."""
     found = leaks.leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "eval_item"))
@@ -73,7 +82,7 @@ def p10_links(spark: SparkSession, sf: str) -> DataFrame:
     return spans.links(read_table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p8_containers, p9_found, p9_scrubbed, p10_found, p10_coverage, p10_links)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_entities, p3_found, p8_containers, p8_parts, p9_found, p9_scrubbed, p10_found, p10_coverage, p10_links)}
 
 # Code points of Greek and Cyrillic letters drawn as Latin ones, by themselves and not from the operator's table.
 _ALIKE = (
@@ -92,17 +101,33 @@ def _not_plain(c: str) -> str:
     return f"{c} is not null and (regexp_matches({c}, '{_ODD}') or nfc_normalize({c}) <> {c})"
 
 
+#: Word windows of documents (dg) and of items (ig).
+_P9 = r"""d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents where text is not null),
+     i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from eval_item where text is not null),
+     dg as (select doc_id, k, array_to_string(w[k : k + 12], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 11)) as k from d)),
+     ig as (select item_id, array_to_string(w[k : k + 12], ' ') as g from (select item_id, w, unnest(range(1, len(w) - 11)) as k from i))"""
+
 ORACLE: dict[str, str] = {
     "p3_found": "\nunion\n".join(
         f"select '{t}' as table_name, '{c}' as field, pmid, source_file, cast({seq} as integer) as seq from {t} where " + _not_plain(c)
         for t, c, seq in (("article", "medline_date", "-1"), ("article", "article_title", "-1"), ("abstract_text", "text", "seq"))
     ),
-    "p9_found": r"""
-with d as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from documents where text is not null),
-     i as (select item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') as w from eval_item where text is not null),
-     dg as (select doc_id, array_to_string(w[k : k + 12], ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 11)) as k from d)),
-     ig as (select item_id, array_to_string(w[k : k + 12], ' ') as g from (select item_id, w, unnest(range(1, len(w) - 11)) as k from i))
-select distinct doc_id, item_id from dg join ig using (g)""",
+    "p8_parts": """
+select doc_id, cast(ceil(length(text) / 4000) as bigint) as n_parts, length(text) as size, cast(0 as bigint) as n_overfull from documents where length(text) > 0""",
+    "p9_found": f"with {_P9} select distinct doc_id, item_id from dg join ig using (g)",
+    "p9_scrubbed": rf"""with {_P9},
+hit as (select distinct doc_id, item_id, k from dg join ig using (g)),
+run as (select *, sum(case when before is null or k > before + 13 then 1 else 0 end) over (partition by doc_id, item_id order by k) as r from (select *, lag(k) over (partition by doc_id, item_id order by k) as before from hit)),
+span as (select distinct doc_id, min(k) as first_word, max(k) + 12 as last_word from run group by doc_id, item_id, r),
+word as (
+  select doc_id, i, length(w) as n, length(s) as gap from (
+    select doc_id, unnest(range(1, len(w) + 1)) as i, unnest(w) as w, unnest(s[1 : len(w)]) as s from (
+      select doc_id, regexp_extract_all(text, '[\p{{L}}\p{{N}}]+') as w, regexp_split_to_array(text, '[\p{{L}}\p{{N}}]+') as s from documents where doc_id in (select doc_id from span)))),
+place as (select doc_id, i, sum(gap + n) over (partition by doc_id order by i) as ends, n from word),
+cut as (select s.doc_id, a.ends - a.n as starts, b.ends as upto from span s join place a on s.doc_id = a.doc_id and s.first_word = a.i join place b on s.doc_id = b.doc_id and s.last_word = b.i),
+step as (select *, coalesce(max(upto) over (partition by doc_id order by starts, upto rows between unbounded preceding and 1 preceding), 0) as reach from (select distinct * from cut)),
+less as (select doc_id, sum(upto - greatest(starts, reach)) - count(*) as n from step where upto > reach group by doc_id)
+select d.doc_id, length(d.text) as n_before, cast(length(d.text) - l.n as bigint) as n_after from documents d join less l on d.doc_id = l.doc_id where l.n <> 0""",
     "p10_found": """
 with w as (select doc_id, text, unnest(range(1, length(text) - 298)) as k from documents where length(text) >= 300),
      h as (select distinct doc_id, md5(substring(text, k, 300)) as g from w),
