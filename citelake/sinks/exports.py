@@ -1,18 +1,15 @@
-"""Exports: sharded NDJSON documents, one Parquet folder per table, and the list of exported pmids."""
+"""Exports: sharded NDJSON documents, one Parquet folder per table, and the list of exported pmids.  Targets are of any file system Spark knows."""
 
 from __future__ import annotations
 
-import gzip
-import os
 import re
-import shutil
-import tempfile
-from pathlib import Path
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..files import Files
 from ..operators.documents import documents
 from ..operators.versions import latest, of_versions
 from ..progress import Heartbeat
@@ -21,49 +18,45 @@ from ..schemas import CHILDREN, TABLES
 _SHARD = re.compile(r"pubmed_metadata_\d+\.ndjson(\.gz)?")
 
 
-def _swap(staging: Path, out: Path, stale: re.Pattern, rename) -> list[Path]:
-    """Move finished files into the target, after what an earlier export left there is gone."""
-    out.mkdir(parents=True, exist_ok=True)
-    for old in out.iterdir():
-        if stale.fullmatch(old.name):
-            shutil.rmtree(old) if old.is_dir() else old.unlink()
-    done = []
-    for i, part in enumerate(sorted(p for p in staging.iterdir() if not p.name.startswith((".", "_")))):
-        done.append(Path(shutil.move(part, out / rename(i, part))))
-    return done
+def _staging(beside: str, what: str) -> str:
+    return f"{beside.rstrip('/')}/.{what}-{uuid.uuid4().hex[:12]}"
+
 
+def _parts(files: Files, folder: str) -> list[tuple[str, int]]:
+    return [(f"{folder}/{name}", size) for name, _, size in files.list(folder) if name.startswith("part-")]
 
-def write_ndjson(docs: DataFrame, out_dir: str | Path, shards: int | None = None, gzip_output: bool = True) -> list[Path]:
+
+def write_ndjson(docs: DataFrame, out_dir: str, shards: int | None = None, gzip_output: bool = True) -> list[str]:
     """Documents as ``pubmed_metadata_<i>.ndjson[.gz]``, at most ``shards`` files, unordered, UTF-8 unescaped.
 
-    Written beside the target and moved in when complete; shards of an earlier export, compressed or not, are removed.  The folder must be on
-    a file system that driver and executors share.
+    Written inside the target and moved into place when complete; shards of an earlier export, compressed or not, are removed then.  A task
+    without rows leaves no file.
     """
     if shards is not None and shards < 1:
         raise ValueError(f"shards must be at least 1: {shards}")
-    out = Path(out_dir)
-    out.parent.mkdir(parents=True, exist_ok=True)
-    staging = Path(tempfile.mkdtemp(prefix=".export-", dir=out.parent))
+    out, spark = str(out_dir).rstrip("/"), docs.sparkSession
+    files = Files(spark, out)
+    files.mkdirs(out)
+    staging = _staging(out, "export")
     try:
         parts = docs.coalesce(shards) if shards else docs
         w = parts.write.mode("overwrite").option("ignoreNullFields", "false")
-        with Heartbeat(staging):
-            (w.option("compression", "gzip") if gzip_output else w).json(str(staging / "json"))
-        for p in (staging / "json").iterdir():  # a task without rows leaves an empty file
-            if p.name.startswith("part-") and _empty(p):
-                p.unlink()
-        ending = ".ndjson.gz" if gzip_output else ".ndjson"
-        return _swap(staging / "json", out, _SHARD, lambda i, p: f"pubmed_metadata_{i}{ending}")
+        with Heartbeat(out, lambda: [n for _, n in _parts(files, staging)]):
+            (w.option("compression", "gzip") if gzip_output else w).json(staging)
+        # an empty file compressed is a header and a trailer only
+        full = [p for p, n in _parts(files, staging) if n > (64 if gzip_output else 0) or files.read(p)[20:]]
+        for name in files.names(out):
+            if _SHARD.fullmatch(name):
+                files.delete(f"{out}/{name}")
+        done = [f"{out}/pubmed_metadata_{i}.ndjson{'.gz' if gzip_output else ''}" for i in range(len(full))]
+        for source, target in zip(full, done, strict=True):
+            files.move(source, target)
+        return done
     finally:
-        shutil.rmtree(staging, ignore_errors=True)
-
-
-def _empty(p: Path) -> bool:
-    with gzip.open(p) if p.suffix == ".gz" else p.open("rb") as f:
-        return not f.read(1)
+        files.delete(staging)
 
 
-def export_json(tables: dict[str, DataFrame], out_dir: str | Path, shards: int | None = None, gzip_output: bool = True) -> list[Path]:
+def export_json(tables: dict[str, DataFrame], out_dir: str, shards: int | None = None, gzip_output: bool = True) -> list[str]:
     """The documents of all current versions."""
     snapshot = latest(tables["article"], tables["deleted_pmid"]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -73,52 +66,52 @@ def export_json(tables: dict[str, DataFrame], out_dir: str | Path, shards: int |
         snapshot.unpersist()
 
 
-def export_parquet(tables: dict[str, DataFrame], out_dir: str | Path, latest_only: bool = True) -> list[Path]:
-    """One folder ``<table>.parquet`` per table; with ``latest_only`` articles and their children are those of current versions.
+def export_parquet(tables: dict[str, DataFrame], out_dir: str, latest_only: bool = True) -> list[str]:
+    """One folder ``<table>.parquet`` per given table; with ``latest_only`` articles and their children are those of current versions.
 
     Folders of tables the schema no longer has are removed.
     """
-    out = Path(out_dir)
-    out.mkdir(parents=True, exist_ok=True)
-    for old in out.glob("*.parquet"):
-        if old.name.removesuffix(".parquet") not in TABLES:
-            shutil.rmtree(old) if old.is_dir() else old.unlink()
+    out = str(out_dir).rstrip("/")
+    files = Files(next(iter(tables.values())).sparkSession, out)
+    for name in files.names(out):
+        if name.endswith(".parquet") and name.removesuffix(".parquet") not in TABLES:
+            files.delete(f"{out}/{name}")
     snapshot = latest(tables["article"], tables["deleted_pmid"]).persist(StorageLevel.MEMORY_AND_DISK) if latest_only else None
     done = []
     try:
         for name in TABLES:
+            if name not in tables:
+                continue
             df = tables[name]
             if latest_only and name == "article":
                 df = snapshot
             elif latest_only and name in CHILDREN:
                 df = of_versions(df, snapshot)
-            at = out / f"{name}.parquet"
-            df.write.mode("overwrite").parquet(str(at))
-            done.append(at)
+            df.write.mode("overwrite").parquet(f"{out}/{name}.parquet")
+            done.append(f"{out}/{name}.parquet")
     finally:
         if snapshot is not None:
             snapshot.unpersist()
     return done
 
 
-def write_manifest(pmids: DataFrame, path: str | Path) -> None:
+def write_manifest(pmids: DataFrame, path: str) -> None:
     """The distinct pmids in ascending order, one a line, gzipped: sorted by range, written as parts and joined (gzip members add up)."""
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    staging = Path(tempfile.mkdtemp(prefix=".manifest-", dir=path.parent))
+    path, spark = str(path), pmids.sparkSession
+    files = Files(spark, path)
+    folder = path.rpartition("/")[0] or "."
+    files.mkdirs(folder)
+    staging = _staging(folder, "manifest")
     try:
         rows = pmids.select(F.col("pmid").cast("bigint").alias("pmid")).distinct().orderBy("pmid")
-        rows.select(F.col("pmid").cast("string")).write.mode("overwrite").option("compression", "gzip").text(str(staging / "parts"))
-        with open(staging / "all", "wb") as f:
-            for p in sorted((staging / "parts").glob("part-*")):
-                with p.open("rb") as part:
-                    shutil.copyfileobj(part, f)
-        os.replace(staging / "all", path)
+        rows.select(F.col("pmid").cast("string")).write.mode("overwrite").option("compression", "gzip").text(staging)
+        files.concat([p for p, _ in _parts(files, staging)], f"{staging}/all")
+        files.move(f"{staging}/all", path)
     finally:
-        shutil.rmtree(staging, ignore_errors=True)
+        files.delete(staging)
 
 
-def read_manifest(spark, path: str | Path) -> DataFrame:
+def read_manifest(spark, path: str) -> DataFrame:
     """(pmid) of a manifest, gzipped or plain; blank lines are skipped."""
     lines = spark.read.text(str(path)).where(F.trim("value") != "")
     return lines.select(F.trim("value").cast("bigint").alias("pmid")).distinct()

@@ -1,6 +1,5 @@
 """Validation of a finished export: structure, coverage, field accuracy, deletions and drift."""
 
-from .report import Report
 from .run import run_validation
 
-__all__ = ["Report", "run_validation"]
+__all__ = ["run_validation"]

@@ -6,8 +6,8 @@ import json
 import pytest
 from citelake.operators.documents import FIELDS
 from citelake.sinks import exports
-from citelake.validate import Report, run_validation
-from citelake.validate.fields import compare, grouped
+from citelake.validate import checks, report, run_validation
+from citelake.validate.fields import compare, groups
 from citelake.validate.report import format_summary
 
 
@@ -100,8 +100,10 @@ def test_field_findings_and_outage(spark, tmp_path):
     r = run_validation(spark, tmp_path / "e", fetch=lambda ps: {p: live[p] for p in ps if p in live}, total=lambda: 3)
     f, got = r["checks"]["field_validation"], status(r)
     assert (f["sampled"], f["checked"], f["core_comparisons"], f["core_mismatches"]) == (3, 2, 14, 3) and f["missing_from_api"] == [3]
-    assert f["mismatches_by_field"] == [("abstract", 1), ("issue", 1), ("volume", 1)]
-    assert {k["kind"]: k["count"] for k in f["mismatches_by_kind"]} == {"low_similarity": 1, "exported_blank": 1, "other_blank": 0, "values_differ": 1}
+    assert list(f["mismatches_by_field"].items()) == [("abstract", 1), ("issue", 1), ("volume", 1)]
+    assert f["mismatches_by_kind"] == {"low_similarity": 1, "exported_blank": 1, "entrez_blank": 0, "values_differ": 1}
+    detail = next(c["detail"] for c in r["checks_run"] if c["name"] == "core-fields")
+    assert detail["examples"]["values_differ"] == {"pmid": 1, "field": "volume", "exported": "5", "entrez": "6"} and "volume: 1" in format_summary(r)
     assert got["sample-fetched"] == ("fail", "sampled_pmid_absent", 1) and got["core-fields"][:2] == ("fail", "field_mismatch_rate") and got["abstract"] == ("warn", None, 0)
     assert got["journal-soft"] == ("warn", "journal_mismatches", 1) and got["identifiers-soft"][0] == "pass"
 
@@ -117,18 +119,27 @@ def test_sample_is_the_same_for_any_partitioning(spark, tmp_path):
 
     put(tmp_path / "e", [doc(p) for p in range(100)])
     put(tmp_path / "e", [doc(p) for p in range(100, 130)], "b.ndjson")
-    facts = lines(spark, find_shards(tmp_path / "e"))
+    facts = lines(spark, find_shards(spark, tmp_path / "e"))
     pick = lambda df: sorted(r["pmid"] for r in sample_lines(df, 7, 3).collect())
     assert len(pick(facts)) == 14 and pick(facts) == pick(facts.repartition(9))
 
 
-def test_report_lists_are_projections():
-    r = Report()
-    r.record("a", "s", "e", "fail", code="x", message="m", count=2)
-    r.record("b", "s", "e", "warn")
-    r.record("c", "s", "e", "skip", "why")
-    assert r.status == "fail" and [e["code"] for e in r.errors] == ["x"] and r.warnings == [] and r.skipped_checks == ["s.c (why)"]
-    assert grouped([])["by_field"] == [] and len(grouped([])["by_kind"]) == 4
+def test_report_follows_from_the_outcomes():
+    def outcome(name, status, code=None, count=0):
+        return checks.Outcome(name, "s", "e", status, "why", code, count, None, {})
+
+    r = report.as_dict([outcome("a", "fail", "no_shards", 2), outcome("b", "warn"), outcome("c", "skip")], {})
+    assert r["status"] == "fail" and [(e["code"], e["count"]) for e in r["errors"]] == [("no_shards", 2)] and r["warnings"] == [] and r["skipped_checks"] == ["s.c (why)"]
+    assert report.overall([outcome("b", "warn")]) == "pass" and report.overall([outcome("b", "warn", "extra_fields")]) == "warn"
+    assert groups([]) == {"by_field": {}, "by_kind": dict.fromkeys(("low_similarity", "exported_blank", "entrez_blank", "values_differ"), 0), "examples": {}}
+    codes = {c.code for x in checks.CHECKS for c in x.cases if c.code}
+    assert codes == set(checks.MEANING) and len(checks.CHECKS) == 21 and all(x.cases for x in checks.CHECKS)
+
+
+def test_many_names_are_all_counted(spark, tmp_path):
+    put(tmp_path / "e", [doc(i, identifiers=[f"PMID:{i}", f"p{i}:x", "none"], **{f"more{i}": "y"}) for i in range(40)])
+    s = run_validation(spark, tmp_path / "e")["checks"]["structure"]
+    assert len(s["extra_fields"]) == 40 and len(s["identifier_prefixes"]) == 41 and s["identifier_prefixes"]["PMID"] == {"records": 40, "pct": 100.0}
 
 
 def test_compare_empty_sides(spark):
