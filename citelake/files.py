@@ -11,7 +11,11 @@ class Files:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self._jvm = spark.sparkContext._jvm
-        self._fs = self._at(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._at(root).getFileSystem(conf)
+        if self._fs.getUri().getScheme() == "file":  # without checksum files beside exports
+            self._fs = self._jvm.org.apache.hadoop.fs.RawLocalFileSystem()
+            self._fs.initialize(self._jvm.java.net.URI("file:///"), conf)
 
     def _at(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(str(path))
@@ -20,10 +24,11 @@ class Files:
         return self._fs.exists(self._at(path))
 
     def list(self, path: str) -> list[tuple[str, bool, int]]:
-        """(name, whether a folder, bytes) of what stands in a folder, by name; nothing for a folder that doesn't exist."""
+        """(name, whether a folder, bytes) of what stands in a folder, by name, without hidden names; nothing for a folder that doesn't exist."""
         if not self.exists(path):
             return []
-        return sorted((s.getPath().getName(), s.isDirectory(), s.getLen()) for s in self._fs.listStatus(self._at(path)))
+        every = [(s.getPath().getName(), s.isDirectory(), s.getLen()) for s in self._fs.listStatus(self._at(path))]
+        return sorted(x for x in every if not x[0].startswith("."))
 
     def names(self, path: str) -> list[str]:
         return [n for n, _, _ in self.list(path)]

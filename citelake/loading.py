@@ -4,23 +4,24 @@ from __future__ import annotations
 
 import logging
 import time
-import uuid
 
 from pyspark.sql import functions as F
 
 from .functions.ids import parse_file_name
-from .progress import duration
+from .progress import remaining
 from .sources import journals, xml
 from .store import Store, merge_load, pending_files
 
 log = logging.getLogger(__name__)
+#: Files committed together, or as many as the session has cores if these are more.
+GROUP = 64
 
 
-def load_files(store: Store, files: list[tuple[str, str]], force: bool = False, keep_staging: bool = False) -> tuple[int, list[str]]:
+def load_files(store: Store, files: list[tuple[str, str]], force: bool = False, keep_staging: bool = False, group: int = GROUP) -> tuple[int, list[str]]:
     """Load (path, kind) files that are due; (number loaded, names that failed).
 
-    One scan parses whole files in parallel and stages nested records; a file that can't be read to its end is left out
-    and stays due.  All rows are written before the registry commits the files.
+    Files are taken in groups, each committed as it is done, so a run that dies loses one group at most.  One scan parses the files of a group in
+    parallel and stages nested records; a file that can't be read to its end is left out and stays due.
     """
     todo = []
     for path, kind in files:
@@ -30,38 +31,44 @@ def load_files(store: Store, files: list[tuple[str, str]], force: bool = False,
         except ValueError:
             log.warning("ignoring %s: not a release file name", path)
     todo = pending_files(store, todo, force)
-    if not todo:
-        return 0, []
-    spark, load_id, began = store.spark, uuid.uuid4().hex, time.monotonic()
+    began, loaded, failed = time.monotonic(), 0, []
+    size = max(group, store.spark.sparkContext.defaultParallelism)
+    for at in range(0, len(todo), size):
+        n, bad = _load_group(store, todo[at : at + size], keep_staging)
+        loaded, failed = loaded + n, failed + bad
+        done = at + len(todo[at : at + size])
+        log.info("loaded %d of %d file(s), %s left", done, len(todo), remaining(time.monotonic() - began, done, len(todo) - done))
+    return loaded, sorted(failed)
+
+
+def _load_group(store: Store, todo: list[tuple[str, str]], keep_staging: bool) -> tuple[int, list[str]]:
+    spark, load_id = store.spark, store.begin()
     stage = f"{store.root}/_staging/{load_id}"
     content = spark.read.format("binaryFile").load([p for p, _ in todo])
     xml.scan(content).write.parquet(stage)  # whole files, packed by size; their bytes aren't shuffled
     scanned = spark.read.parquet(stage)
     per = {r["source_file"]: r for r in xml.counts(scanned).collect()}
     names = {p.rsplit("/", 1)[-1]: k for p, k in todo}
-    failed = sorted(n for n in names if n in per and per[n]["broken"])
+    failed = [n for n in names if n in per and per[n]["broken"]]
     for n in failed:
         log.error("can't load %s: %s", n, per[n]["broken"])
-    good = [n for n in names if n not in failed]
-    usable = scanned.where(F.col("source_file").isin(good)) if failed else scanned
-    for table, df in xml.tables(usable).items():
-        store.append(table, df, load_id)
-    rows = []
-    for n in good:
-        year, number, key = parse_file_name(n)
-        c = per.get(n)
-        rows.append((n, names[n], year, number, key, *((c[x] if c else 0) for x in ("n_articles", "n_deletions", "n_failed", "n_book_records"))))
-    if rows:
+    usable = scanned.where(~F.col("source_file").isin(failed)) if failed else scanned
+    good = [n for n in names if n not in set(failed)]
+    if good:
+        for table, df in xml.tables(usable).items():
+            store.append(table, df, load_id)
+        count = lambda n, x: per[n][x] if n in per else 0
+        rows = [(n, names[n], *parse_file_name(n), *(count(n, x) for x in ("n_articles", "n_deletions", "n_failed", "n_book_records"))) for n in good]
         new = spark.createDataFrame(
             rows, "file_name string, kind string, year_yy int, file_number int, file_order_key bigint, n_articles int, n_deletions int, n_failed int, n_book_records int"
         ).withColumns({
             "published_md5": F.lit(None).cast("string"), "downloaded_at": F.current_timestamp(), "processed_at": F.current_timestamp(), "load_id": F.lit(load_id),
         })
-        store.put_registry(merge_load(store.registry(), new))
-    log.info("loaded %d of %d file(s) in %s", len(rows), len(todo), duration(time.monotonic() - began))
+        store.merge_registry(lambda registry: merge_load(registry, new))
+    store.end(load_id)
     if not keep_staging:
-        store._fs.delete(store._path(stage), True)
-    return len(rows), failed
+        store.files.delete(stage)
+    return len(good), failed
 
 
 def load_journals(store: Store, path: str) -> int:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, ids
 from ..functions.text import or_empty
+from ..session import cut
 from .versions import VERSION, latest, of_versions
 
 
@@ -59,11 +60,11 @@ def documents(
 ) -> DataFrame:
     """One document per current version, unordered.
 
-    ``snapshot`` may be a persisted result of ``latest``.  Child rows are reduced to the snapshot's versions before they are aggregated, so
+    ``snapshot`` may be a persisted result of ``latest``; without one it is taken once and written to the checkpoint folder.  Child rows are reduced to the snapshot's versions before they are aggregated, so
     a pmid has one row in each part and all shuffles are by pmid: one of the articles, one of each child table.  The journal dimension is
     joined as Spark finds best for its size.
     """
-    current = latest(article, deleted) if snapshot is None else snapshot
+    current = cut(latest(article, deleted)) if snapshot is None else snapshot
     j = journal.select("nlm_catalog_id", F.col("title").alias("journal_title"), "abbreviation_iso", "abbreviation_medline")
     out = current.join(abstracts(of_versions(abstract_text, current)).drop("source_file"), "pmid", "left")
     if article_id is None:

@@ -1,7 +1,7 @@
 """A query per operator of the engine over the test tables, with its SQL.
 
 The tables hold no identifiers of other kinds and no headings, so those operators run on the nearest columns: journal and
-description identifiers stand for identifier types.
+description identifiers stand for identifier types.  The SQL takes other ways than the operators where there are any.
 """
 
 from __future__ import annotations
@@ -9,9 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import status, store
 from ..functions import dates, ids, text
 from ..operators import documents, versions
-from ..session import read_table
+from ..session import read_table, scratch
+from ..sinks import exports
+from ..validate import checks, fields, structure
+from ..validate import run as validation
 
 QUERIES, ORACLE = {}, {}
 
@@ -30,39 +34,52 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_table(spark, sf, name)
 
 
-# ---- fixed SQL fragments, the same white space class as functions.text
+# ---- SQL fragments
 
+#: White space as a set of characters for trim, and as a class for patterns.
+_SPACES = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ' || " + " || ".join(f"chr({c})" for c in (0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 _WS = r"[\s\p{Z}\x0B]"
-_LATEST = """
-ranked as (select *, row_number() over (partition by pmid order by file_order_key desc, source_file desc, loaded_at desc) as rn from article),
-gone as (select pmid, max(file_order_key) as del_order from deleted_pmid group by pmid),
-la as (select r.* exclude (rn) from ranked r left join gone g on r.pmid = g.pmid where r.rn = 1 and (g.del_order is null or g.del_order < r.file_order_key))
-"""
 
 
 def _strip(x: str) -> str:
-    return f"regexp_replace({x}, '^{_WS}+|{_WS}+$', '', 'g')"
+    return f"trim({x}, {_SPACES})"
 
 
-_MONTHS = "[" + ", ".join(f"'{m}'" for m in dates.MONTHS) + "]"
+def _collapse(x: str) -> str:
+    return _strip(f"regexp_replace({x}, '{_WS}+', ' ', 'g')")
+
+
+#: Current versions: the row of the highest place in the order, unless a tombstone stands at or after it.
+_LATEST = """
+top as (select unnest(arg_max(a, (file_order_key, source_file, loaded_at))) from article a group by pmid),
+la as (from top where not exists (from deleted_pmid d where d.pmid = top.pmid and d.file_order_key >= top.file_order_key))
+"""
 
 
 def _month(x: str) -> str:
-    s = _strip(f"coalesce({x}, '')")
-    key = f"(upper(substr({s}, 1, 1)) || lower(substr({s}, 2, 2)))"
+    """A month by the calendar: its number as a date of 2000, or its first three letters read as a date."""
+    s = _strip(x)
     return (
-        f"case when {s} = '' then '' when regexp_full_match({s}, '[0-9]+') then coalesce(list_extract({_MONTHS}, try_cast({s} as bigint)), '') "
-        f"when list_contains({_MONTHS}, {key}) and regexp_full_match({s}, '\\p{{L}}+') then {key} else {s} end"
+        f"coalesce(case when regexp_full_match({s}, '[0-9]+') then coalesce(strftime(make_date(2000, nullif(greatest(least(try_cast({s} as hugeint), 13), 0) % 13, 0)::int, 1), '%b'), '') "
+        f"when regexp_full_match({s}, '\\p{{L}}{{3,}}') then coalesce(strftime(try_strptime(left({s}, 3), '%b'), '%b'), {s}) else {s} end, '')"
     )
 
 
-_FREE_MONTH = f"regexp_extract(coalesce(medline_date, ''), '^{_WS}*[0-9]{{4}}{_WS}+(.*)', 1)"
-_YEAR = f"coalesce(nullif(pub_year, ''), regexp_extract(coalesce(medline_date, ''), '^{_WS}*([0-9]{{4}})', 1))"
-_MONTH = f"coalesce(nullif({_month('pub_month')}, ''), {_month(_FREE_MONTH)})"
-_DAY = f"case when regexp_full_match({_strip('pub_day')}, '[0-9]+') then cast(try_cast({_strip('pub_day')} as bigint) as varchar) else {_strip('coalesce(pub_day, chr(32))')} end"
-_DATE = (
-    f"case when {_strip('coalesce(medline_date, chr(32))')} <> '' then {_strip('medline_date')} else {_strip('''concat_ws(' ', nullif(''' + _strip('pub_year') + ''', ''), nullif(''' + _month('pub_month') + ''', ''), case when ''' + _month('pub_month') + ''' <> '' then nullif(''' + _DAY + ''', '') end)''')} end"
-)
+#: The steps of a publication date, one table after the other: free text, its year and what follows, the month of both, the day, the rendered date.
+_DATES = f"""
+d1 as (select *, coalesce({_strip("medline_date")}, '') as free, ltrim(coalesce(medline_date, ''), {_SPACES}) as f from {{source}}),
+d2 as (select *, case when regexp_full_match(left(f, 4), '[0-9]{{4}}') then left(f, 4) else '' end as free_year from d1),
+d3 as (select *, case when free_year <> '' and ltrim(f[5:], {_SPACES}) <> f[5:] then split_part(ltrim(f[5:], {_SPACES}), chr(10), 1) else '' end as after_year from d2),
+d4 as (select *, case when pub_year <> '' then pub_year else free_year end as year, {_month("pub_month")} as own_month, {_month("after_year")} as free_month, coalesce({_strip("pub_day")}, '') as day from d3),
+dated as (
+  select *, case when own_month <> '' then own_month else free_month end as month,
+    case when free <> '' then free else array_to_string(list_filter([coalesce({_strip("pub_year")}, ''), own_month, case when own_month = '' then '' when regexp_full_match(day, '[0-9]+') then coalesce(nullif(ltrim(day, '0'), ''), '0') else day end], lambda x: x <> ''), ' ') end as pub_date
+  from d4)
+"""
+
+
+def _dated(source: str) -> str:
+    return _DATES.replace("{source}", source)
 
 
 # ---- versions
@@ -126,11 +143,18 @@ def q04_identifiers(spark, sf):
 # ---- anti and semi joins
 
 
-@query(f"with {_LATEST} select distinct pmid from deleted_pmid d where not exists (select 1 from la where la.pmid = d.pmid)")
-def q06_deleted_not_current(spark, sf):
-    """Deleted pmids without a current version."""
+@query(f"with {_LATEST} select distinct pmid from deleted_pmid except select pmid from la")
+def q06_standing_deletions(spark, sf):
+    """Deleted pmids without a current version, the pool of the deletion checks."""
+    la = versions.latest(_t(spark, sf, "article"), _t(spark, sf, "deleted_pmid"))
+    return validation.standing_deletions(_t(spark, sf, "deleted_pmid"), la)
+
+
+@query(f"with {_LATEST}, p as (select distinct pmid from deleted_pmid except select pmid from la) select pmid from p order by md5('7:' || pmid), pmid limit 10")
+def q06_deletion_sample(spark, sf):
+    """Ten of them by seed, as the check of deletions takes."""
     la = versions.latest(_t(spark, sf, "article"), _t(spark, sf, "deleted_pmid"))
-    return _t(spark, sf, "deleted_pmid").select("pmid").distinct().join(la, "pmid", "left_anti")
+    return validation.deletion_sample(_t(spark, sf, "deleted_pmid"), la, 10, 7)
 
 
 @query(f"""with {_LATEST}
@@ -183,37 +207,24 @@ _NEEDS = "downloaded_at is not null and (processed_at is null or downloaded_at >
 
 
 @query(f"""
-select kind, count(*) as n_files, count(*) filter (where processed_at is not null) as n_loaded, count(*) filter (where {_NEEDS}) as n_pending,
-       max(downloaded_at) as last_download, max(processed_at) as last_load, cast(coalesce(sum(n_failed), 0) + coalesce(sum(n_book_records), 0) as bigint) as n_skipped
-from source_file group by kind""")
+select count(*) as known_files, count(downloaded_at) as downloaded_files, count(downloaded_at) filter (where kind = 'baseline') as baseline_files,
+  count(downloaded_at) filter (where kind = 'update') as update_files, max(downloaded_at) as last_download, count(processed_at) as loaded_files, count(*) filter (where {_NEEDS}) as pending_files,
+  max(processed_at) as last_load, cast(coalesce(sum(n_failed), 0) + coalesce(sum(n_book_records), 0) as bigint) as skipped_records from source_file""")
 def q10_registry_summary(spark, sf):
-    """Filtered counts, latest times and null-safe sums of the registry."""
-    pending = F.col("downloaded_at").isNotNull() & (F.col("processed_at").isNull() | (F.col("downloaded_at") > F.col("processed_at")))
-    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    return _t(spark, sf, "source_file").groupBy("kind").agg(
-        F.count("*").alias("n_files"), F.count("processed_at").alias("n_loaded"), F.count_if(pending).alias("n_pending"),
-        F.max("downloaded_at").alias("last_download"), F.max("processed_at").alias("last_load"),
-        (total("n_failed") + total("n_book_records")).alias("n_skipped"),
-    )
+    """Filtered counts, latest times and null-safe sums of the registry, as the status shows them."""
+    return status.registry_summary(_t(spark, sf, "source_file")).drop("baseline_years")
 
 
-@query("select array_to_string(list_sort(list(distinct year_yy) filter (where kind = 'baseline')), '|') as years from source_file")
+@query("select array_to_string(list_sort(list(distinct year_yy) filter (where kind = 'baseline' and downloaded_at is not null)), '|') as years from source_file")
 def q11_baseline_years(spark, sf):
     """Sorted distinct years under a filter."""
-    years = F.array_sort(F.collect_set(F.when(F.col("kind") == "baseline", F.col("year_yy"))))
-    return _t(spark, sf, "source_file").agg(F.array_join(years.cast("array<string>"), "|").alias("years"))
+    return status.registry_summary(_t(spark, sf, "source_file")).select(F.array_join(F.col("baseline_years").cast("array<string>"), "|").alias("years"))
 
 
-@query("""select (select count(*) from article) as n_article, (select count(*) from deleted_pmid) as n_deleted, (select count(*) from journal) as n_journal""")
+@query(f"with {_LATEST} select 'article_versions' as name, count(*) as n from article union all select 'latest_documents', count(*) from la union all select 'journals', count(*) from journal")
 def q12_table_counts(spark, sf):
-    """Counts of three tables in one row."""
-    sub = [F.lit(n).alias("t") for n in ("article", "deleted_pmid", "journal")]
-    rows = None
-    for lit, name in zip(sub, ("article", "deleted_pmid", "journal"), strict=True):
-        part = _t(spark, sf, name).agg(F.count("*").alias("n")).select(lit, "n")
-        rows = part if rows is None else rows.unionByName(part)
-    one = lambda t: F.max(F.when(F.col("t") == t, F.col("n")))
-    return rows.agg(one("article").alias("n_article"), one("deleted_pmid").alias("n_deleted"), one("journal").alias("n_journal"))
+    """Versions, current versions and journals, as the status shows them."""
+    return status.table_counts(_t(spark, sf, "article"), _t(spark, sf, "deleted_pmid"), _t(spark, sf, "journal"))
 
 
 @query("select distinct lang, source from documents")
@@ -224,20 +235,32 @@ def q13_distinct(spark, sf):
 @query(f"select file_name from source_file where {_NEEDS}")
 def q21_needs_load(spark, sf):
     """Files downloaded after they were last processed."""
-    c = F.col
-    return _t(spark, sf, "source_file").where(c("downloaded_at").isNotNull() & (c("processed_at").isNull() | (c("downloaded_at") > c("processed_at")))).select("file_name")
+    return _t(spark, sf, "source_file").where(store.needs_load()).select("file_name")
 
 
 @query(f"""
-select f.file_name, coalesce(s.needs, true) as pending from (select distinct file_name from load_log union select 'pubmed99n0001.xml.gz') f
-left join (select file_name, ({_NEEDS}) as needs from source_file) s on f.file_name = s.file_name""")
+select file_name from (select distinct file_name from load_log union select 'pubmed99n0001.xml.gz')
+where file_name not in (select file_name from source_file where file_name is not null) or file_name in (select file_name from source_file where {_NEEDS})""")
 def q22_pending_files(spark, sf):
-    """Listed files against the registry; an unregistered file is pending."""
-    c = F.col
-    needs = c("downloaded_at").isNotNull() & (c("processed_at").isNull() | (c("downloaded_at") > c("processed_at")))
+    """Listed files that are due by the registry; an unregistered file is."""
     listed = _t(spark, sf, "load_log").select("file_name").union(spark.createDataFrame([("pubmed99n0001.xml.gz",)], "file_name string")).distinct()
-    reg = _t(spark, sf, "source_file").select("file_name", needs.alias("needs"))
-    return listed.join(reg, "file_name", "left").select("file_name", F.coalesce("needs", F.lit(True)).alias("pending"))
+    return store.due(listed, _t(spark, sf, "source_file"))
+
+
+@query("""
+select coalesce(s.file_name, l.file_name) as file_name, kind, coalesce(l.md5, published_md5) as published_md5, coalesce(s.file_order_key, 99000000 + l.number) as file_order_key,
+  case when l.file_name is null or (s.file_name is not null and not l.changed) then downloaded_at else timestamp '2026-01-01' end as downloaded_at, processed_at
+from source_file s full join (
+  select file_name, md5(file_name) as md5, attempt % 2 = 0 as changed, 0 as number from (select file_name, max(attempt_id) as attempt from load_log group by file_name) union all select 'pubmed99n0001.xml.gz', md5('pubmed99n0001.xml.gz'), false, 1) l
+on s.file_name = l.file_name""")
+def q22_registry_after_download(spark, sf):
+    """The registry after a download of what the log lists and one new file: checksums are taken over, times of changed files only."""
+    log = _t(spark, sf, "load_log").groupBy("file_name").agg((F.max("attempt_id") % 2 == 0).alias("changed"))
+    fresh = log.union(spark.createDataFrame([("pubmed99n0001.xml.gz", False)], "file_name string, changed boolean"))
+    registry = _t(spark, sf, "source_file")
+    at = F.lit("2026-01-01").cast(dict(registry.dtypes)["downloaded_at"])
+    new = fresh.select("file_name", F.lit(None).cast("string").alias("kind"), F.md5("file_name").alias("published_md5"), "changed", at.alias("at"))
+    return store.merge_download(registry, new).select("file_name", "kind", "published_md5", "file_order_key", "downloaded_at", "processed_at")
 
 
 # ---- keep last, keep first
@@ -266,20 +289,20 @@ def q16_month(spark, sf):
     return _t(spark, sf, "article").groupBy(F.col("pub_month").alias("raw"), dates.month(F.col("pub_month")).alias("month")).agg(F.count("*").alias("n"))
 
 
-@query(f"select pmid, source_file, {_YEAR} as year, {_MONTH} as month from article group by all")
+@query(f"with {_dated('article')} select distinct pmid, source_file, year, month from dated")
 def q17_year_and_month(spark, sf):
     """Year and month with the free-text date as fallback."""
     y, m = dates.pub_year(F.col("pub_year"), F.col("medline_date")), dates.pub_month(F.col("pub_month"), F.col("medline_date"))
     return _t(spark, sf, "article").select("pmid", "source_file", y.alias("year"), m.alias("month")).distinct()
 
 
-@query(f"select pub_year, pub_month, pub_day, medline_date, {_DATE} as pub_date, count(*) as n from article group by all")
+@query(f"with {_dated('article')} select pub_year, pub_month, pub_day, medline_date, pub_date, count(*) as n from dated group by all")
 def q18_pub_date(spark, sf):
     parts = [F.col(c) for c in ("pub_year", "pub_month", "pub_day", "medline_date")]
     return _t(spark, sf, "article").groupBy(*parts, dates.pub_date(*parts).alias("pub_date")).agg(F.count("*").alias("n"))
 
 
-@query(f"select doc_id, length({_strip('text')}) as n_stripped, length({_strip('regexp_replace(text, ' + chr(39) + _WS + '+' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')}) as n_collapsed from documents")
+@query(f"select doc_id, length({_strip('text')}) as n_stripped, length({_collapse('text')}) as n_collapsed from documents")
 def q19_whitespace(spark, sf):
     """Strip and collapse white space."""
     size = lambda c: F.length(c).cast("bigint")
@@ -298,23 +321,21 @@ def q20_order_key(spark, sf):
 _MIRRORED = "select distinct pmid from article_mirror"
 
 
-@query(f"""with {_LATEST}
-select pmid, 'dropped' as side from ({_MIRRORED} except select pmid from la) union all select pmid, 'added' from (select pmid from la except {_MIRRORED})""")
+@query(f"""with {_LATEST}, gone as ({_MIRRORED} except select pmid from la)
+select pmid, 'added' as change from (select pmid from la except {_MIRRORED})
+union all select pmid, case when pmid in (select pmid from deleted_pmid) then 'explained' else 'unexplained' end from gone""")
 def q23_set_drift(spark, sf):
-    """Pmids of one set but not of the other, both ways."""
-    now = versions.latest(_t(spark, sf, "article"), _t(spark, sf, "deleted_pmid")).select("pmid")
-    then = _t(spark, sf, "article_mirror").select("pmid").distinct()
-    side = lambda df, name: df.select("pmid", F.lit(name).alias("side"))
-    return side(then.join(now, "pmid", "left_anti"), "dropped").unionByName(side(now.join(then, "pmid", "left_anti"), "added"))
+    """Pmids of one set but not of the other, both ways; a dropped one is explained by a deletion that stands."""
+    deleted = _t(spark, sf, "deleted_pmid")
+    now = versions.latest(_t(spark, sf, "article"), deleted).select("pmid")
+    return validation.set_changes(now, _t(spark, sf, "article_mirror").select("pmid").distinct(), deleted, now)
 
 
-@query(f"""with {_LATEST}, dropped as ({_MIRRORED} except select pmid from la)
-select pmid, pmid in (select pmid from deleted_pmid) as explained from dropped""")
-def q24_explained_drops(spark, sf):
-    """Dropped pmids with a tombstone, and the rest."""
-    dropped = q23_set_drift(spark, sf).where("side = 'dropped'").select("pmid")
-    gone = _t(spark, sf, "deleted_pmid").select("pmid").distinct().withColumn("explained", F.lit(True))
-    return dropped.join(gone, "pmid", "left").select("pmid", F.coalesce("explained", F.lit(False)).alias("explained"))
+@query(f"with {_LATEST} select pmid, 'added' as change from (select pmid from la except {_MIRRORED}) union all select pmid, 'unexplained' from ({_MIRRORED} except select pmid from la)")
+def q24_drift_without_database(spark, sf):
+    """The same where no database can tell of deletions."""
+    now = versions.latest(_t(spark, sf, "article"), _t(spark, sf, "deleted_pmid")).select("pmid")
+    return validation.set_changes(now, _t(spark, sf, "article_mirror").select("pmid").distinct())
 
 
 @query("""
@@ -342,24 +363,44 @@ def q25_except_all(spark, sf):
 # ---- JSON and structure
 
 
-@query("select count(*) as n, count(*) filter (where json_exists(props, '$.k')) as n_with_k, cast(sum(cast(json_extract_string(props, '$.k') as bigint)) as bigint) as sum_k from events")
-def q26_json_fields(spark, sf):
-    """Presence and value of a JSON field."""
-    k = F.get_json_object("props", "$.k")
-    return _t(spark, sf, "events").agg(F.count("*").alias("n"), F.count_if(F.array_contains(F.json_object_keys("props"), "k")).alias("n_with_k"), F.sum(k.cast("bigint")).alias("sum_k"))
+def _exported(spark, sf, docs: DataFrame) -> list[str]:
+    """Shards of documents written by the export's own sink."""
+    at = scratch(spark)
+    exports.write_ndjson(docs, at, gzip_output=False)
+    return structure.find_shards(spark, at)
+
+
+def _documents(spark, sf) -> DataFrame:
+    t = lambda n: _t(spark, sf, n)
+    return documents.documents(t("article"), t("deleted_pmid"), t("journal"), t("abstract_text"), _ids(spark, sf))
+
 
+def _versions_as_documents(spark, sf) -> DataFrame:
+    """A document per row of article, with what lies in it: volume is absent where null, and issue null."""
+    a = _t(spark, sf, "article")
+    cols = {f: F.lit("") for f in documents.FIELDS} | {"id": ids.curie("PMID", F.col("pmid")), "identifiers": F.array(ids.curie("PMID", F.col("pmid")), ids.curie("ISSN", text.or_empty(F.col("issn_linking"))))}
+    months = dates.pub_month(F.col("pub_month"), F.col("medline_date"))
+    return a.select(*[c.alias(f) for f, c in (cols | {"pub_month": months, "issue": F.col("issue"), "article_title": text.or_empty(F.col("article_title"))}).items()], F.lit("x").alias("extra"))
 
-@query("select md5(text) as digest, count(*) as n, min(doc_id) as first_doc from documents group by 1 having count(*) > 1")
+
+@query("""select 'prefix' as sort, 'PMID' as name, count(*) as n from article union all select 'prefix', 'ISSN', count(*) from article union all select 'extra', 'extra', count(*) from article""")
+def q26_names_in_lines(spark, sf):
+    """Records per missing field, extra field and prefix of identifiers of exported lines."""
+    return structure.named(structure.lines(spark, _exported(spark, sf, _versions_as_documents(spark, sf))))
+
+
+@query("select pmid, count(*) as n from article group by pmid having count(*) > 1")
 def q27_duplicates(spark, sf):
-    """Texts that occur more than once."""
-    by = _t(spark, sf, "documents").groupBy(F.md5("text").alias("digest")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
-    return by.where("n > 1")
+    """Pmids on several lines."""
+    return structure.duplicates(structure.lines(spark, _exported(spark, sf, _versions_as_documents(spark, sf))))
 
 
-@query(f"""
-select source_file, count(*) as n, count(*) filter (where not regexp_full_match('PMID:' || pmid, 'PMID:[0-9]+')) as bad_ids,
-  count(*) filter (where not regexp_full_match({_MONTH}, '(({'|'.join(dates.MONTHS + dates.SEASONS)})(-({'|'.join(dates.MONTHS + dates.SEASONS)}))?)?')) as bad_months
-from article group by source_file""")
+_ONE = "|".join(dates.MONTHS + dates.SEASONS)
+
+
+@query(f"""with {_dated('article')}
+select source_file, count(*) as n, count(*) filter (where pmid is null or pmid < 0) as bad_ids, count(*) filter (where month <> '' and not regexp_full_match(month, '({_ONE})(-({_ONE}))?')) as bad_months
+from dated group by source_file""")
 def q28_shape_checks(spark, sf):
     """Per file: identifiers and months outside their closed form."""
     m = dates.pub_month(F.col("pub_month"), F.col("medline_date"))
@@ -368,50 +409,38 @@ def q28_shape_checks(spark, sf):
     )
 
 
-_KIND = "case when coalesce(a.{f}, '') = '' then 'exported_blank' when coalesce(m.{f}, '') = '' then 'other_blank' else 'values_differ' end"
+_COMPARED = ("article_title", "volume", "issue", "pub_year")
 
 
 @query(
-    "with x as ("
+    f"with {_LATEST}, e as (select * from la), o as (select pmid, source_file, {', '.join(f'min({f}) as {f}' for f in _COMPARED)} from article_mirror group by all), x as ("
     + " union all ".join(
-        f"select '{f}' as field, {_KIND.format(f=f)} as kind, coalesce(a.{f}, '') <> coalesce(m.{f}, '') as differs from (select distinct pmid, source_file, {f} from article) a "
-        f"join (select distinct pmid, source_file, {f} from article_mirror) m on a.pmid = m.pmid and a.source_file = m.source_file"
-        for f in ("article_title", "volume", "issue", "pub_year")
+        f"select '{f}' as field, coalesce({_collapse('e.' + f)}, '') as a, coalesce({_collapse('o.' + f)}, '') as b from e join o on e.pmid = o.pmid and e.source_file = o.source_file" for f in _COMPARED
     )
-    + ") select field, kind, count(*) as n from x where differs group by field, kind"
+    + ") select field, case when a = '' then 'exported_blank' when b = '' then 'entrez_blank' else 'values_differ' end as kind, count(*) as n from x where a <> b group by all"
 )
 def q29_mismatch_kinds(spark, sf):
-    """Field differences between two copies by kind."""
-    key, fields = list(versions.VERSION), ["article_title", "volume", "issue", "pub_year"]
-    out = None
-    for f in fields:
-        a = _t(spark, sf, "article").select(*key, f).distinct()
-        m = _t(spark, sf, "article_mirror").select(*key, F.col(f).alias("other")).distinct()
-        x, y = text.or_empty(F.col(f)), text.or_empty(F.col("other"))
-        kind = F.when(x == "", "exported_blank").when(y == "", "other_blank").otherwise("values_differ")
-        part = a.join(m, key).where(x != y).select(F.lit(f).alias("field"), kind.alias("kind"))
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy("field", "kind").agg(F.count("*").alias("n"))
+    """Differences of current versions from the other copy by field and kind, as the field check counts them."""
+    la = versions.latest(_t(spark, sf, "article"), _t(spark, sf, "deleted_pmid"))
+    other = _t(spark, sf, "article_mirror").groupBy(*versions.VERSION).agg(*[F.min(f).alias(f) for f in _COMPARED])
+    blank = {f: F.array().cast("array<string>") if f == "identifiers" else F.lit("") for f in documents.FIELDS}
+    docs = lambda df: df.select("pmid", *[(F.col(f) if f in _COMPARED else c).alias(f) for f, c in blank.items()])
+    same = other.join(la.select(*versions.VERSION), list(versions.VERSION), "left_semi")
+    return fields.tally(fields.compare(docs(la), docs(same), 0.9)).select("field", "kind", "n")
 
 
 # ---- the document
 
 
-@query(f"""with {_LATEST},
-abs as ({_ABS.format(where="where exists (select 1 from la where la.pmid = a.pmid and la.source_file = a.source_file)")}),
-ids as (select pmid, source_file, array_to_string(list_sort(list(distinct c)), '|') as curies from (
-  select pmid, source_file, 'doi:' || issn_linking as c from la where issn_linking is not null
-  union all select pmid, source_file, 'PMCID:' || nlm_catalog_id from la where nlm_catalog_id is not null) group by 1, 2)
-select 'PMID:' || la.pmid as id, 'PMID:' || la.pmid || coalesce('|' || curies, '') as identifiers, coalesce(j.title, '') as journal_name,
-  coalesce(j.abbreviation_iso, j.abbreviation_medline, '') as journal_abbrev, coalesce(article_title, '') as article_title, coalesce(volume, '') as volume,
-  coalesce(issue, '') as issue, {_YEAR} as pub_year, {_MONTH} as pub_month, coalesce(pub_day, '') as pub_day, {_DATE} as pub_date, coalesce(abstract, '') as abstract
-from la left join journal j on la.nlm_catalog_id = j.nlm_catalog_id left join abs on la.pmid = abs.pmid and la.source_file = abs.source_file
-left join ids on la.pmid = ids.pmid and la.source_file = ids.source_file""")
+@query(f"""with {_LATEST}, {_dated('la')},
+abs as ({_ABS.format(where="where exists (select 1 from la where la.pmid = a.pmid and la.source_file = a.source_file)")})
+select 'PMID:' || d.pmid as id, array_to_string(list_concat(['PMID:' || d.pmid], list_sort(list_distinct(list_filter(['doi:' || issn_linking, 'PMCID:' || d.nlm_catalog_id], lambda x: x is not null)))), '|') as identifiers,
+  coalesce(j.title, '') as journal_name, coalesce(j.abbreviation_iso, j.abbreviation_medline, '') as journal_abbrev, coalesce(article_title, '') as article_title, coalesce(volume, '') as volume,
+  coalesce(issue, '') as issue, year as pub_year, month as pub_month, coalesce(pub_day, '') as pub_day, pub_date, coalesce(abstract, '') as abstract
+from dated d left join journal j on d.nlm_catalog_id = j.nlm_catalog_id left join abs on d.pmid = abs.pmid and d.source_file = abs.source_file""")
 def q30_documents(spark, sf):
     """The twelve-field document of every current version."""
-    t = lambda n: _t(spark, sf, n)
-    docs = documents.documents(t("article"), t("deleted_pmid"), t("journal"), t("abstract_text"), _ids(spark, sf))
-    return docs.withColumn("identifiers", F.array_join("identifiers", "|"))
+    return _documents(spark, sf).withColumn("identifiers", F.array_join("identifiers", "|"))
 
 
 @query("select distinct 'PMID:' || pmid as id from article")
@@ -435,81 +464,68 @@ def q33_newest_files(spark, sf):
     return top.select("kind", "file_name", "file_order_key")
 
 
-# ---- samples and similarity (O6 O7 D14), rows only: other engines hash differently
+# ---- samples and similarity
 
 
-@query()
+@query("select source as shard, doc_id as pmid from (select *, row_number() over (partition by source order by md5('0:' || doc_id), doc_id) as rn from documents) where rn <= 5")
 def q34_shard_sample(spark, sf):
-    """Five documents of each source by a seeded hash: same size as a reservoir, the same members for any partitioning."""
-    d = _t(spark, sf, "documents").select("source", "doc_id").withColumn("h", F.xxhash64(F.lit(0), "doc_id"))
-    return versions.newest(d, ["source"], [F.asc("h"), F.asc("doc_id")], 5).select("source", "doc_id")
+    """Five documents of each source by a seeded digest: same size as a reservoir, the same members for any partitioning."""
+    return structure.sample_lines(_t(spark, sf, "documents").select(F.col("source").alias("shard"), F.col("doc_id").alias("pmid")), 5, 0)
 
 
 @query()
 def q35_title_similarity(spark, sf):
-    """Matching-block ratio of titles that differ between the copies (the pandas function the field check uses)."""
-    from ..validate.fields import similarity
-
+    """Matching-block ratio of titles that differ between the copies (the pandas function the field check uses); SQL has no such function."""
     key = list(versions.VERSION)
     a = _t(spark, sf, "article").select(*key, "article_title").distinct()
     m = _t(spark, sf, "article_mirror").select(*key, F.col("article_title").alias("other")).distinct()
     both = a.join(m, key).where(~F.col("article_title").eqNullSafe(F.col("other")))
-    return both.select(*key, F.round(similarity("article_title", "other"), 3).alias("ratio"))
+    return both.select(*key, F.round(fields.similarity("article_title", "other"), 3).alias("ratio"))
 
 
-# ---- sources and sinks over generated files
+# ---- sinks and structure
 
 
-def _scratch(spark) -> str:
-    """A folder all executors share: below the checkpoint folder."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
+@query(ORACLE["q30_documents"])
+def q37_ndjson_round_trip(spark, sf):
+    """Documents written as gzipped NDJSON shards and read back."""
+    docs, at = q30_documents(spark, sf), scratch(spark)
+    return spark.read.schema(docs.schema).json(exports.write_ndjson(docs, at))
 
-    ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/q-{uuid.uuid4().hex}"
 
+_EXPORTED = ("article", "abstract_text", "author", "author_affiliation", "mesh_qualifier")
 
-@query("select source_file, count(*) as n_articles, count(distinct article_title) as n_titles from (select pmid, source_file, max_by(coalesce(nullif(trim(article_title), ''), 'x'), loaded_at) as article_title from article where nlm_catalog_id is not null group by 1, 2) where true group by source_file")
-def q36_xml_round_trip(spark, sf):
-    """Articles written as citation XML, files of about 5,000 records, and read back through the XML source."""
-    from ..sources import xml
 
-    a = versions.keep_last(_t(spark, sf, "article").where("nlm_catalog_id is not null"), ["pmid", "source_file"], "loaded_at")
-    escape = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    title = F.coalesce(F.nullif(F.trim("article_title"), F.lit("")), F.lit("x"))
-    one = F.format_string(
-        '<PubmedArticle><MedlineCitation><PMID Version="1">%d</PMID><Article><ArticleTitle>%s</ArticleTitle></Article><MedlineJournalInfo><NlmUniqueID>%s</NlmUniqueID></MedlineJournalInfo></MedlineCitation></PubmedArticle>',
-        "pmid", escape(title), escape(F.col("nlm_catalog_id")),
-    )
-    chunk = F.pmod(F.xxhash64("pmid"), F.lit(1 + a.count() // 5_000))
-    files = a.select("source_file", chunk.alias("chunk"), one.alias("x")).groupBy("source_file", "chunk").agg(
-        F.encode(F.concat(F.lit("<PubmedArticleSet>"), F.array_join(F.collect_list("x"), ""), F.lit("</PubmedArticleSet>")), "utf-8").alias("content")
-    )
-    back = xml.tables(xml.scan(files.select(F.concat_ws("/", "chunk", "source_file").alias("path"), "content")))["article"]
-    return back.groupBy("source_file").agg(F.count("*").alias("n_articles"), F.count_distinct("article_title").alias("n_titles"))
+@query(f"with {_LATEST} " + " union all ".join(
+    f"select '{t}' as table_name, count(*) as n, count(distinct pmid) as n_pmids from {t} x where exists (from la where la.pmid = x.pmid and la.source_file = x.source_file" + (" and la.loaded_at is not distinct from x.loaded_at" if t == "article" else "") + ")" for t in _EXPORTED
+) + " union all select 'deleted_pmid', count(*), count(distinct pmid) from deleted_pmid union all select 'journal', count(*), null from journal")
+def q37_parquet_round_trip(spark, sf):
+    """Tables written as Parquet with children of current versions only, and read back."""
+    at = scratch(spark)
+    exports.export_parquet({t: _t(spark, sf, t) for t in (*_EXPORTED, "deleted_pmid", "journal")}, at)
+    out = None
+    for t in (*_EXPORTED, "deleted_pmid", "journal"):
+        df = spark.read.parquet(f"{at}/{t}.parquet")
+        pmids = F.count_distinct("pmid") if "pmid" in df.columns else F.lit(None).cast("bigint")
+        part = df.agg(F.lit(t).alias("table_name"), F.count("*").alias("n"), pmids.alias("n_pmids"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
-@query(ORACLE["q30_documents"])
-def q37_ndjson_round_trip(spark, sf):
-    """Documents written as gzipped NDJSON and read back."""
-    at = _scratch(spark)
-    docs = q30_documents(spark, sf)
-    docs.write.option("compression", "gzip").option("ignoreNullFields", "false").json(at)
-    return spark.read.schema(docs.schema).json(at)
+_BAD = f"(select count(*) from dated where month <> '' and not regexp_full_match(month, '({_ONE})(-({_ONE}))?'))"
 
 
-@query(f"""with {_LATEST} select 'records' as name, count(*) as n from la union all select 'duplicate_pmids', 0 union all select 'null_values', 0 union all select 'missing_fields', 0
-union all select 'invalid_months', count(*) from la where not regexp_full_match({_MONTH}, '(({'|'.join(dates.MONTHS + dates.SEASONS)})(-({'|'.join(dates.MONTHS + dates.SEASONS)}))?)?')""")
+@query(f"""with {_dated('article')},
+c as (select * from (values ('shards-found', 0), ('records-present', 0), ('shard-readable', 0), ('json-parse', 0), ('record-fields', 0),
+  ('no-nulls', (select count(*) from article where issue is null)), ('id-format', 0), ('pmid-unique', (select count(*) from (select pmid from article group by pmid having count(*) > 1))),
+  ('no-extra-fields', (select count(*) from article)), ('month-format', {_BAD})) as t(name, count))
+select name, case when count = 0 then 'pass' when name in ('no-extra-fields', 'month-format') then 'warn' else 'fail' end as status, count from c""")
 def q38_structure_checks(spark, sf):
-    """Line facts of exported NDJSON and the counts the structure checks are made of."""
-
-    from ..validate.structure import lines
-
-    at = _scratch(spark)
-    t = lambda n: _t(spark, sf, n)
-    documents.documents(t("article"), t("deleted_pmid"), t("journal"), t("abstract_text"), _ids(spark, sf)).write.option("ignoreNullFields", "false").json(at)
-    facts = lines(spark, [at])
-    dup = facts.groupBy("pmid").agg(F.count("*").alias("k")).agg(F.count_if(F.col("k") > 1).alias("n")).select(F.lit("duplicate_pmids").alias("name"), "n")
-    c = facts.agg(F.count_if("valid").alias("records"), F.count_if(F.size("nulls") > 0).alias("null_values"), F.count_if(F.size("missing") > 0).alias("missing_fields"), F.count_if("bad_month").alias("invalid_months"))
-    return c.unpivot([], ["records", "null_values", "missing_fields", "invalid_months"], "name", "n").unionByName(dup)
+    """The checks of structure over exported lines with known faults: nulls, repeated pmids, an extra field, months outside the set."""
+    shards = _exported(spark, sf, _versions_as_documents(spark, sf))
+    found = structure.scan(spark, shards, 15, 0)
+    facts = structure.structure_facts(shards, found)
+    vars(facts).update(counting=False, fetching=False, current=None, has_previous=False, dropped=None, low=0, high=1, threshold=0.9)
+    found.facts.unpersist()
+    rows = [(o.name, o.status, o.count) for o in checks.evaluate(facts) if o.section == "structure"]
+    return spark.createDataFrame(rows, "name string, status string, count bigint")

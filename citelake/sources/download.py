@@ -1,9 +1,12 @@
-"""Keeping a local copy of release files: what to do with each is a pure function, the transport is passed in."""
+"""Keeping a local copy of release files: what to do with each is a pure function, transports are a web folder or a mirror on disk."""
 
 from __future__ import annotations
 
 import hashlib
 import logging
+import re
+import shutil
+import urllib.request
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from pathlib import Path
@@ -13,6 +16,52 @@ from ..functions.ids import checksum_of
 log = logging.getLogger(__name__)
 
 
+# Where the release stands, by kind, and the journal overview.
+SOURCES = {"baseline": "https://ftp.ncbi.nlm.nih.gov/pubmed/baseline", "update": "https://ftp.ncbi.nlm.nih.gov/pubmed/updatefiles"}
+OVERVIEW = "https://ftp.ncbi.nlm.nih.gov/pubmed/J_Entrez.txt"
+FOLDERS = {"baseline": "baseline", "update": "updatefiles"}
+
+
+class Web:
+    """Release files in a folder that a web server lists."""
+
+    def __init__(self, url: str, open_url=urllib.request.urlopen) -> None:
+        self.url, self._open = url.rstrip("/"), open_url
+
+    def listing(self) -> list[str]:
+        """Names of release files, newest first."""
+        with self._open(f"{self.url}/", timeout=60) as r:
+            page = r.read().decode("utf-8", "replace")
+        return sorted({n for n in re.findall(r'href="([^"/]+)"', page) if n.endswith(".xml.gz")}, reverse=True)
+
+    def sidecar(self, name: str) -> str:
+        with self._open(f"{self.url}/{name}.md5", timeout=60) as r:
+            return r.read().decode("utf-8", "replace")
+
+    def fetch(self, name: str, to: Path) -> None:
+        """Written beside the target and renamed, so a download that breaks off leaves nothing to load."""
+        part = to.with_name(to.name + ".part")
+        with self._open(f"{self.url}/{name}", timeout=600) as r, part.open("wb") as f:
+            shutil.copyfileobj(r, f, 1 << 20)
+        part.replace(to)
+
+
+class Mirror:
+    """Release files in a folder on disk."""
+
+    def __init__(self, folder: Path) -> None:
+        self.folder = folder
+
+    def listing(self) -> list[str]:
+        return sorted((p.name for p in self.folder.glob("*.xml.gz")), reverse=True)
+
+    def sidecar(self, name: str) -> str:
+        return (self.folder / f"{name}.md5").read_text()
+
+    def fetch(self, name: str, to: Path) -> None:
+        shutil.copyfile(self.folder / name, to)
+
+
 @dataclass(frozen=True)
 class Decision:
     published: str | None  # checksum to register

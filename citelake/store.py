@@ -1,8 +1,9 @@
-"""Tables on a shared file system with one commit per load.
+"""Tables on a shared file system with one commit per group of files.
 
 A load writes its rows under ``table/load_id=...`` and becomes visible only when a new version of the registry, which names the load that
-holds each file's rows, is complete.  A load that dies leaves rows no registry names; a file loaded again replaces its
-rows because the registry then names the newer load.  Several loads may be vacuumed later.
+holds each file's rows, is committed.  A load that dies leaves rows no registry names; a file loaded again replaces its
+rows because the registry then names the newer load.  A version is committed by a numbered file that only one writer can create; a writer
+who comes second builds its version again on the other's.
 """
 
 from __future__ import annotations
@@ -10,11 +11,14 @@ from __future__ import annotations
 import datetime
 import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import Files
 from .functions.ids import order_key, parse_file_name
+from .operators.versions import latest
 from .schemas import DIMENSIONS, TABLES, VERSIONED, conform, empty, schema
 
 _REGISTRY = TABLES["source_file"] + ", load_id string"
@@ -60,35 +64,46 @@ def merge_load(registry: DataFrame, new: DataFrame) -> DataFrame:
 class Store:
     """The tables below one folder."""
 
+    #: Versions of a small table that stay, and commit files that do.
+    KEEP, COMMITS = 3, 100
+
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.files = Files(spark, self.root)
 
     # -- versioned small tables
 
-    def exists(self, path: str) -> bool:
-        return self._fs.exists(self._path(path))
+    def _commits(self, name: str) -> list[str]:
+        return [c for c in self.files.names(f"{self.root}/_{name}") if c.startswith("commit-")]
 
-    def children(self, path: str) -> list[str]:
-        if not self.exists(path):
-            return []
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(path)))
+    def _version(self, name: str, commit: str) -> str:
+        return f"{self.root}/_{name}/{self.files.read(f'{self.root}/_{name}/{commit}').decode()}"
 
     def _current(self, name: str) -> str | None:
-        """The newest complete version of a small table."""
-        at = f"{self.root}/_{name}"
-        done = [v for v in self.children(at) if v.startswith("v=") and self.exists(f"{at}/{v}/_SUCCESS")]
-        return f"{at}/{done[-1]}" if done else None
+        """The newest committed version of a small table."""
+        done = self._commits(name)
+        return self._version(name, done[-1]) if done else None
 
-    def _put(self, name: str, df: DataFrame, keep: int = 3) -> None:
-        """Write a new version; the one named by the highest complete folder is current."""
+    def update(self, name: str, build: Callable[[], DataFrame], attempts: int = 20) -> None:
+        """Commit what ``build()`` makes of the table's current version; built again if another writer was first."""
         at = f"{self.root}/_{name}"
-        df.coalesce(1).write.parquet(f"{at}/v={time.time_ns():020d}-{uuid.uuid4().hex[:6]}")
-        old = [v for v in self.children(at) if v.startswith("v=")][:-keep]
-        for v in old:
-            self._fs.delete(self._path(f"{at}/{v}"), True)
+        for _ in range(attempts):
+            done = self._commits(name)
+            number = int(done[-1].removeprefix("commit-")) + 1 if done else 1
+            folder = f"data-{uuid.uuid4().hex}"
+            build().coalesce(1).write.parquet(f"{at}/{folder}")
+            if self.files.claim(f"{at}/commit-{number:020d}", folder.encode()) and self._commits(name)[-1] == f"commit-{number:020d}":
+                self._prune(name)
+                return
+            self.files.delete(f"{at}/{folder}")
+        raise RuntimeError(f"{name}: other writers were first {attempts} times")
+
+    def _prune(self, name: str) -> None:
+        at, done = f"{self.root}/_{name}", self._commits(name)
+        for c in done[-self.KEEP - 1 : -self.KEEP]:  # one falls out with each commit
+            self.files.delete(self._version(name, c))
+        for c in done[: -self.COMMITS]:
+            self.files.delete(f"{at}/{c}")
 
     def registry(self) -> DataFrame:
         at = self._current("source_file")
@@ -96,12 +111,12 @@ class Store:
             return self.spark.createDataFrame([], _REGISTRY)
         return self.spark.read.schema(_REGISTRY).parquet(at)
 
-    def put_registry(self, df: DataFrame) -> None:
-        self._put("source_file", df)
+    def merge_registry(self, merge: Callable[[DataFrame], DataFrame]) -> None:
+        self.update("source_file", lambda: merge(self.registry()))
 
     def record_run(self, step: str) -> None:
         now = self.spark.range(1).select(F.lit(step).alias("step"), F.current_timestamp().alias("last_run_at"))
-        self._put("pipeline_run", self.table("pipeline_run").where(F.col("step") != step).unionByName(now))
+        self.update("pipeline_run", lambda: self.table("pipeline_run").where(F.col("step") != step).unionByName(now))
 
     def last_run(self, step: str) -> datetime.datetime | None:
         row = self.table("pipeline_run").where(F.col("step") == step).first()
@@ -115,7 +130,7 @@ class Store:
             return conform(self.registry(), name)
         if name in VERSIONED:
             at = f"{self.root}/{name}"
-            if not self.children(at):
+            if not self.files.names(at):
                 return empty(self.spark, name)
             live = self.registry().where("load_id is not null").select(F.col("file_name").alias("source_file"), "load_id")
             rows = self.spark.read.schema(schema(name).add("load_id", "string")).parquet(at)
@@ -126,6 +141,13 @@ class Store:
     def tables(self) -> dict[str, DataFrame]:
         return {t: self.table(t) for t in TABLES}
 
+    def views(self) -> list[str]:
+        """Register every table, and ``latest_article``, as a view of the session; their names."""
+        for name, df in self.tables().items():
+            df.createOrReplaceTempView(name)
+        latest(self.table("article"), self.table("deleted_pmid")).createOrReplaceTempView("latest_article")
+        return [*TABLES, "latest_article"]
+
     def append(self, table: str, df: DataFrame, load_id: str) -> None:
         conform(df, table).write.parquet(f"{self.root}/{table}/load_id={load_id}")
 
@@ -134,17 +156,30 @@ class Store:
         for name, df in tables.items():
             if name not in DIMENSIONS:
                 raise ValueError(f"not a dimension: {name}")
-            self._put(name, conform(df, name))
+            self.update(name, lambda df=df, name=name: conform(df, name))
+
+    # -- loads
+
+    def begin(self) -> str:
+        """A new load's id, marked as running until ``end``."""
+        load_id = uuid.uuid4().hex
+        self.files.write(f"{self.root}/_loads/{load_id}", str(time.time()).encode())
+        return load_id
 
-    def vacuum(self) -> list[str]:
-        """Delete loads that the registry doesn't name any more; their folders' names."""
+    def end(self, load_id: str) -> None:
+        self.files.delete(f"{self.root}/_loads/{load_id}")
+
+    def vacuum(self, hours: float = 24) -> list[str]:
+        """Delete loads that the registry doesn't name any more, but none that began within ``hours`` and hasn't ended; their folders' names.
+
+        What runs is listed before the registry is read, so a load that ends in between counts as running.
+        """
+        running = {i for i in self.files.names(f"{self.root}/_loads") if time.time() - float(self.files.read(f"{self.root}/_loads/{i}")) < hours * 3600}
+        folders = [(t, d) for t in VERSIONED for d in self.files.names(f"{self.root}/{t}") if d.startswith("load_id=")]
         live = {r["load_id"] for r in self.registry().select("load_id").distinct().collect()}
-        gone = []
-        for t in VERSIONED:
-            for d in self.children(f"{self.root}/{t}"):
-                if d.startswith("load_id=") and d.removeprefix("load_id=") not in live:
-                    self._fs.delete(self._path(f"{self.root}/{t}/{d}"), True)
-                    gone.append(f"{t}/{d}")
+        gone = [f"{t}/{d}" for t, d in folders if d.removeprefix("load_id=") not in live | running]
+        for at in gone:
+            self.files.delete(f"{self.root}/{at}")
         return gone
 
 
@@ -152,7 +187,7 @@ def local_files(store: Store, data_dir: str) -> list[tuple[str, str]]:
     """(path, kind) of the release files in the folders of both kinds, in order of their keys; other names are ignored."""
     out = []
     for kind, folder in (("baseline", "baseline"), ("update", "updatefiles")):
-        for name in store.children(f"{data_dir}/{folder}"):
+        for name in store.files.names(f"{data_dir}/{folder}"):
             try:
                 out.append((parse_file_name(name)[2], name, f"{data_dir}/{folder}/{name}", kind))
             except ValueError:
@@ -160,9 +195,15 @@ def local_files(store: Store, data_dir: str) -> list[tuple[str, str]]:
     return [(path, kind) for _, _, path, kind in sorted(out)]
 
 
+def due(listed: DataFrame, registry: DataFrame, force: bool = False) -> DataFrame:
+    """Listed files (file_name and other columns) that are to be loaded; one the registry doesn't know is due."""
+    known = registry.select(F.col("file_name").alias("__name"), needs_load(force).alias("__due")).dropDuplicates(["__name"])
+    return listed.join(known, F.col("file_name") == F.col("__name"), "left").where(F.coalesce("__due", F.lit(True))).drop("__name", "__due")
+
+
 def pending_files(store: Store, files: list[tuple[str, str]], force: bool = False) -> list[tuple[str, str]]:
-    """The files that are due; one the registry doesn't know is due."""
+    """The files (path, kind) that are due."""
     if not files or force:
         return files
-    known = {r["file_name"]: r["due"] for r in store.registry().select("file_name", needs_load().alias("due")).collect()}
-    return [(p, k) for p, k in files if known.get(p.rsplit("/", 1)[-1], True) is not False]
+    listed = store.spark.createDataFrame([(i, p.rsplit("/", 1)[-1]) for i, (p, _) in enumerate(files)], "i int, file_name string")
+    return [files[r["i"]] for r in due(listed, store.registry()).select("i").orderBy("i").collect()]

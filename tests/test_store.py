@@ -2,7 +2,9 @@
 
 import gzip
 import json
+import io
 import shutil
+from pathlib import Path
 
 import pytest
 from conftest import ABSTRACT, citation, release
@@ -12,7 +14,7 @@ from citelake.operators.versions import latest
 from citelake.sinks import exports
 from citelake.sources import download, xml
 from citelake.status import readiness, summarize
-from citelake.store import Store, local_files
+from citelake.store import Store, local_files, merge_download
 
 
 @pytest.fixture
@@ -33,7 +35,7 @@ def rows(df, *cols):
 
 def docs_of(paths):
     out = {}
-    for p in paths:
+    for p in map(Path, paths):
         with gzip.open(p, "rt", encoding="utf-8") if p.suffix == ".gz" else open(p, encoding="utf-8") as f:
             out |= {d["id"]: d for d in map(json.loads, f)}
     return out
@@ -125,7 +127,7 @@ def test_json_export(loaded, data_dir):
     assert (third["identifiers"], third["pub_year"], third["pub_month"], third["pub_day"], third["pub_date"], third["journal_name"]) == (["PMID:13"], "1998", "Spring", "", "1998 Spring", "")
     assert None not in third.values() and (out / "other.txt").exists() and not (out / "pubmed_metadata_9.ndjson").exists()
     paths = exports.export_json(loaded.tables(), out, shards=1, gzip_output=False)
-    assert [p.name for p in paths] == ["pubmed_metadata_0.ndjson"] and len(list(out.glob("*.ndjson*"))) == 1
+    assert [Path(p).name for p in paths] == ["pubmed_metadata_0.ndjson"] == [p.name for p in out.glob("*.ndjson")] and len(list(out.glob("*.ndjson*"))) == 1
     with pytest.raises(ValueError):
         exports.export_json(loaded.tables(), out, shards=0)
 
@@ -135,7 +137,7 @@ def test_unicode_is_not_escaped(spark, data_dir):
     store = Store(spark, str(data_dir / "s3"))
     loading.load_files(store, local_files(store, str(data_dir)))
     paths = exports.export_json(store.tables(), data_dir / "j3", gzip_output=False)
-    assert "Größe μ" in "".join(p.read_text(encoding="utf-8") for p in paths)
+    assert "Größe μ" in "".join(Path(p).read_text(encoding="utf-8") for p in paths)
 
 
 def test_parquet_export(loaded, data_dir, spark):
@@ -201,9 +203,74 @@ def test_command_line(spark, data_dir, capsys):
     out = data_dir / "out"
     assert cli.main([*base, "export", "--format", "json", "--out", str(out), "--latest"]) == 0
     assert "no effect" in capsys.readouterr().out
-    assert cli.main([*base, "validate", str(out), "--manifest", str(data_dir / "m.gz"), "--out", str(data_dir / "r.json"), "--fail-on-warn"]) == 0
+    assert cli.main([*base, "validate", str(out), "--manifest", str(data_dir / "m.gz"), "--out", str(data_dir / "r.json"), "--fail-on-warn", "--offline"]) == 0
     assert (data_dir / "m.gz").exists() and json.loads((data_dir / "r.json").read_text())["status"] == "pass"
     assert cli.main([*base, "status"]) == 0
     assert '"latest_documents": 2' in capsys.readouterr().out
+    assert cli.main([*base, "validate", str(out), "--no-online"]) == 0 and json.loads((out / "validation_report.json").read_text())["inputs"]["online"] is False
+    assert cli.main([*base, "sql", "select 'titles', count(*) from latest_article join journal using (nlm_catalog_id)"]) == 0
+    assert "titles" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         cli.main([*base, "export", "--format", "json", "--out", "x", "--shards", "0"])
+
+
+def test_groups_are_committed_as_they_are_done(store, data_dir, monkeypatch):
+    """A run that dies in its second group keeps the first; the next run takes what is left."""
+    for i in range(3, 9):
+        release(data_dir / "updatefiles", f"pubmed30n{i:04d}.xml.gz", citation(100 + i))
+    files, scan = local_files(store, str(data_dir)), xml.scan
+    calls = []
+
+    def dying(content):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return scan(content)
+
+    monkeypatch.setattr(xml, "scan", dying)
+    with pytest.raises(RuntimeError):
+        loading.load_files(store, files, group=1)  # as many as there are cores
+    first = store.registry().where("load_id is not null").count()
+    assert 0 < first < 8 and store.table("article").select("source_file").distinct().count() == first
+    assert loading.load_files(store, files) == (8 - first, [])
+    assert store.table("article").where("pmid > 100").count() == 6
+
+
+def test_two_writers_lose_nothing(store):
+    new = lambda name: store.spark.createDataFrame([(name, "update", None, True)], "file_name string, kind string, published_md5 string, changed boolean").selectExpr("*", "timestamp '2026-01-01' as at")
+    once = []
+
+    def slow(registry):
+        if not once:  # another writer commits while this one builds
+            once.append(1)
+            store.merge_registry(lambda r: merge_download(r, new("pubmed30n0001.xml.gz")))
+        return merge_download(registry, new("pubmed30n0002.xml.gz"))
+
+    store.merge_registry(slow)
+    assert rows(store.registry(), "file_name") == [("pubmed30n0001.xml.gz",), ("pubmed30n0002.xml.gz",)]
+    for i in range(3, 8):
+        store.merge_registry(lambda r, i=i: merge_download(r, new(f"pubmed30n000{i}.xml.gz")))
+    assert store.registry().count() == 7 and len([n for n in store.files.names(f"{store.root}/_source_file") if n.startswith("data-")]) == store.KEEP
+
+
+def test_vacuum_spares_a_running_load(loaded):
+    load_id = loaded.begin()
+    loaded.append("article", loaded.table("article"), load_id)
+    assert loaded.vacuum() == [] and loaded.vacuum(hours=0) == [f"article/load_id={load_id}"]
+    assert loaded.table("article").count() == 4
+
+
+def test_web_listing_and_fetch(tmp_path):
+    pages = {
+        "u/": b'<a href="../">up</a><a href="pubmed30n0002.xml.gz">x</a><a href="pubmed30n0002.xml.gz.md5">x</a><a href="pubmed30n0010.xml.gz">x</a><a href="README.txt">x</a>',
+        "u/pubmed30n0010.xml.gz": b"hello", "u/pubmed30n0010.xml.gz.md5": b"MD5(x)= 5d41402abc4b2a76b9719d911017c592",
+    }
+    web = download.Web("u/", lambda url, timeout: io.BytesIO(pages[url]))
+    assert web.listing() == ["pubmed30n0010.xml.gz", "pubmed30n0002.xml.gz"]
+    got = download.sync_kind(web.listing(), "update", tmp_path, {}, web.sidecar, web.fetch, limit=1)
+    assert [(s.file_name, s.changed) for s in got] == [("pubmed30n0010.xml.gz", True)] and [p.name for p in tmp_path.iterdir()] == ["pubmed30n0010.xml.gz"]
+
+
+def test_views(loaded):
+    assert "latest_article" in loaded.views()
+    assert loaded.spark.sql("select count(*) from latest_article").first()[0] == 2
