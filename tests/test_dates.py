@@ -1,14 +1,18 @@
-"""Date expressions against tables of cases and a row-at-a-time restatement in Python."""
+"""Date, text and identifier expressions against the rules restated row by row, over generated values."""
 
+import calendar
 import itertools
-import re
+import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from citelake.functions import dates, ids, text
 from pyspark.sql import functions as F
 
-WS = "\t\n\x0b\f\r      　"
+BLANK = "\t\n\x0b\f\r   　"
+ABBREVIATIONS = list(calendar.month_abbr)[1:]
 
 
 def run(spark, rows, cols, expr):
@@ -16,76 +20,108 @@ def run(spark, rows, cols, expr):
     return [r[0] for r in df.select("i", expr.alias("x")).orderBy("i").select("x").collect()]
 
 
-@pytest.mark.parametrize("cases", [[
-    ("3", "Mar"), ("03", "Mar"), ("Mar", "Mar"), ("March", "Mar"), ("Sept", "Sep"), ("sep", "Sep"), ("Sep-Dec", "Sep-Dec"), ("Jul-Aug", "Jul-Aug"), ("Spring", "Spring"),
-    ("13", ""), ("0", ""), ("9" * 20, ""), (None, ""), ("", ""), ("\tMar", "Mar"), ("3\n", "Mar"), ("²", "²"), ("Mar\x85", "Mar\x85"), ("Frühling", "Frühling"),
-]])
-def test_month(spark, cases):
-    assert run(spark, [(c,) for c, _ in cases], ["m"], dates.month(F.col("m"))) == [w for _, w in cases]
+def months(spark, values):
+    return run(spark, [(v,) for v in values], ["m"], dates.month(F.col("m")))
 
 
-def test_free_text(spark):
-    cases = [
-        ("1994 Sep-Dec", "1994", "Sep-Dec"), ("1998 Spring", "1998", "Spring"), ("1998 Dec-1999 Jan", "1998", "Dec-1999 Jan"), ("  2001 Winter", "2001", "Winter"),
-        ("1999-2000", "1999", ""), ("n.d.", "", ""), ("Spring 1998", "", ""), (None, "", ""), ("", "", ""), ("12345", "1234", ""), ("1998 a\rb", "1998", "a\rb"),
-    ]
-    assert run(spark, [(c,) for c, _, _ in cases], ["m"], dates.free_year(F.col("m"))) == [y for _, y, _ in cases]
-    assert run(spark, [(c,) for c, _, _ in cases], ["m"], dates.free_month(F.col("m"))) == [m for _, _, m in cases]
+@pytest.mark.parametrize("pad", [1, 2, 5])
+def test_month_numbers(spark, pad):
+    """The calendar's months by number, with zeros before and blanks around; numbers outside it are no month."""
+    values = [f"{BLANK[n % len(BLANK)]}{n:0{pad}d}{BLANK[-1 - n % len(BLANK)]}" for n in range(30)]
+    assert months(spark, values) == [ABBREVIATIONS[n - 1] if 1 <= n <= 12 else "" for n in range(30)]
 
 
-def py_month(raw):
-    s = (raw or "").strip(WS)
-    if re.fullmatch("[0-9]+", s):
-        return dates.MONTHS[int(s) - 1] if 1 <= int(s) <= 12 else ""
-    name = s[:1].upper() + s[1:3].lower()
-    return name if name in dates.MONTHS and s.isalpha() else s
+def test_month_names_cut_anywhere(spark):
+    """A name counts by its first three letters, in any case."""
+    cut = [(name[:n], i) for i, name in enumerate(calendar.month_name) if name for n in range(3, len(name) + 1)]
+    for change in (str.lower, str.upper, str.title):
+        assert months(spark, [change(v) for v, _ in cut]) == [ABBREVIATIONS[i - 1] for _, i in cut]
 
 
-def py_date(y, m, d, free):
-    if (free or "").strip(WS):
-        return free.strip(WS)
-    month, day = py_month(m), (d or "").strip(WS)
-    day = str(int(day)) if re.fullmatch("[0-9]+", day) else day
-    return " ".join(x for x in ((y or "").strip(WS), month, day if month else "") if x).strip(WS)
+def test_what_is_no_month_is_kept(spark):
+    """Ranges, seasons, and letters or digits beside a name stay as they are but for blanks at the ends."""
+    kept = [*(f"{a}{sign}{b}" for (a, b), sign in zip(itertools.pairwise(ABBREVIATIONS), itertools.cycle("-/–,"), strict=False)), *dates.SEASONS, "3rd", "Ma", "M4r", "Q2", "Été", "年3月", "٣", "-3", "3.0"]
+    assert months(spark, [f" {k}\n" for k in kept]) == kept
+    assert months(spark, [None, "", BLANK]) == [""] * 3
+    assert months(spark, ["1" * n for n in (3, 19, 40)]) == [""] * 3
 
 
-MONTHS = ["3", "03", " 3 ", "March", "SEPTEMBER", "Spring", "Sep-Dec", "13", "0", "", "  ", None, "\n3", "\r\nMarch\t", "²", " Mar", "Mar "]
-FREE = ["1998 Spring", "1998 Dec-1999 Jan", "1999-2000", "1998 Spring", " 1998 Spring", "  ", "n.d.", "12345", "", None]
-YEARS = ["2019", "", "  ", None, "2019 "]
-DAYS = ["15", "", None, "\n15", "01", "005", "0", "1a"]
+def own_month(raw):
+    s = (raw or "").strip(BLANK)
+    if s and all(c in "0123456789" for c in s):
+        return ABBREVIATIONS[int(s) - 1] if int(s) in range(1, 13) else ""
+    return next((m for m in ABBREVIATIONS if s.isalpha() and s[:3].casefold() == m.casefold()), s)
 
 
-def test_cross_product(spark):
-    rows = list(itertools.product(YEARS, MONTHS, DAYS, FREE))
-    cols = ["y", "m", "d", "f"]
-    got = run(spark, rows, cols, dates.pub_date(*map(F.col, cols)))
-    assert got == [py_date(*r) for r in rows]
-    got = run(spark, rows, cols, dates.pub_month(F.col("m"), F.col("f")))
-
-    def month(m, f):
-        hit = re.match(f"[{WS}]*[0-9]{{4}}[{WS}]+(.*)", f or "")
-        return py_month(m) or py_month(hit[1] if hit else "")
+def own_free(raw):
+    """(year, what follows it on its line) of a free-text date."""
+    s = (raw or "").lstrip(BLANK)
+    if len(s) < 4 or any(c not in "0123456789" for c in s[:4]):
+        return "", ""
+    rest = s[4:].lstrip(BLANK)
+    return s[:4], rest.split("\n")[0] if rest != s[4:] else ""
 
-    assert got == [month(m, f) for _, m, _, f in rows]
 
+def own_date(year, month, day, free):
+    if (free or "").strip(BLANK):
+        return free.strip(BLANK)
+    m, d = own_month(month), (day or "").strip(BLANK)
+    if d and all(c in "0123456789" for c in d):
+        d = str(int(d))
+    return " ".join(x for x in ((year or "").strip(BLANK), m, d if m else "") if x)
 
-def test_year_keeps_blank_text(spark):
-    rows = [("  ", "1998 Spring"), ("", "1998 Spring"), (None, None), ("2001", "1998")]
-    assert run(spark, rows, ["y", "f"], dates.pub_year(F.col("y"), F.col("f"))) == ["  ", "1998", "", "2001"]
 
+def values(rng, n):
+    """Random date parts, free texts and rubbish: blanks, digits, names and signs put together."""
+    bits = [*BLANK, *"0123456789", "19", "20", "2014", *ABBREVIATIONS[::3], "october", "Winter", "-", "/", ".", "x", "é"]
+    return [None if rng.random() < 0.05 else "".join(rng.choice(bits) for _ in range(rng.randrange(6))) for _ in range(n)]
 
-def test_valid_month_and_comparable_date(spark):
-    got = run(spark, [("",), ("Mar",), ("Sep-Dec",), ("Spring-Fall",), ("Dec-1999 Jan",), ("Mar\n",)], ["m"], F.col("m").rlike(dates.VALID_MONTH))
-    assert got == [True, True, True, True, False, False]
-    got = run(spark, [("1998 September 03",), ("1998",), ("1998 Mar",), ("a b c d e",)], ["m"], dates.comparable_date(F.col("m")))
-    assert got == ["1998 Sep 3", "1998", "1998 Mar", "a b c d e"]
 
-
-def test_text_and_ids(spark):
-    assert run(spark, [(" a   b\x0b",), (None,)], ["t"], text.collapse(F.col("t"))) == ["a b", ""]
-    assert run(spark, [("pubmed30n0012.xml.gz",), ("x",), ("pubmed30n0012.xml.gz\n",), (None,)], ["t"], ids.order_key(F.col("t"))) == [30000012, None, None, None]
-    assert run(spark, [("MD5 (f) = " + "aB" * 16,), ("none",), ("f" * 33,)], ["t"], ids.checksum(F.col("t"))) == ["ab" * 16, None, None]
-    assert ids.parse_file_name("pubmed30n0012.xml.gz") == (30, 12, 30000012)
-    for bad in ("pubmed30n0012.xml", "a.xml.gz", "pubmed3n1.xml.gz"):
+@pytest.mark.parametrize("seed", range(3))
+def test_dates_against_the_rules_row_by_row(spark, seed):
+    rng = random.Random(seed)
+    rows = list(zip(*(values(rng, 3000) for _ in range(4)), strict=True))
+    cols = ["y", "m", "d", "f"]
+    y, m, d, f = map(F.col, cols)
+    assert run(spark, rows, cols, dates.month(m)) == [own_month(r[1]) for r in rows]
+    assert run(spark, rows, cols, dates.free_year(f)) == [own_free(r[3])[0] for r in rows]
+    assert run(spark, rows, cols, dates.free_month(f)) == [own_free(r[3])[1] for r in rows]
+    assert run(spark, rows, cols, dates.pub_year(y, f)) == [r[0] or own_free(r[3])[0] for r in rows]
+    assert run(spark, rows, cols, dates.pub_month(m, f)) == [own_month(r[1]) or own_month(own_free(r[3])[1]) for r in rows]
+    assert run(spark, rows, cols, dates.pub_date(y, m, d, f)) == [own_date(*r) for r in rows]
+
+
+def test_months_a_document_may_have(spark):
+    one = [*ABBREVIATIONS, *dates.SEASONS]
+    good = ["", *one, *(f"{a}-{b}" for a in one[::4] for b in one[::3])]
+    bad = ["January", "mar", "Jan-", "-Jan", "Jan-Feb-Mar", "Jan/Feb", "Jan ", "Jan\n", "2014", *(f"{a} {b}" for a, b in itertools.pairwise(one))]
+    assert run(spark, [(x,) for x in good + bad], ["m"], F.col("m").rlike(dates.VALID_MONTH)) == [True] * len(good) + [False] * len(bad)
+
+
+def test_comparable_dates(spark):
+    """Month and day in standard form, years and further words as they are."""
+    rows = [(f"{y} {m} {d}{more}".strip(), f"{y} {m[:3]} {d.lstrip('0')}{more}".strip()) for y in ("1987", "n") for m in ("January", "Jan") for d in ("07", "7", "17") for more in ("", " or so")]
+    rows += [("1987", "1987"), ("1987 7", "1987 Jul"), ("", "")]
+    assert run(spark, [(a,) for a, _ in rows], ["m"], dates.comparable_date(F.col("m"))) == [b for _, b in rows]
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(BLANK + "ab\x85​", max_size=12), min_size=40, max_size=40))
+def test_white_space(spark, texts):
+    rows = [(t,) for t in texts]
+    assert run(spark, rows, ["t"], text.strip(F.col("t"))) == [t.strip(BLANK) for t in texts]
+    folded = ["".join(c if c not in BLANK else " " for c in t) for t in texts]
+    assert run(spark, rows, ["t"], text.collapse(F.col("t"))) == [" ".join(x for x in t.split(" ") if x) for t in folded]
+
+
+def test_file_names_and_checksums(spark):
+    names = [(f"pubmed{y:02d}n{n:04d}.xml.gz", y * 1_000_000 + n) for y in (0, 7, 31) for n in (1, 99, 12345)]
+    assert [ids.parse_file_name(n)[2] for n, _ in names] == [k for _, k in names]
+    odd = ["", "x", "pubmed31n0001.xml", "pubmed1n0001.xml.gz", "pubmed31n.xml.gz", "a/pubmed31n0001.xml.gz", "pubmed31n0001.xml.gz\n", "pubmed31n0001.xml.gz.md5", None]
+    assert run(spark, [(n,) for n, _ in names] + [(n,) for n in odd], ["t"], ids.order_key(F.col("t"))) == [k for _, k in names] + [None] * len(odd)
+    for n in filter(None, odd):
         with pytest.raises(ValueError):
-            ids.parse_file_name(bad)
+            ids.parse_file_name(n)
+    token = "0123456789abcDEF" * 2
+    lines = [(f"MD5(name)= {token}", token.lower()), (token, token.lower()), (token + "0", None), ("none", None), (f"{token[:-1]}g", None), (f"x {token}.", token.lower())]
+    assert run(spark, [(a,) for a, _ in lines], ["t"], ids.checksum(F.col("t"))) == [b for _, b in lines] == [ids.checksum_of(a) for a, _ in lines]
