@@ -97,9 +97,10 @@ def lines(spark: SparkSession, shards: list[str]) -> DataFrame:
 def documents(spark: SparkSession, shards: list[str], pmids: DataFrame) -> DataFrame:
     """The documents of some pmids of a shard each (shard, pmid), by a second read."""
     wanted = F.broadcast(pmids.select(F.col("shard").alias("s"), F.col("pmid").alias("p")))
+    id_only = F.create_map(F.lit("id"), F.get_json_object("value", "$.id"))  # most lines are of no interest beyond it
+    lines = _raw(spark, shards).withColumn("pmid", _pmid(id_only)).join(wanted, (F.col("shard") == F.col("s")) & (F.col("pmid") == F.col("p")))
     doc = [(_list(F.col("m")[f]) if f == "identifiers" else F.col("m")[f]).alias(f) for f in FIELDS]
-    parsed = _raw(spark, shards).select("shard", _members().alias("m")).where("m is not null").withColumn("pmid", _pmid(F.col("m")))
-    return parsed.join(wanted, (F.col("shard") == F.col("s")) & (F.col("pmid") == F.col("p"))).select("pmid", *doc).dropDuplicates(["pmid"])
+    return lines.select("pmid", _members().alias("m")).where("m is not null").select("pmid", *doc).dropDuplicates(["pmid"])
 
 
 def sample_lines(facts: DataFrame, size: int, seed: int) -> DataFrame:

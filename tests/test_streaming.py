@@ -36,3 +36,17 @@ def test_held_back_until_the_gap_is_filled(spark, tmp_path):
     state.apply(row(1, 25000003), 1, registry)  # the batch again after a failure
     state.apply(row(2, 25000002), 2, registry)
     assert shown() == [(1, 25000003), (2, 25000002)] and state.part("held").count() == 0
+
+
+def test_old_copies_go_and_state_stays(spark, tmp_path):
+    """Batches touch a few buckets each; copies that no kept version names are removed, untouched ones stay readable."""
+    state = ReplayState(spark, str(tmp_path / "s"), buckets=4)
+    row = lambda p, k: spark.createDataFrame([(p, k, f"f{k}", False)], FEED)
+    for i in range(9):
+        state.apply(row(i % 5, 25000001 + i), i)
+    assert sorted((r["pmid"], r["file_order_key"]) for r in state.current().collect()) == [(i % 5, 25000001 + i) for i in (5, 6, 7, 8, 4)][:3] + [(3, 25000009), (4, 25000005)]
+    named = {(b, v) for b, v in state.manifest()["at"].items()}
+    copies = {(b.name[7:], int(v.name[2:])) for v in (tmp_path / "s").glob("v=*") for b in v.glob("last/bucket=*")}
+    assert named <= copies and len(copies) < 9
+    state.apply(row(7, 25000020), 8)  # the last batch again, with other rows
+    assert {r["pmid"] for r in state.current().collect()} == {0, 1, 2, 3, 4, 7}
