@@ -426,8 +426,11 @@ def _blocks(spelt: DataFrame, block: int, part: int) -> DataFrame:
         rows = cut(_finer(rows.join(large, "block", "left_semi")))
     parts = rows.groupBy("block").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
     dealt = rows.join(parts, "block").withColumn("side", F.pmod(F.xxhash64("form"), F.col("parts")).cast("int"))
-    pair = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    named = F.concat_ws("\t", "block", F.least("side", "with"), F.greatest("side", "with")).alias("block")
+    across, one_word = F.split("block", "\t")[1] == "<", F.size(F.split("form", "\t")) == 2
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    pair = dealt.withColumn("with", F.explode(F.when(across & ~one_word, F.array("side")).otherwise(every)))
+    low, high = (F.when(across, F.col("with")).otherwise(f("side", "with")) for f in (F.least, F.greatest))
+    named = F.concat_ws("\t", "block", low, high).alias("block")
     return done[0].unionByName(done[1]).unionByName(pair.select(named, "side", "form"))
 
 
