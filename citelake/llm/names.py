@@ -415,17 +415,22 @@ def _finer(rows: DataFrame) -> DataFrame:
     return rows.select("block", "form").mapInArrow(index, "block string, form string")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """With a number for each block, by which rows are counted, joined and sorted; two blocks of one number are refined or read together, no more."""
+    return rows.withColumn("number", F.xxhash64("block"))
+
+
 def _blocks(spelt: DataFrame, block: int, part: int) -> DataFrame:
     """(block, side, form): what is to be compared.  A key that up to ``block`` forms share is a block; a more common one is refined, and where
     that is at its end, its forms are dealt to parts and every two parts make a block with two sides."""
-    rows = cut(_finer(spelt.select(F.lit(None).cast("string").alias("block"), "form").distinct()))
+    rows = cut(_numbered(_finer(spelt.select(F.lit(None).cast("string").alias("block"), "form").distinct())))
     done = []
     for _ in range(2):
-        large = rows.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > block).select("block")
-        done.append(rows.join(large, "block", "left_anti").select("block", F.lit(0).alias("side"), "form"))
-        rows = cut(_finer(rows.join(large, "block", "left_semi")))
-    parts = rows.groupBy("block").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
-    dealt = rows.join(parts, "block").withColumn("side", F.pmod(F.xxhash64("form"), F.col("parts")).cast("int"))
+        large = rows.groupBy("number").agg(F.count("*").alias("n")).where(F.col("n") > block).select("number")
+        done.append(rows.join(large, "number", "left_anti").select("block", F.lit(0).alias("side"), "form"))
+        rows = cut(_numbered(_finer(rows.join(large, "number", "left_semi"))))
+    parts = rows.groupBy("number").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    dealt = rows.join(parts, "number").withColumn("side", F.pmod(F.xxhash64("form"), F.col("parts")).cast("int"))
     across, one_word = F.split("block", "\t")[1] == "<", F.size(F.split("form", "\t")) == 2
     every = F.sequence(F.lit(0), F.col("parts") - 1)
     pair = dealt.withColumn("with", F.explode(F.when(across & ~one_word, F.array("side")).otherwise(every)))
@@ -440,19 +445,19 @@ def _compare(blocks: DataFrame) -> DataFrame:
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def runs():
-            name, held = None, []
+            last, held = None, {}
             for batch in batches:
-                for b, s, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    if b != name:
-                        if len(held) > 1:
-                            yield name, held
-                        name, held = b, []
-                    held.append((s, v))
-            if len(held) > 1:
-                yield name, held
+                for n, b, s, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if n != last:
+                        yield from held.items()
+                        last, held = n, {}
+                    held.setdefault(b, []).append((s, v))
+            yield from held.items()
 
         out: list[tuple] = []
         for name, held in runs():
+            if len(held) < 2:
+                continue
             field = _BY_LETTER[name[0]]
             read = [(s, f, _read(f)) for s, f in held]
             _, sort, _, _, *sides = name.split("\t")
@@ -473,7 +478,7 @@ def _compare(blocks: DataFrame) -> DataFrame:
                         out = []
         yield _table(out, *_LINKS)
 
-    ordered = blocks.repartition(_tasks(blocks), "block").sortWithinPartitions("block")
+    ordered = _numbered(blocks).select("number", "block", "side", "form").repartition(_tasks(blocks), "number").sortWithinPartitions("number")
     return ordered.mapInArrow(links, "a string, b string, how int").distinct()
 
 
