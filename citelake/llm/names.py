@@ -426,10 +426,11 @@ def _blocks(spelt: DataFrame, block: int, part: int) -> DataFrame:
     rows = cut(_numbered(_finer(spelt.select(F.lit(None).cast("string").alias("block"), "form").distinct())))
     done = []
     for _ in range(2):
-        large = rows.groupBy("number").agg(F.count("*").alias("n")).where(F.col("n") > block).select("number")
-        done.append(rows.join(large, "number", "left_anti").select("block", F.lit(0).alias("side"), "form"))
-        rows = cut(_numbered(_finer(rows.join(large, "number", "left_semi"))))
-    parts = rows.groupBy("number").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+        shared = rows.groupBy("number").agg(F.count("*").alias("n")).where("n > 1")  # a form alone has no partner here
+        rows = cut(rows.join(shared, "number"))
+        done.append(rows.where(F.col("n") <= block).select("block", F.lit(0).alias("side"), "form"))
+        rows = cut(_numbered(_finer(rows.where(F.col("n") > block))))
+    parts = rows.groupBy("number").agg(F.count("*").alias("n")).where("n > 1").select("number", F.ceil(F.col("n") / part).cast("int").alias("parts"))
     dealt = rows.join(parts, "number").withColumn("side", F.pmod(F.xxhash64("form"), F.col("parts")).cast("int"))
     across, one_word = F.split("block", "\t")[1] == "<", F.size(F.split("form", "\t")) == 2
     every = F.sequence(F.lit(0), F.col("parts") - 1)
