@@ -71,6 +71,17 @@ def _load_group(store: Store, todo: list[tuple[str, str]], keep_staging: bool) -
     return len(good), failed
 
 
+def load_file(store: Store, path: str, kind: str) -> int:
+    """Load one file, due or not; the number of its articles after the last record of each pmid is kept.  A file that can't be read raises."""
+    _, failed = load_files(store, [(path, kind)], force=True)
+    if failed:
+        raise ValueError(f"can't load {path}")
+    row = store.registry().where(F.col("file_name") == path.rsplit("/", 1)[-1]).select("n_articles").first()
+    if row is None:
+        raise ValueError(f"not a release file name: {path}")
+    return row["n_articles"]
+
+
 def load_journals(store: Store, path: str) -> int:
     """Replace the journal tables by the overview's; an overview without any journal leaves them and gives 0."""
     new = journals.read(store.spark, path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import loading
 from ..files import Files
 from ..session import read_table, scratch
+from ..sinks import exports
 from ..sources import journals
 from ..store import Store, local_files
 
@@ -128,7 +129,15 @@ def q39_journals(spark: SparkSession, sf: str) -> DataFrame:
     return journals.read(spark, f"{at}/overview")["journal"].select("nlm_catalog_id", "title", "abbreviation_medline", "abbreviation_iso")
 
 
-QUERIES = {f.__name__: f for f in (q36_load_round_trip, q39_journals)}
+def q40_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """The list of pmids written in order and read back, with its lines counted."""
+    at = f"{scratch(spark)}/pmids.txt.gz"
+    exports.write_manifest(read_table(spark, sf, "article").select("pmid"), at)
+    n = spark.read.text(at).count()
+    return exports.read_manifest(spark, at).withColumn("n_lines", F.lit(n).cast("bigint"))
+
+
+QUERIES = {f.__name__: f for f in (q36_load_round_trip, q39_journals, q40_manifest)}
 
 
 def _flat(x: str) -> str:
@@ -166,5 +175,6 @@ named as (select *, row_number() over (partition by pmid, source_file, position)
         "select 'registry deletions', f, (select count(*) from deleted_pmid where source_file = f and pmid is not null), 0 from (select source_file as f from article union select source_file from deleted_pmid)",
         "select 'registry failed', f, (select count(*) from article where source_file = f) - (select count(*) from usable where source_file = f), 0 from (select source_file as f from article union select source_file from deleted_pmid)",
     ]),
+    "q40_manifest": "select distinct pmid, (select count(distinct pmid) from article) as n_lines from article",
     "q39_journals": f"select nlm_catalog_id, {_flat('title')} as title, {_flat('abbreviation_medline')} as abbreviation_medline, {_flat('abbreviation_iso')} as abbreviation_iso from journal where {_flat('nlm_catalog_id')} is not null",
 }

@@ -105,6 +105,15 @@ def test_broken_file_is_left_out_and_stays_due(loaded, data_dir):
     assert loading.load_files(loaded, files) == (0, ["pubmed30n0004.xml.gz"])
 
 
+def test_one_file(store, data_dir):
+    path = str(data_dir / "baseline/pubmed30n0001.xml.gz")
+    assert loading.load_file(store, path, "baseline") == 3 and loading.load_file(store, path, "baseline") == 3
+    (data_dir / "baseline/pubmed30n0009.xml.gz").write_text("<broken")
+    for bad in ("pubmed30n0009.xml.gz", "notes.xml.gz"):
+        with pytest.raises(ValueError):
+            loading.load_file(store, str(data_dir / "baseline" / bad), "baseline")
+
+
 def test_journals(loaded, data_dir):
     assert rows(loaded.table("journal"), "nlm_catalog_id", "title", "abbreviation_iso") == [("100001", "Journal: One", "J. One"), ("200002", "Two", None)]
     assert rows(loaded.table("journal_issn"), "nlm_catalog_id", "issn", "issn_type") == [("100001", "1111-2222", "Print"), ("100001", "3333-4444", "Electronic")]
