@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import loading
 from ..files import Files
-from ..session import read_table, scratch
+from ..session import cut, read_table, scratch
 from ..sinks import exports
 from ..sources import journals
 from ..store import Store, local_files
@@ -50,8 +50,13 @@ def _joined(df: DataFrame, element: Column, name: str, *order: str) -> DataFrame
     return rows.select(*VERSION, F.array_join(F.transform("all", lambda s: s["x"]), "").alias(name))
 
 
-def release(spark: SparkSession, sf: str) -> str:
-    """A data folder of release files, one a source file, with the articles (every loaded row), their children and the deletions; its path."""
+#: Records in one written file; a source file with more is written as several, whose numbers are a million apart.
+RECORDS, PIECES = 5_000, 2_000
+
+
+def release(spark: SparkSession, sf: str, records: int = RECORDS) -> tuple[str, DataFrame]:
+    """A data folder of release files with the articles (every loaded row), their children and the deletions: its path, and (file_name, of), the
+    written files and the source file of each.  All rows of a pmid in a source file are in one file."""
     t = lambda n: read_table(spark, sf, n)
     places = _el("AffiliationInfo", _value("Affiliation", "affiliation"))
     places = t("author_affiliation").groupBy(*VERSION, "position").agg(F.array_join(F.array_sort(F.collect_list(places)), "").alias("places"))
@@ -79,19 +84,25 @@ def release(spark: SparkSession, sf: str) -> str:
     )
     number = _el("ArticleIdList", _el("ArticleId", _text("issn_linking"), F.lit(' IdType="doi"'), where=F.col("issn_linking").isNotNull()))
     record = _el("PubmedArticle", F.concat(_el("MedlineCitation", cite), _el("PubmedData", F.concat(_el("History", _day("PubMedPubDate", "date_revised")), number))))
-    gone = t("deleted_pmid").select("source_file", F.lit(None).cast("timestamp").alias("at"), _el("DeleteCitation", _el("PMID", F.col("pmid").cast("string"))).alias("x"))
-    every = a.select("source_file", F.col("loaded_at").cast("timestamp").alias("at"), record.alias("x")).unionByName(gone)
-    files = every.groupBy("source_file").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("all"))
-    files = files.select("source_file", _el("PubmedArticleSet", F.array_join(F.transform("all", lambda s: s["x"]), "")).alias("value"))
+    gone = t("deleted_pmid").select("pmid", "source_file", F.lit(None).cast("timestamp").alias("at"), _el("DeleteCitation", _el("PMID", F.col("pmid").cast("string"))).alias("x"))
+    every = a.select("pmid", "source_file", F.col("loaded_at").cast("timestamp").alias("at"), record.alias("x")).unionByName(gone)
+    keys = t("article").select("source_file").unionByName(t("deleted_pmid").select("source_file"))
+    sizes = keys.groupBy("source_file").agg(F.least(F.lit(1) + F.floor(F.count("*") / records), F.lit(PIECES)).alias("pieces"))
+    every = every.join(sizes, "source_file").withColumn("piece", F.pmod(F.xxhash64("pmid"), F.col("pieces")))
+    stem, digits = (F.regexp_extract("source_file", r"\A(pubmed\d\dn)(\d+)", i) for i in (1, 2))
+    name = F.concat(stem, (F.col("piece") * 1_000_000 + digits.cast("bigint")).cast("string"), F.lit(".xml.gz"))
+    every = every.withColumn("file_name", F.when(F.col("piece") == 0, F.col("source_file")).otherwise(name))
+    files = every.groupBy("file_name").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("all"), F.first("source_file").alias("of"))
+    files = cut(files.select("file_name", "of", _el("PubmedArticleSet", F.array_join(F.transform("all", lambda s: s["x"]), "")).alias("value")))
     folder = scratch(spark)
-    files.write.partitionBy("source_file").option("lineSep", "\n").text(f"{folder}/parts")
+    files.select("file_name", "value").write.partitionBy("file_name").text(f"{folder}/parts")
     fs = Files(spark, folder)
     fs.mkdirs(f"{folder}/updatefiles")
     for name in fs.names(f"{folder}/parts"):
-        if name.startswith("source_file="):
+        if name.startswith("file_name="):
             part = next(n for n in fs.names(f"{folder}/parts/{name}") if n.startswith("part-"))
-            fs.move(f"{folder}/parts/{name}/{part}", f"{folder}/updatefiles/{name.removeprefix('source_file=')}")
-    return folder
+            fs.move(f"{folder}/parts/{name}/{part}", f"{folder}/updatefiles/{name.removeprefix('file_name=')}")
+    return folder, files.select("file_name", "of")
 
 
 def _window(*order: str):
@@ -108,16 +119,17 @@ COUNTED = {
 }
 
 
-def q36_load_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+def q36_load_round_trip(spark: SparkSession, sf: str, records: int = RECORDS) -> DataFrame:
     """Every table of citations written as release files, loaded, and counted per table and file: rows and characters; the registry's counts beside them."""
-    folder = release(spark, sf)
+    folder, names = release(spark, sf, records)
     store = Store(spark, f"{folder}/store")
     loading.load_files(store, local_files(store, folder), group=1_000)
     chars = lambda cols: F.sum(reduce(lambda x, y: x + y, [F.coalesce(F.length(c), F.lit(0)) for c in cols], F.lit(0))).cast("bigint")
     out = [store.table(t).groupBy("source_file").agg(F.count("*").alias("n"), chars(cols).alias("n_chars")).select(F.lit(t).alias("table_name"), "source_file", "n", "n_chars") for t, cols in COUNTED.items()]
     counts = {"registry articles": "n_articles", "registry deletions": "n_deletions", "registry failed": "n_failed"}
     out += [store.registry().select(F.lit(k).alias("table_name"), F.col("file_name").alias("source_file"), F.col(c).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("n_chars")) for k, c in counts.items()]
-    return reduce(DataFrame.unionByName, out)
+    found = reduce(DataFrame.unionByName, out).join(names.withColumnRenamed("file_name", "source_file"), "source_file")
+    return found.groupBy("table_name", F.col("of").alias("source_file")).agg(F.sum("n").alias("n"), F.sum("n_chars").alias("n_chars"))
 
 
 def q39_journals(spark: SparkSession, sf: str) -> DataFrame:
