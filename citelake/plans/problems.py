@@ -108,10 +108,14 @@ def _list(x: str) -> str:
     return f"""case when json_type({x}) = 'ARRAY' then json_extract({x}, '$[*]') when {x} is null or json_type({x}) = 'NULL' or {x}::varchar = '""' then []::json[] else [{x}] end"""
 
 
+#: A payload that is a JSON object; json_type isn't asked of anything else, where it would raise.
+_READABLE = "coalesce(case when json_valid(payload) then json_type(payload) = 'OBJECT' end, false)"
+
+
 def _p2_lists(source: str) -> str:
     """Members of each list of the citation, as a chain of common tables."""
     return f"""
-recs as (select record_id, payload::json as j from {source} r where json_valid(payload) and json_type(payload) = 'OBJECT'),
+recs as (select record_id, payload::json as j from {source} r where {_READABLE}),
 lists as (
   select record_id, {_list("json_extract(j, '$.MedlineCitation.Article.AuthorList.Author')")} as au,
     {_list("json_extract(j, '$.MedlineCitation.MeshHeadingList.MeshHeading')")} as me, {_list("json_extract(j, '$.MedlineCitation.Article.Abstract.AbstractText')")} as se from recs),
@@ -151,7 +155,7 @@ s as (
   union all select record_id, case when {_scalar("x")} then 'qualifier_text' when json_type(x) = 'ARRAY' then 'other' else 'qualifier_object' end from qux where json_type(x) <> 'NULL'
   union all select record_id, case when {_scalar("x")} then 'section_text' when {_member("value")} and {_member("Label")} then 'section_labelled' when {_member("value")} then 'section_plain' else 'other' end
   from se where json_type(x) <> 'NULL'
-  union all select record_id, 'reject' from raw_record where not coalesce(json_valid(payload) and json_type(payload) = 'OBJECT', false))
+  union all select record_id, 'reject' from raw_record where not {_READABLE})
 select subtype, count(*) as n, count(distinct record_id) as n_records from s group by subtype
 """
 
