@@ -138,3 +138,54 @@ def test_components_of_a_chain(spark):
     got = {r["value"]: r["root"] for r in N.components(links).collect()}
     assert set(got) == {f"{i:03d}" for i in range(61)} | {"x", "y"} and {got[f"{i:03d}"] for i in range(61)} == {"000"} and got["y"] == "x"
     assert N.components(links.limit(0)).count() == 0
+
+
+def invented(rng, n_families, n_departments):
+    """(spelling, entity) of persons and departments made up of syllables: reordered, in capitals, with titles, accents, initials, short forms and slips; several
+    persons share each family name."""
+    syllables = [c + v for c in "bdfgklmnprstvz" for v in "aeiou"]
+    word = lambda n: "".join(rng.choice(syllables) for _ in range(n)).title()
+    accents = str.maketrans("aeou", "áèöû")
+
+    def slip(w):
+        i = rng.randrange(1, len(w) - 1)
+        return rng.choice([w[:i] + w[i + 1 :], w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + rng.choice("aeirst") + w[i:], w[:i] + rng.choice("bcdgkm") + w[i + 1 :]])
+
+    people, places = [], []
+    short = [line.split() for line in N.SHORT_FORMS.replace("\n", " ").split(";")]
+    for f in range(n_families):
+        family, initials = word(rng.choice([3, 4])), set()
+        for _ in range(3):
+            formal, *nick = rng.choice(short) if rng.random() < 0.3 else [word(3).lower()]
+            given = formal.title()
+            if given[0] in initials:
+                continue  # two of one family with one initial can't be told apart by it
+            initials.add(given[0])
+            forms = [f"{given} {family}", f"{family}, {given}", f"{family.upper()} {given}", f"Dr {given} {family}", f"{given} {family}, MD", f"{given} {slip(family)}", f"{slip(given)} {family}",
+                     f"{given[0]}. {family}", f"{family} {given[0]}", f"{given} {family}".translate(accents), *(f"{x.title()} {family}" for x in nick[:1])]
+            people += [(x, (f, given)) for x in rng.sample(forms, 5)]
+    kinds = [("University", "Univ."), ("Medical School", "Med Sch"), ("Institute of Technology", "Inst. of Technol.")]
+    for d in range(n_departments):
+        place, country = word(4), word(3) + "land"
+        for topic in (f"{word(4)} {word(3)}", f"{word(3)} and {word(4)}"):
+            kind, abbreviated = rng.choice(kinds)
+            forms = [f"Department of {topic}, {place} {kind}, {place}, {country}.", f"Dept. of {topic}; {place} {abbreviated}, {country}", f"{place} {kind}, Department of {topic}, {place}", f"DEPARTMENT OF {topic.upper()}, {place.upper()} {kind.upper()}",
+                     f"Department of {slip(topic)}, {place} {kind}, {country}", f"Dep of {topic}, {slip(place)} {abbreviated}", f"Unit of {topic.replace(' and ', ' & ')}, {place} {kind}, 12345 {place}"]
+            places += [(x, (d, topic)) for x in rng.sample(forms, 4)]
+    return people, places
+
+
+def test_recall_and_precision_on_invented_spellings(spark):
+    rng = random.Random(11)
+    people, places = invented(rng, 120, 60)
+    values = [("name", v) for v, _ in people] + [("affiliation", v) for v, _ in places]
+    got = {(r["field"], r["spelling_a"], r["spelling_b"]) for r in N.pairs(N.entities(spark.createDataFrame(values, "field string, value string"))).collect()}
+    for field, rows in (("name", people), ("affiliation", places)):
+        entity = {}
+        for v, e in rows:
+            entity.setdefault(v, set()).add(e)
+        true = {(field, a, b) for a in entity for b in entity if a < b and entity[a] & entity[b]}
+        mine = {p for p in got if p[0] == field}
+        recall, precision = len(true & mine) / len(true), len(true & mine) / len(mine)
+        print(field, len(true), "pairs, recall", round(recall, 3), "precision", round(precision, 3))
+        assert recall > 0.95 and precision > 0.99
