@@ -302,6 +302,15 @@ def q18_pub_date(spark, sf):
     return _t(spark, sf, "article").groupBy(*parts, dates.pub_date(*parts).alias("pub_date")).agg(F.count("*").alias("n"))
 
 
+@query(f"""with {_dated('article')}, w as (select distinct pub_date, string_split(pub_date, ' ') as w from dated)
+select pub_date, array_to_string(list_concat([w[1]], case when len(w) > 1 then [{_month('w[2]')}] else [] end,
+  case when len(w) > 2 then [case when regexp_full_match({_strip('w[3]')}, '[0-9]+') then coalesce(nullif(ltrim({_strip('w[3]')}, '0'), ''), '0') else {_strip('w[3]')} end] else [] end, w[4:]), ' ') as comparable from w""")
+def q18_comparable_date(spark, sf):
+    """Rendered dates as the field check compares them."""
+    d = _t(spark, sf, "article").select(dates.pub_date(*[F.col(c) for c in ("pub_year", "pub_month", "pub_day", "medline_date")]).alias("pub_date")).distinct()
+    return d.select("pub_date", dates.comparable_date(F.col("pub_date")).alias("comparable"))
+
+
 @query(f"select doc_id, length({_strip('text')}) as n_stripped, length({_collapse('text')}) as n_collapsed from documents")
 def q19_whitespace(spark, sf):
     """Strip and collapse white space."""
@@ -421,12 +430,30 @@ _COMPARED = ("article_title", "volume", "issue", "pub_year")
 )
 def q29_mismatch_kinds(spark, sf):
     """Differences of current versions from the other copy by field and kind, as the field check counts them."""
+    return fields.tally(_against_mirror(spark, sf)).select("field", "kind", "n")
+
+
+@query(
+    f"with {_LATEST}, o as (select pmid, source_file, {', '.join(f'min({f}) as {f}' for f in _COMPARED)} from article_mirror group by all), e as (select la.* from la), "
+    f"p as (select {', '.join(f'coalesce({_collapse(s + chr(46) + f)}, {chr(39) * 2}) as {s}_{f}' for f in _COMPARED for s in 'eo')} from e join o on e.pmid = o.pmid and e.source_file = o.source_file) "
+    + " union all ".join(f"select 'core' as tier, '{f}' as field, count(*) as n, count(*) filter (where e_{f} <> o_{f}) as wrong from p" for f in _COMPARED)
+    + "".join(f" union all select '{tier}', '{f}', count(*), 0 from p" for tier, f in (*(("core", f) for f in ("pub_month", "pub_day")), *(("soft", f) for f in fields.SOFT), ("identifiers", "identifiers")))
+    + " union all select 'absent', '', (select count(*) from e) - count(*), 0 from p"
+)
+def q29_comparisons(spark, sf):
+    """Comparisons and differences by tier and field, from which the mismatch rate follows; records the other side lacks are absent."""
+    per = _against_mirror(spark, sf).groupBy("tier", "field")
+    return per.agg(F.count("*").alias("n"), F.count_if("differs").alias("wrong"))
+
+
+def _against_mirror(spark, sf) -> DataFrame:
+    """The field check's comparison of current versions with the other copy's rows of the same version."""
     la = versions.latest(_t(spark, sf, "article"), _t(spark, sf, "deleted_pmid"))
     other = _t(spark, sf, "article_mirror").groupBy(*versions.VERSION).agg(*[F.min(f).alias(f) for f in _COMPARED])
     blank = {f: F.array().cast("array<string>") if f == "identifiers" else F.lit("") for f in documents.FIELDS}
     docs = lambda df: df.select("pmid", *[(F.col(f) if f in _COMPARED else c).alias(f) for f, c in blank.items()])
     same = other.join(la.select(*versions.VERSION), list(versions.VERSION), "left_semi")
-    return fields.tally(fields.compare(docs(la), docs(same), 0.9)).select("field", "kind", "n")
+    return fields.compare(docs(la), docs(same), 0.9)
 
 
 # ---- the document
