@@ -101,8 +101,12 @@ TABLES = {
 SUPERTYPE = {"author": "author", "affiliation": "author_affiliation", "qualifier": "mesh_qualifier", "section": "abstract_text"}
 
 
-def _at(node, path: str):
-    for name in path.split(".") if path else ():
+def _names(path: str) -> tuple[str, ...]:
+    return tuple(path.split(".")) if path else ()
+
+
+def _at(node, names: tuple[str, ...]):
+    for name in names:
         node = node.get(name) if isinstance(node, dict) else None
     return node
 
@@ -113,7 +117,12 @@ def state(node, depth: int = 3) -> str:
         return "absent"
     if isinstance(node, dict):
         below = {m: state(node[m], depth - 1) for m in ALPHABET if m in node} if depth else {}
-        return next(r.state for r in RULES if all(below.get(m) in allowed for m, allowed in r.members.items()))
+        for r in RULES:
+            for m, allowed in r.members.items():
+                if below.get(m) not in allowed:
+                    break
+            else:
+                return r.state
     if isinstance(node, list):
         found = {state(x, depth - 1) for x in node if x is not None} if depth else {"mixed"}
         return "empty" if not found else f"many:{found.pop()}" if len(found) == 1 else "mixed"
@@ -125,9 +134,11 @@ def members(node) -> list:
     return node if isinstance(node, list) else [] if node is None or node == "" else [node]
 
 
-def _value(node, path: str):
+def _value(node, names: tuple[str, ...]):
     """A member as text, whatever scalar it is; of an object its ``value``."""
-    x = node if not path or not isinstance(node, dict) else _at(node, path)
+    x = _at(node, names) if names and isinstance(node, dict) else node
+    if isinstance(x, str):
+        return x
     x = x.get("value") if isinstance(x, dict) else x
     if x is None or isinstance(x, (list, dict)):
         return None
@@ -143,6 +154,10 @@ def read(payload: str | None) -> dict | None:
     return doc if isinstance(doc, dict) else None
 
 
+_PLACES = {sort: (tuple(map(_names, paths)), first) for sort, (paths, _, first) in LISTS.items()}
+_BELOW = {at: tuple(s for s, (_, parent, _) in LISTS.items() if parent == at) for at in (None, *LISTS)}
+
+
 def classify(doc: dict) -> Iterator[tuple[str, str, int, int, object]]:
     """(sort, subtype, parent_pos, child_pos, node) of the citation's own lists, parents before children.
 
@@ -151,19 +166,17 @@ def classify(doc: dict) -> Iterator[tuple[str, str, int, int, object]]:
     """
 
     def walk(sort: str, node, parent_pos: int):
-        paths, _, first = LISTS[sort]
+        paths, first = _PLACES[sort]
         for place, x in enumerate((x for p in paths for x in members(_at(node, p))), first):
             if x is None:
                 continue
             yield sort, ROUTES.get((sort, state(x)), "other"), parent_pos, place, x
             if isinstance(x, dict):
-                for below, (_, parent, _) in LISTS.items():
-                    if parent == sort:
-                        yield from walk(below, x, place)
+                for below in _BELOW[sort]:
+                    yield from walk(below, x, place)
 
-    for sort, (_, parent, _) in LISTS.items():
-        if parent is None:
-            yield from walk(sort, doc, 0)
+    for sort in _BELOW[None]:
+        yield from walk(sort, doc, 0)
 
 
 _COLUMNS = [*dict.fromkeys(c for cols in COLUMNS.values() for c in cols), "content"]
@@ -175,30 +188,28 @@ def nodes(records: DataFrame, columns: list[str] | None = None) -> DataFrame:
     An unreadable payload is one row of the sort ``reject``.
     """
     columns = _COLUMNS if columns is None else columns
-    wanted = {s: [(c, COLUMNS[s][c]) for c in columns if c in COLUMNS[s]] for s in COLUMNS}
-    strings = ["sort", "subtype", *columns]
+    head = ("record_id", "parent_pos", "child_pos", "sort", "subtype")
+    kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * (2 + len(columns))]
+    wanted = {s: [(len(head) + i, _names(COLUMNS[s][c])) for i, c in enumerate(columns) if c in COLUMNS[s]] for s in COLUMNS} | {"reject": []}
+    content = len(head) + columns.index("content") if "content" in columns else None
+    blank = [None] * len(columns)
 
     def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("record_id", "parent_pos", "child_pos", *strings)}
+            rows = []
             for rid, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 doc = read(payload)
-                rows = [("reject", "reject", 0, 0, None)] if doc is None else classify(doc)
-                for sort, subtype, parent, place, node in rows:
-                    out["record_id"].append(rid)
-                    out["sort"].append(sort)
-                    out["subtype"].append(subtype)
-                    out["parent_pos"].append(parent)
-                    out["child_pos"].append(place)
-                    here = {c: _value(node, path) for c, path in wanted.get(sort, ())}
-                    if subtype == "other":
-                        here["content"] = json.dumps(node)
-                    for c in columns:
-                        out[c].append(here.get(c))
-            kinds = {"record_id": pa.int64(), "parent_pos": pa.int32(), "child_pos": pa.int32()}
-            yield pa.RecordBatch.from_pydict({k: pa.array(v, kinds.get(k, pa.string())) for k, v in out.items()})
-
-    schema = "record_id bigint, parent_pos int, child_pos int, " + ", ".join(f"{c} string" for c in strings)
+                for sort, subtype, parent, place, node in [("reject", "reject", 0, 0, None)] if doc is None else classify(doc):
+                    row = [rid, parent, place, sort, subtype, *blank]
+                    for i, names in wanted[sort]:
+                        row[i] = _value(node, names)
+                    if subtype == "other" and content is not None:
+                        row[content] = json.dumps(node)
+                    rows.append(row)
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], [*head, *columns])
+
+    schema = "record_id bigint, parent_pos int, child_pos int, " + ", ".join(f"{c} string" for c in (*head[3:], *columns))
     return records.select(F.col("record_id").cast("bigint"), F.col("payload").cast("string")).mapInArrow(flatten, schema)
 
 
