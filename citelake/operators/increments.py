@@ -69,7 +69,8 @@ def processed_ledger(log: DataFrame, ledger: DataFrame | None = None, mark=None)
 
 
 def pending(registry: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Registry rows to take now with all their columns, and in ``reason``: ``never_processed``, ``version_changed`` or ``newer_download``.
+    """Registry rows to take now with all their columns, and in ``reason`` (in place of a column of that name): ``never_processed``,
+    ``version_changed`` or ``newer_download``.
 
     Rows without ``downloaded_at`` are never due.  A row whose (key, version) pair stands in the ledger is
     removed by the anti-join unless it was never processed.  Of the rest, a row whose two versions are both known is

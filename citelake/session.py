@@ -31,7 +31,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        shared = sc.getConf().get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
             if not sc.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
