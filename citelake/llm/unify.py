@@ -234,7 +234,7 @@ def plain_form(column: Column, t: Transducer | None = None) -> Column:
 
 
 def not_plain(df: DataFrame, text: str) -> DataFrame:
-    """Rows whose ``text`` isn't in its consistent form, with that form in a new column ``plain``; all other columns kept.
+    """Rows whose ``text`` isn't in its consistent form, with that form in the column ``plain``, in place of one of that name; all other columns kept.
 
     Null, empty and ASCII texts are plain.  Repeated rows stay repeated.
     """
