@@ -145,12 +145,16 @@ def _pack(parts: int, gathered: list[tuple], most: int) -> pa.RecordBatch:
     doc, pos, h, check = (np.concatenate(x) for x in zip(*gathered, strict=True)) if gathered else (np.empty(0, np.int64),) * 4
     rows: list[tuple] = []
     if len(h):
-        order = np.lexsort((doc, h))
-        new = h[order][1:] != h[order][:-1]
-        first = np.flatnonzero(np.concatenate([[True], new]))
-        rank = np.arange(len(h)) - np.repeat(first, np.diff(np.append(first, len(h))))
         over = np.zeros(len(h), bool)
-        over[order[(rank >= most) & np.concatenate([~new, [False]])]] = True
+        ranked = np.sort(h)
+        heavy = np.unique(ranked[most:][ranked[most:] == ranked[: len(h) - most]]) if most < len(h) else ranked[:0]
+        if len(heavy):
+            many = np.flatnonzero(np.isin(h, heavy))
+            order = many[np.lexsort((doc[many], h[many]))]
+            new = h[order][1:] != h[order][:-1]
+            first = np.flatnonzero(np.concatenate([[True], new]))
+            rank = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+            over[order[(rank >= most) & np.concatenate([~new, [False]])]] = True
         keep, second = ~over, check if len(check) else None
         rows += _rows((h[keep] % np.uint64(parts)).astype(np.int32), False, doc[keep], pos[keep], h[keep], check[keep] if second is not None else check)
         rows += _rows((doc[over] % parts).astype(np.int32), True, doc[over], pos[over], h[over], check[over] if second is not None else check)
