@@ -200,6 +200,26 @@ def test_transactions_the_registry_does_not_know_hold_state_back(spark):
     assert rows(changes.replay(up, up.limit(0), registry), "pmid", "source_file") == [(1, "a")]
 
 
+def test_no_watermark_is_sought_without_a_registry(spark):
+    """Nothing could be held back, so no job runs before the state is asked for; with a registry the gap holds."""
+    up = feed(spark, (1, 25000001, "a"), (1, 25000003, "c"), (2, 25000001, "a"))
+    registry = spark.createDataFrame([(25000001, 2), (25000002, 1), (25000003, 1)], "file_order_key bigint, expected_rows int")
+    sc = spark.sparkContext
+
+    def replayed(group, *registry):
+        sc.setJobGroup(group, group)
+        try:
+            state = changes.replay(up, up.limit(0), *registry)
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        sc._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+        return len(sc.statusTracker().getJobIdsForGroup(group)), rows(state, "pmid", "source_file")
+
+    jobs, state = replayed("with a registry", registry)
+    assert jobs and state == [(1, "a"), (2, "a")]
+    assert replayed("without a registry") == (0, [(1, "c"), (2, "a")])
+
+
 def test_replay_against_brute_force(spark):
     rng = random.Random(3)
     up = [(rng.randrange(40), rng.randrange(30), None) for _ in range(300)]
