@@ -31,7 +31,17 @@ class Files:
         return sorted(x for x in every if not x[0].startswith("."))
 
     def names(self, path: str) -> list[str]:
-        return [n for n, _, _ in self.list(path)]
+        """The names ``list`` gives, in one call to the JVM however many there are."""
+        if not self.exists(path):
+            return []
+        found = self._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(self._fs.listStatus(self._at(path)))
+        every = self._jvm.scala.collection.mutable.ArraySeq.make(found).mkString("//\n")  # no path has this
+        return sorted(n for n in (p.rsplit("/", 1)[-1] for p in every.split("//\n")) if n and not n.startswith("."))
+
+    def mean(self, folders: set[str]) -> int:
+        """The average number of bytes of the files below the folders."""
+        found = [self._fs.getContentSummary(self._at(f)) for f in folders]
+        return sum(s.getLength() for s in found) // max(1, sum(s.getFileCount() for s in found))
 
     def uri(self, path: str) -> str:
         """The path with its scheme."""

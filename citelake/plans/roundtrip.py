@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import gzip
+import uuid
+from collections.abc import Iterator
 from functools import reduce
+from itertools import groupby, pairwise
+from operator import itemgetter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import loading
 from ..files import Files
-from ..session import cut, read_table, scratch
+from ..session import read_table, scratch
 from ..sinks import exports
 from ..sources import journals
 from ..store import Store, local_files
 
-VERSION = ["pmid", "source_file"]
-
 
 def _text(c: Column | str) -> Column:
     """Escaped for XML; NULL gives nothing."""
@@ -44,71 +49,156 @@ def _day(name: str, c: str) -> Column:
     return _el(name, F.concat(*parts), where=F.col(c).isNotNull())
 
 
-def _joined(df: DataFrame, element: Column, name: str, *order: str) -> DataFrame:
-    """(pmid, source_file, name): each version's elements as one text."""
-    rows = df.select(*VERSION, F.struct(*order, element.alias("x")).alias("s")).groupBy(*VERSION).agg(F.array_sort(F.collect_list("s")).alias("all"))
-    return rows.select(*VERSION, F.array_join(F.transform("all", lambda s: s["x"]), "").alias(name))
-
-
 #: Records in one written file; a source file with more is written as several, whose numbers are a million apart.
 RECORDS, PIECES = 5_000, 2_000
+#: Bytes of release files that are at least loaded together.
+LOADED = 64 << 20
 
+#: What no text can hold, as its ``<`` are escaped.
+CUT = "<>"
 
-def release(spark: SparkSession, sf: str, records: int = RECORDS) -> tuple[str, DataFrame]:
-    """A data folder of release files with the articles (every loaded row), their children and the deletions: its path, and (file_name, of), the
-    written files and the source file of each.  All rows of a pmid in a source file are in one file."""
+# What a row is a part of; a deletion stands for itself.
+_ARTICLE, _SECTION, _AUTHOR, _PLACE, _TOPIC, _DELETED = range(6)
+
+
+def _parts(spark: SparkSession, sf: str) -> DataFrame:
+    """(pmid, source_file, part, place, at, x): the texts of every article (before, between and after its lists, with ``CUT`` where these go), of their
+    children (a person's without its end, as affiliations come before it) and of the deletions."""
     t = lambda n: read_table(spark, sf, n)
-    places = _el("AffiliationInfo", _value("Affiliation", "affiliation"))
-    places = t("author_affiliation").groupBy(*VERSION, "position").agg(F.array_join(F.array_sort(F.collect_list(places)), "").alias("places"))
-    first = F.row_number().over(_window("position")) == 1  # repeated authors of a position: the first has the affiliations
-    who = t("author").withColumn("first", first).join(places, [*VERSION, "position"], "left").withColumn("places", F.when(F.col("first"), F.col("places")))
-    person = F.concat(_value("LastName", "name"), _el("Identifier", _text("orcid"), F.lit(' Source="ORCID"'), where=F.col("orcid").isNotNull()), F.coalesce("places", F.lit("")))
-    valid = F.when(F.col("valid"), ' ValidYN="Y"').otherwise(' ValidYN="N"')
-    author = F.when(F.col("kind") == "collective", _el("Author", _value("CollectiveName", "name"))).otherwise(_el("Author", person, valid))
-    major = F.when(F.col("major_topic"), ' MajorTopicYN="Y"').otherwise(' MajorTopicYN="N"')
-    qualifier = _el("QualifierName", _text("qualifier_name"), _at("UI", "qualifier_ui"), major)
-    heading = _el("MeshHeading", F.concat(_el("DescriptorName", F.lit("topic"), _at("UI", "descriptor_ui")), qualifier))
-    children = [
-        _joined(t("abstract_text"), _el("AbstractText", _text("text"), _at("Label", "label"), _at("NlmCategory", "nlm_category")), "sections", "seq"),
-        _joined(who, author, "people", "position"), _joined(t("mesh_qualifier"), heading, "topics"),
-    ]
-    a = reduce(lambda x, y: x.join(y, VERSION, "left"), children, t("article"))
     date = F.concat(*[_value(n, c) for n, c in (("Year", "pub_year"), ("Month", "pub_month"), ("Day", "pub_day"), ("MedlineDate", "medline_date"))])
     issue = _el("Journal", _el("JournalIssue", F.concat(_value("Volume", "volume"), _value("Issue", "issue"), _el("PubDate", date))))
-    lists = [_el(n, F.coalesce(c, F.lit(""))) for n, c in (("Abstract", F.col("sections")), ("AuthorList", F.col("people")))]
-    kinds = _el("PublicationTypeList", F.lit('<PublicationType UI="D016428">x</PublicationType>'))
-    cite = F.concat(
-        _el("PMID", F.col("pmid").cast("string"), F.concat(F.lit(' Version="'), F.coalesce(F.col("pmid_version"), F.lit(1)).cast("string"), F.lit('"'))), _day("DateCompleted", "date_completed"),
-        _day("DateRevised", "date_revised"), _el("Article", F.concat(issue, _value("ArticleTitle", "article_title"), *lists, kinds)),
-        _el("MedlineJournalInfo", F.concat(_value("NlmUniqueID", "nlm_catalog_id"), _value("ISSNLinking", "issn_linking"))), _el("MeshHeadingList", F.coalesce("topics", F.lit(""))),
-    )
+    version = F.concat(F.lit(' Version="'), F.coalesce(F.col("pmid_version"), F.lit(1)).cast("string"), F.lit('"'))
+    dates = F.concat(_day("DateCompleted", "date_completed"), _day("DateRevised", "date_revised"))
+    before = F.concat(F.lit("<PubmedArticle><MedlineCitation>"), _el("PMID", F.col("pmid").cast("string"), version), dates, F.lit("<Article>"), issue, _value("ArticleTitle", "article_title"))
+    kinds = F.lit('<PublicationTypeList><PublicationType UI="D016428">x</PublicationType></PublicationTypeList></Article>')
+    between = F.concat(kinds, _el("MedlineJournalInfo", F.concat(_value("NlmUniqueID", "nlm_catalog_id"), _value("ISSNLinking", "issn_linking"))))
     number = _el("ArticleIdList", _el("ArticleId", _text("issn_linking"), F.lit(' IdType="doi"'), where=F.col("issn_linking").isNotNull()))
-    record = _el("PubmedArticle", F.concat(_el("MedlineCitation", cite), _el("PubmedData", F.concat(_el("History", _day("PubMedPubDate", "date_revised")), number))))
-    gone = t("deleted_pmid").select("pmid", "source_file", F.lit(None).cast("timestamp").alias("at"), _el("DeleteCitation", _el("PMID", F.col("pmid").cast("string"))).alias("x"))
-    every = a.select("pmid", "source_file", F.col("loaded_at").cast("timestamp").alias("at"), record.alias("x")).unionByName(gone)
-    keys = t("article").select("source_file").unionByName(t("deleted_pmid").select("source_file"))
-    sizes = keys.groupBy("source_file").agg(F.least(F.lit(1) + F.floor(F.count("*") / records), F.lit(PIECES)).alias("pieces"))
-    every = every.join(sizes, "source_file").withColumn("piece", F.pmod(F.xxhash64("pmid"), F.col("pieces")))
+    after = F.concat(F.lit("</MedlineCitation>"), _el("PubmedData", F.concat(_el("History", _day("PubMedPubDate", "date_revised")), number)), F.lit("</PubmedArticle>"))
+    valid = F.when(F.col("valid"), ' ValidYN="Y">').otherwise(' ValidYN="N">')
+    orcid = _el("Identifier", _text("orcid"), F.lit(' Source="ORCID"'), where=F.col("orcid").isNotNull())
+    group, person = _el("Author", _value("CollectiveName", "name")), F.concat(F.lit("<Author"), valid, _value("LastName", "name"), orcid)
+    collective = F.col("kind") == "collective"
+    major = F.when(F.col("major_topic"), ' MajorTopicYN="Y"').otherwise(' MajorTopicYN="N"')
+    qualifier = _el("QualifierName", _text("qualifier_name"), _at("UI", "qualifier_ui"), major)
+    heading = _el("MeshHeading", F.concat(_el("DescriptorName", F.lit("topic"), _at("UI", "descriptor_ui")), qualifier))
+    section = _el("AbstractText", _text("text"), _at("Label", "label"), _at("NlmCategory", "nlm_category"))
+    gone = _el("DeleteCitation", _el("PMID", F.col("pmid").cast("string")))
+
+    def rows(table: str, part: int, place: Column, x: Column, at: Column | None = None) -> DataFrame:
+        at = F.lit(None) if at is None else at
+        return t(table).select("pmid", "source_file", F.lit(part).alias("part"), place.cast("int").alias("place"), at.cast("timestamp").alias("at"), x.alias("x"))
+
+    return reduce(DataFrame.unionByName, [
+        rows("article", _ARTICLE, F.lit(0), F.concat(before, F.lit(CUT), between, F.lit(CUT), after), F.col("loaded_at")), rows("abstract_text", _SECTION, F.col("seq"), section),
+        rows("author", _AUTHOR, F.col("position"), F.when(collective, group).otherwise(person)),
+        rows("author_affiliation", _PLACE, F.col("position"), _el("AffiliationInfo", _value("Affiliation", "affiliation"))),
+        rows("mesh_qualifier", _TOPIC, F.lit(0), heading), rows("deleted_pmid", _DELETED, F.lit(0), gone),
+    ])
+
+
+def _people(authors: list[tuple], places: dict[int, list[bytes]]) -> Iterator[bytes]:
+    """Authors by position; of the repeated ones of a position the first that can has the affiliations."""
+    for position, x in authors:
+        yield x
+        if not x.endswith(b"</Author>"):
+            if position is not None:
+                yield from places.pop(position, ())
+            yield b"</Author>"
+
+
+def _record(parts: list[list[tuple]]) -> bytes:
+    """The records and deletions of one pmid; children without an article give nothing."""
+    out = []
+    if parts[_ARTICLE]:
+        places: dict[int, list[bytes]] = {}
+        for position, x in parts[_PLACE]:
+            places.setdefault(position, []).append(x)
+        sections, topics = (b"".join([x for _, x in parts[p]]) for p in (_SECTION, _TOPIC))
+        people = b"".join(_people(parts[_AUTHOR], places))
+        for _, x in parts[_ARTICLE]:
+            if x:  # without a pmid there is none
+                before, between, after = x.split(CUT.encode())
+                out += [before, b"<Abstract>", sections, b"</Abstract><AuthorList>", people, b"</AuthorList>", between, b"<MeshHeadingList>", topics, b"</MeshHeadingList>", after]
+    return b"".join(out + [x for _, x in parts[_DELETED]])
+
+
+def _values(column: pa.Array) -> list:
+    """The column's values, as ``to_pylist`` gives them; that makes an object of each value first."""
+    if not len(column) or column.null_count:
+        return column.to_pylist()
+    if pa.types.is_string(column.type):
+        d = column.dictionary_encode()
+        return np.array(d.dictionary.to_pylist(), object)[d.indices.to_numpy()].tolist()
+    if pa.types.is_binary(column.type):
+        _, at, data = column.buffers()
+        at = np.frombuffer(at, np.int32)[column.offset :][: len(column) + 1].tolist()
+        data = data.to_pybytes() if data else b""
+        return [data[i:j] for i, j in pairwise(at)]
+    return column.to_numpy().tolist() if pa.types.is_integer(column.type) else column.to_pylist()
+
+
+def _writer(target: str):
+    """Writes sorted rows (file, pmid, part, place, x) as one release file each in the folder; gives (file_name, of).  ``file`` is the file's name, with
+    ``/`` and the source file's where that is another.
+
+    A file gets its name when it is whole, so a task that is run again only replaces it.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs
+
+        fs, base = pyarrow.fs.FileSystem.from_uri(target)
+        names: list[tuple[str, str]] = []
+        rows = (r for b in batches for r in zip(*map(_values, b.columns), strict=True))
+        for file, own in groupby(rows, key=itemgetter(0)):
+            name, _, of = file.partition("/")
+            out = None
+            for pmid, records in groupby(own, key=itemgetter(1)):
+                parts: list[list[tuple]] = [[] for _ in range(6)]
+                for _, _, part, place, x in records:
+                    parts[part].append((place, x))
+                if out is None and (parts[_ARTICLE] or parts[_DELETED]):
+                    half = f"{base}/.{uuid.uuid4().hex}"
+                    raw = fs.open_output_stream(half, compression=None)
+                    out = gzip.GzipFile(fileobj=raw, mode="wb", filename="", compresslevel=1, mtime=0)
+                    out.write(b"<PubmedArticleSet>")
+                if out is not None and pmid is not None:
+                    out.write(_record(parts))
+            if out is not None:
+                out.write(b"</PubmedArticleSet>\n")
+                out.close()
+                raw.close()
+                fs.move(half, f"{base}/{name}")
+                names.append((name, of or name))
+        yield pa.RecordBatch.from_arrays([pa.array([n[i] for n in names], pa.string()) for i in (0, 1)], ["file_name", "of"])
+
+    return write
+
+
+def release(spark: SparkSession, sf: str, records: int = RECORDS) -> tuple[str, DataFrame]:
+    """A data folder of release files with the articles (every loaded row), their children and the deletions: its path, and (file_name, of), the
+    written files and the source file of each.  All rows of a pmid in a source file are in one file.
+
+    The texts of a file meet in one shuffle, sorted as they stand in it, and go from there into the file.
+    """
+    keys = reduce(DataFrame.unionByName, [read_table(spark, sf, n).select("source_file") for n in ("article", "deleted_pmid")])
+    pieces = F.least(F.lit(1) + F.floor(F.count("*") / records), F.lit(PIECES))
     stem, digits = (F.regexp_extract("source_file", r"\A(pubmed\d\dn)(\d+)", i) for i in (1, 2))
-    name = F.concat(stem, (F.col("piece") * 1_000_000 + digits.cast("bigint")).cast("string"), F.lit(".xml.gz"))
-    every = every.withColumn("file_name", F.when(F.col("piece") == 0, F.col("source_file")).otherwise(name))
-    files = every.groupBy("file_name").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("all"), F.first("source_file").alias("of"))
-    files = cut(files.select("file_name", "of", _el("PubmedArticleSet", F.array_join(F.transform("all", lambda s: s["x"]), "")).alias("value")))
+    large = keys.groupBy("source_file").agg(pieces.alias("pieces")).where("pieces > 1").withColumns({"stem": stem, "digits": digits.cast("bigint")})
+    every = _parts(spark, sf).where("source_file is not null").join(F.broadcast(large), "source_file", "left")  # of ``records`` rows at least each, so few
+    piece = F.when(F.col("pieces").isNotNull(), F.pmod(F.xxhash64("pmid"), F.col("pieces"))).otherwise(0)
+    name = F.concat("stem", (F.col("piece") * 1_000_000 + F.col("digits")).cast("string"), F.lit(".xml.gz"))
+    file = F.when(F.col("piece") == 0, F.col("source_file")).otherwise(F.concat(name, F.lit("/"), "source_file"))
+    rows = every.withColumn("piece", piece).select(file.alias("file"), "pmid", "part", "place", "at", F.coalesce("x", F.lit("")).alias("x")).repartition("file")
+    rows = rows.withColumn("key", F.xxhash64("file")).sortWithinPartitions("key", "file", "pmid", "part", "place", "at", "x")
     folder = scratch(spark)
-    files.select("file_name", "value").write.partitionBy("file_name").text(f"{folder}/parts")
     fs = Files(spark, folder)
     fs.mkdirs(f"{folder}/updatefiles")
-    for name in fs.names(f"{folder}/parts"):
-        if name.startswith("file_name="):
-            part = next(n for n in fs.names(f"{folder}/parts/{name}") if n.startswith("part-"))
-            fs.move(f"{folder}/parts/{name}/{part}", f"{folder}/updatefiles/{name.removeprefix('file_name=')}")
-    return folder, files.select("file_name", "of")
-
-
-def _window(*order: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*VERSION, "position").orderBy(*order)
+    rows = rows.select("file", "pmid", "part", "place", F.col("x").cast("binary").alias("x"))
+    target = fs.uri(f"{folder}/updatefiles")
+    target = target.removeprefix("file:") if not target.startswith("file://") else target
+    rows.mapInArrow(_writer(target), "file_name string, of string").write.parquet(f"{folder}/names")
+    return folder, spark.read.parquet(f"{folder}/names")
 
 
 #: Loaded tables with the columns whose characters are counted.
@@ -123,13 +213,16 @@ def q36_load_round_trip(spark: SparkSession, sf: str, records: int = RECORDS) ->
     """Every table of citations written as release files, loaded, and counted per table and file: rows and characters; the registry's counts beside them."""
     folder, names = release(spark, sf, records)
     store = Store(spark, f"{folder}/store")
-    loading.load_files(store, local_files(store, folder), group=1_000)
-    chars = lambda cols: F.sum(reduce(lambda x, y: x + y, [F.coalesce(F.length(c), F.lit(0)) for c in cols], F.lit(0))).cast("bigint")
-    out = [store.table(t).groupBy("source_file").agg(F.count("*").alias("n"), chars(cols).alias("n_chars")).select(F.lit(t).alias("table_name"), "source_file", "n", "n_chars") for t, cols in COUNTED.items()]
+    loading.load_files(store, local_files(store, folder), group=1_000, least=LOADED)
+    chars = lambda cols: reduce(lambda x, y: x + y, [F.coalesce(F.length(c), F.lit(0)) for c in cols], F.lit(0)).cast("bigint")
+    row = lambda t, n, x: [F.lit(t).alias("table_name"), "source_file", n.cast("bigint").alias("n"), x.cast("bigint").alias("n_chars")]
+    out = [store.table(t).select(*row(t, F.lit(1), chars(cols))) for t, cols in COUNTED.items()]
     counts = {"registry articles": "n_articles", "registry deletions": "n_deletions", "registry failed": "n_failed"}
-    out += [store.registry().select(F.lit(k).alias("table_name"), F.col("file_name").alias("source_file"), F.col(c).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("n_chars")) for k, c in counts.items()]
-    found = reduce(DataFrame.unionByName, out).join(names.withColumnRenamed("file_name", "source_file"), "source_file")
-    return found.groupBy("table_name", F.col("of").alias("source_file")).agg(F.sum("n").alias("n"), F.sum("n_chars").alias("n_chars"))
+    files = store.registry().withColumnRenamed("file_name", "source_file")
+    out += [files.select(*row(k, F.col(c), F.lit(0))) for k, c in counts.items()]
+    pieces = names.where("file_name <> of").withColumnRenamed("file_name", "source_file")
+    found = reduce(DataFrame.unionByName, out).join(F.broadcast(pieces), "source_file", "left")  # few files are pieces of another
+    return found.groupBy("table_name", F.coalesce("of", "source_file").alias("source_file")).agg(F.sum("n").alias("n"), F.sum("n_chars").alias("n_chars"))
 
 
 def q39_journals(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Citation XML files to nested records and flat tables.
 
-A gzip file can't be split, so a task reads one file at a time; elements are dropped once they are read, so memory doesn't grow with
-the file.  Inline markup in titles and abstracts is flattened to its text and white space is collapsed; dates are
+A gzip file can't be split, so a task reads one file at a time; of all but small files elements are dropped once they are read, so memory doesn't
+grow with the file.  Inline markup in titles and abstracts is flattened to its text and white space is collapsed; dates are
 kept verbatim.
 """
 
@@ -37,14 +37,29 @@ ids array<struct<id_type: string, id_value: string>>, events array<struct<pub_st
 SCANNED = f"source_file string, file_order_key bigint, rec_idx bigint, what string, message string, {_RECORD}"
 
 BATCH = 500
+#: Bytes of XML that are read as one tree, which is faster than record by record and takes some six times as much memory.
+TREE = 16 << 20
 # English month abbreviations of partial dates.
 _MONTH = {m: i for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split(), 1)}
 
 
 def _flat(el: ET.Element | None) -> str | None:
     """An element's whole text, white space collapsed; None if it is absent or blank."""
-    text = re.sub(r"\s+", " ", "".join(el.itertext())).strip() if el is not None else ""
-    return text or None
+    if el is None:
+        return None
+    return " ".join(("".join(el.itertext()) if len(el) else el.text or "").split()) or None
+
+
+def _all(el: ET.Element, *path: str) -> list[ET.Element]:
+    """The elements at a path, as ``findall`` gives them; a step at a time, as paths are much slower."""
+    found = el.findall(path[0])
+    for tag in path[1:]:
+        found = found[0].findall(tag) if len(found) == 1 else [y for x in found for y in x.findall(tag)]
+    return found
+
+
+def _first(el: ET.Element, *path: str) -> ET.Element | None:
+    return next(iter(_all(el, *path)), None)
 
 
 def _date(el: ET.Element | None) -> datetime.date | None:
@@ -65,7 +80,7 @@ def _yes(el: ET.Element, name: str) -> bool:
 
 def raw_pubdate(el: ET.Element) -> tuple:
     """(year, month or season, day, free text), verbatim; an empty month falls to the season."""
-    d = el.find("MedlineCitation/Article/Journal/JournalIssue/PubDate")
+    d = _first(el, "MedlineCitation", "Article", "Journal", "JournalIssue", "PubDate")
     if d is None:
         return None, None, None, None
     return d.findtext("Year"), d.findtext("Month") or d.findtext("Season"), d.findtext("Day"), d.findtext("MedlineDate")
@@ -73,28 +88,28 @@ def raw_pubdate(el: ET.Element) -> tuple:
 
 def own_ids(el: ET.Element) -> list[dict]:
     """The record's own identifiers: those directly under its list, never those of its references; not the pmid again."""
-    found = [(x.get("IdType"), (x.text or "").strip()) for x in el.findall("PubmedData/ArticleIdList/ArticleId")]
+    found = [(x.get("IdType"), (x.text or "").strip()) for x in _all(el, "PubmedData", "ArticleIdList", "ArticleId")]
     return [{"id_type": t, "id_value": v} for t, v in found if t not in (None, "pubmed") and v]
 
 
 def _authors(el: ET.Element) -> list[dict]:
     out = []
-    for position, a in enumerate(el.findall("MedlineCitation/Article/AuthorList/Author"), 1):
+    for position, a in enumerate(_all(el, "MedlineCitation", "Article", "AuthorList", "Author"), 1):
         group = _flat(a.find("CollectiveName"))
         if group:
             out.append({"position": position, "kind": "collective", "name": group, "orcid": None, "valid": None, "affiliations": []})
             continue
         name = " ".join(p for p in (_flat(a.find("ForeName")) or _flat(a.find("Initials")), _flat(a.find("LastName")), _flat(a.find("Suffix"))) if p)
         orcid = next((_flat(i) for i in a.findall("Identifier") if i.get("Source") == "ORCID"), None)
-        m = re.search(r"(\d{4})-?(\d{4})-?(\d{4})-?(\d{3}[\dX])", orcid or "")
-        places = [p for p in map(_flat, a.findall("AffiliationInfo/Affiliation")) if p]
+        m = re.search(r"(\d{4})-?(\d{4})-?(\d{4})-?(\d{3}[\dX])", orcid) if orcid else None
+        places = [p for p in map(_flat, _all(a, "AffiliationInfo", "Affiliation")) if p]
         out.append({"position": position, "kind": "author", "name": name or None, "orcid": "-".join(m.groups()) if m else None, "valid": _yes(a, "ValidYN"), "affiliations": places})
     return out
 
 
 def _headings(el: ET.Element) -> list[dict]:
     out = []
-    for h in el.findall("MedlineCitation/MeshHeadingList/MeshHeading"):
+    for h in _all(el, "MedlineCitation", "MeshHeadingList", "MeshHeading"):
         d = h.find("DescriptorName")
         if d is None:
             continue
@@ -117,31 +132,69 @@ def record(el: ET.Element) -> dict:
     if journal is None or not _flat(journal.find("NlmUniqueID")):
         raise ValueError(f"{pmid}: no journal")
     year, month, day, free = raw_pubdate(el)
-    issue = "Journal/JournalIssue/"
+    issue = lambda tag: _flat(_first(article, "Journal", "JournalIssue", tag))
     texts = [
-        {"label": t.get("Label"), "nlm_category": t.get("NlmCategory"), "text": _flat(t)} for t in article.findall("Abstract/AbstractText")
+        {"label": t.get("Label"), "nlm_category": t.get("NlmCategory"), "text": _flat(t)} for t in _all(article, "Abstract", "AbstractText")
     ]
     return {
         "pmid": pmid, "pmid_version": int(version) if version else None, "article_title": title, "nlm_catalog_id": _flat(journal.find("NlmUniqueID")),
-        "issn_linking": _flat(journal.find("ISSNLinking")), "volume": _flat(article.find(issue + "Volume")), "issue": _flat(article.find(issue + "Issue")),
+        "issn_linking": _flat(journal.find("ISSNLinking")), "volume": issue("Volume"), "issue": issue("Issue"),
         "pub_year": year, "pub_month": month, "pub_day": day, "medline_date": free, "date_completed": _date(cite.find("DateCompleted")),
         "date_revised": _date(cite.find("DateRevised")), "sections": [t for t in texts if t["text"]], "authors": _authors(el), "headings": _headings(el),
-        "types": [t.get("UI") for t in article.findall("PublicationTypeList/PublicationType") if t.get("UI")],
+        "types": [t.get("UI") for t in _all(article, "PublicationTypeList", "PublicationType") if t.get("UI")],
         "grants": [
             {"grant_id": _flat(g.find("GrantID")), "acronym": _flat(g.find("Acronym")), "agency": _flat(g.find("Agency")), "country": _flat(g.find("Country"))}
-            for g in article.findall("GrantList/Grant")
+            for g in _all(article, "GrantList", "Grant")
         ],
         "ids": own_ids(el),
-        "events": [{"pub_status": p.get("PubStatus"), "date": _date(p)} for p in el.findall("PubmedData/History/PubMedPubDate")],
+        "events": [{"pub_status": p.get("PubStatus"), "date": _date(p)} for p in _all(el, "PubmedData", "History", "PubMedPubDate")],
     }
 
 
+def _child(el: ET.Element) -> Iterator[tuple[str, str | None, dict]]:
+    """What an element right below the root gives."""
+    if el.tag == "PubmedArticle":
+        try:
+            yield "article", None, record(el)
+        except (ValueError, KeyError) as e:
+            yield "failed", str(e), {}
+    elif el.tag == "PubmedBookArticle":
+        yield "book", None, {}
+    elif el.tag == "DeleteCitation":
+        for p in el.findall("PMID"):
+            digits = (p.text or "").strip()
+            if re.fullmatch("[0-9]+", digits):
+                yield "deleted", None, {"pmid": int(digits)}
+
+
+def _stream(content: bytes) -> io.BufferedIOBase:
+    return gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
+
+
+#: Why a file can't be read to its end.
+_BROKEN = (ET.ParseError, OSError, EOFError, zlib.error, UnicodeDecodeError)
+
+
+def _tree(content: bytes) -> ET.Element | None:
+    """The tree of a small file; None if it is larger, or breaks off."""
+    if len(content) > TREE:
+        return None
+    try:
+        text = _stream(content).read(TREE + 1)
+        return ET.fromstring(text) if len(text) <= TREE else None
+    except _BROKEN:
+        return None
+
+
 def read(content: bytes) -> Iterator[tuple[str, str | None, dict]]:
     """(what, message, fields) of each record in file order; a file that breaks off ends with ``broken``."""
-    stream = gzip.GzipFile(fileobj=io.BytesIO(content)) if content[:2] == b"\x1f\x8b" else io.BytesIO(content)
+    if (tree := _tree(content)) is not None:
+        for el in tree:
+            yield from _child(el)
+        return
     depth, root = 0, None
     try:
-        for event, el in ET.iterparse(stream, events=("start", "end")):
+        for event, el in ET.iterparse(_stream(content), events=("start", "end")):
             if event == "start":
                 root = el if depth == 0 else root
                 depth += 1
@@ -149,20 +202,9 @@ def read(content: bytes) -> Iterator[tuple[str, str | None, dict]]:
             depth -= 1
             if depth != 1:
                 continue
-            if el.tag == "PubmedArticle":
-                try:
-                    yield "article", None, record(el)
-                except (ValueError, KeyError) as e:
-                    yield "failed", str(e), {}
-            elif el.tag == "PubmedBookArticle":
-                yield "book", None, {}
-            elif el.tag == "DeleteCitation":
-                for p in el.findall("PMID"):
-                    digits = (p.text or "").strip()
-                    if re.fullmatch("[0-9]+", digits):
-                        yield "deleted", None, {"pmid": int(digits)}
+            yield from _child(el)
             root.clear()
-    except (ET.ParseError, OSError, EOFError, zlib.error, UnicodeDecodeError) as e:
+    except _BROKEN as e:
         yield "broken", f"{type(e).__name__}: {e}", {}
 
 
@@ -176,6 +218,7 @@ def scan(files: DataFrame) -> DataFrame:
     names = target.names
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict] = []  # of several files, if they are small
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1), strict=True):
                 file = path.as_py().rsplit("/", 1)[-1]
@@ -183,7 +226,6 @@ def scan(files: DataFrame) -> DataFrame:
                     key = parse_file_name(file)[2]
                 except ValueError:
                     continue
-                rows: list[dict] = []
                 seen: dict[int, int] = {}
                 for i, (what, message, fields) in enumerate(read(content.as_py())):
                     head = {"source_file": file, "file_order_key": key, "message": message}
@@ -195,9 +237,7 @@ def scan(files: DataFrame) -> DataFrame:
                     if len(rows) >= BATCH:
                         yield pa.RecordBatch.from_pylist(rows, target)
                         rows = []
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, target)
-        yield pa.RecordBatch.from_pylist([], target)
+        yield pa.RecordBatch.from_pylist(rows, target)
 
     assert names[0] == "source_file"
     return files.select("path", "content").mapInArrow(parse, SCANNED)
@@ -210,19 +250,19 @@ def counts(scanned: DataFrame) -> DataFrame:
     return scanned.groupBy("source_file").agg(
         (F.count_if(what == "article") - F.count_if(what == "superseded")).cast("int").alias("n_articles"),
         F.count_if(what == "deleted").cast("int").alias("n_deletions"), F.count_if(what == "failed").cast("int").alias("n_failed"),
-        F.count_if(what == "book").cast("int").alias("n_book_records"), F.max(F.when(what == "broken", F.col("message"))).alias("broken"),
+        F.count_if(what == "book").cast("int").alias("n_book_records"), F.count_if(what == "superseded").alias("n_superseded"), F.max(F.when(what == "broken", F.col("message"))).alias("broken"),
     )
 
 
-def tables(scanned: DataFrame, loaded_at: Column | None = None) -> dict[str, DataFrame]:
+def tables(scanned: DataFrame, loaded_at: Column | None = None, few: bool = False) -> dict[str, DataFrame]:
     """The versioned tables of scanned records.
 
     Of several records of one pmid in a file the last counts, with its children only: the task that read the file has noted the others, so
-    this takes no shuffle of records.
+    with ``few`` of them, whose numbers can be broadcast, this takes no shuffle of records.
     """
     at = F.current_timestamp() if loaded_at is None else loaded_at
     old = scanned.where("what = 'superseded'").select("source_file", "rec_idx")
-    last = scanned.where("what = 'article'").join(old, ["source_file", "rec_idx"], "left_anti").withColumn("loaded_at", at)
+    last = scanned.where("what = 'article'").join(F.broadcast(old) if few else old, ["source_file", "rec_idx"], "left_anti").withColumn("loaded_at", at)
 
     def children(array: str, *cols: str) -> DataFrame:
         return last.select("pmid", "source_file", F.explode(array).alias("x")).select("pmid", "source_file", *cols)

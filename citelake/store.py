@@ -66,6 +66,8 @@ class Store:
 
     #: Versions of a small table that stay, and commit files that do.
     KEEP, COMMITS = 3, 100
+    #: Bytes of a registry that is broadcast to the rows it names.
+    BROADCAST = 16 << 20
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
@@ -133,6 +135,8 @@ class Store:
             if not self.files.names(at):
                 return empty(self.spark, name)
             live = self.registry().where("load_id is not null").select(F.col("file_name").alias("source_file"), "load_id")
+            if sum(b for _, _, b in self.files.list(self._current("source_file") or "")) <= self.BROADCAST:
+                live = F.broadcast(live)
             rows = self.spark.read.schema(schema(name).add("load_id", "string")).parquet(at)
             return conform(rows.join(live, ["source_file", "load_id"], "left_semi"), name)
         at = self._current(name)

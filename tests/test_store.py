@@ -283,3 +283,35 @@ def test_web_listing_and_fetch(tmp_path):
 def test_views(loaded):
     assert "latest_article" in loaded.views()
     assert loaded.spark.sql("select count(*) from latest_article").first()[0] == 2
+
+
+def test_small_files_share_tasks_and_commits(spark, tmp_path):
+    """Many small files are read by no more tasks than there are cores, and with ``least`` committed together."""
+    for i in range(1, 301):
+        release(tmp_path / "updatefiles", f"pubmed30n{i:04d}.xml.gz", citation(i) + citation(i, title="Last.") * (i % 2))
+    staged, commits = [], []
+    for name, sizes in (("a", {"group": 300}), ("b", {"group": 100}), ("c", {"group": 100, "least": 1 << 20})):
+        store = Store(spark, str(tmp_path / name))
+        assert loading.load_files(store, local_files(store, str(tmp_path)), keep_staging=True, **sizes) == (300, [])
+        assert store.table("article").count() == 300 and store.table("article").where("article_title = 'Last.'").count() == 150
+        staged.append([len([n for n in store.files.names(f"{tmp_path}/{name}/_staging/{i}") if n.startswith("part-")]) for i in store.files.names(f"{tmp_path}/{name}/_staging")])
+        commits.append(len([n for n in store.files.names(f"{tmp_path}/{name}/_source_file") if n.startswith("commit-")]))
+    assert commits == [1, 3, 1] and all(n <= spark.sparkContext.defaultParallelism for s in staged for n in s)
+
+
+def test_a_tree_gives_what_the_stream_gives(data_dir, monkeypatch):
+    path = data_dir / "baseline/pubmed30n0001.xml.gz"
+    whole = path.read_bytes() if path.exists() else b""
+    plain = gzip.decompress(whole).replace(b"</PubmedArticleSet>", b"<DeleteCitation><PMID>7</PMID></DeleteCitation><PubmedBookArticle/></PubmedArticleSet>")
+    contents = [whole, plain, whole[:-200], plain[:-40], b""]
+    trees = [list(xml.read(c)) for c in contents]
+    monkeypatch.setattr(xml, "TREE", 0)
+    assert trees == [list(xml.read(c)) for c in contents] and [t[-1][0] for t in trees] == ["article", "book", "broken", "broken", "broken"]
+
+
+def test_names_of_a_folder(spark, store, tmp_path):
+    (tmp_path / "names/b").mkdir(parents=True)
+    for n in ("a 1.txt", ".hidden", "é"):
+        (tmp_path / "names" / n).write_text("x")
+    assert store.files.names(f"{tmp_path}/names") == ["a 1.txt", "b", "é"] == [n for n, _, _ in store.files.list(f"{tmp_path}/names")]
+    assert store.files.names(f"{tmp_path}/names/b") == store.files.names(f"{tmp_path}/absent") == []
